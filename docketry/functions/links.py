@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from docketry.functions.maps import query_params
+from docketry.functions.text import bound
 
 # The parameters a second-degree link must carry, in its order.
 SECOND_DEGREE_PARAMS = ["nuProcesso", "cdProcessoSg", "cdForoSg", "isProcessoOrigemCr"]
@@ -36,10 +37,13 @@ def required_params(params: Column, names: list[str]) -> Column:
 
 def rebuild_link(base_url: str, href: Column) -> Column:
     """Second-degree link from its four parameters, blank when one is missing."""
-    params = query_params(href)
-    pairs = [F.concat(F.lit(f"{n}="), F.try_element_at(params, F.lit(n))) for n in SECOND_DEGREE_PARAMS]
-    link = F.concat(F.lit(base_url + SECOND_DEGREE_PATH), F.concat_ws("&", *pairs))
-    return F.when(required_params(params, SECOND_DEGREE_PARAMS), link).otherwise(F.lit(""))
+
+    def link(params: Column) -> Column:
+        pairs = [F.concat(F.lit(f"{n}="), F.try_element_at(params, F.lit(n))) for n in SECOND_DEGREE_PARAMS]
+        rebuilt = F.concat(F.lit(base_url + SECOND_DEGREE_PATH), F.concat_ws("&", *pairs))
+        return F.when(required_params(params, SECOND_DEGREE_PARAMS), rebuilt).otherwise(F.lit(""))
+
+    return F.when(F.contains(href, F.lit("?")), bound(query_params(href), link)).otherwise(F.lit(""))
 
 
 def host(url: Column) -> Column:

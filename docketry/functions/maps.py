@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from docketry.functions.text import bound
+
 
 def last_wins_map(pairs: Column) -> Column:
     """Map from an array of ``key=value`` texts; of repeated keys the last one counts.
@@ -19,14 +21,17 @@ def last_wins_map(pairs: Column) -> Column:
             F.substr(p, F.length(F.substring_index(p, "=", 1)) + 2).alias("value"),
         ),
     )
-    last_only = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))),
-            lambda later: later["key"] == e["key"],
-        ),
-    )
-    return F.map_from_entries(last_only)
+    return F.map_from_entries(bound(entries, _last_of_each_key))
+
+
+def _last_of_each_key(entries: Column) -> Column:
+    """Entries whose key does not come again."""
+
+    def is_last(entry: Column, place: Column) -> Column:
+        later = F.slice(entries, place + 2, F.greatest(F.size(entries), F.lit(1)))
+        return ~F.exists(later, lambda other: other["key"] == entry["key"])
+
+    return F.filter(entries, is_last)
 
 
 def query_params(url: Column) -> Column:
@@ -36,22 +41,6 @@ def query_params(url: Column) -> Column:
 
 
 def cookies(headers: Column) -> Column:
-    """``Set-Cookie`` headers to a map, each value up to its first semicolon."""
+    """``Set-Cookie`` headers to a map, each value up to its first semicolon after the name."""
     mine = F.filter(headers, lambda h: F.lower(h["name"]) == "set-cookie")
-    return last_wins_map(
-        F.transform(
-            mine,
-            lambda h: F.concat(
-                F.substring_index(h["value"], "=", 1),
-                F.when(
-                    F.contains(h["value"], F.lit("=")),
-                    F.concat(
-                        F.lit("="),
-                        F.substring_index(
-                            F.substr(h["value"], F.length(F.substring_index(h["value"], "=", 1)) + 2), ";", 1
-                        ),
-                    ),
-                ).otherwise(F.lit("")),
-            ),
-        )
-    )
+    return last_wins_map(F.transform(mine, lambda h: F.regexp_extract(h["value"], "^[^=]*=[^;]*", 0)))

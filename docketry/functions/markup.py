@@ -1,7 +1,9 @@
 """Field extraction from page markup, as column expressions.
 
-Patterns start with a literal where they can, so that the JVM's matcher skips
-ahead, and use possessive quantifiers, so that no page makes them backtrack.
+All functions but ``prepare`` and ``script_param`` take prepared markup: call
+``prepare`` once per page, then read as many fields as needed. Patterns start with a
+literal where they can, so that the JVM's matcher skips ahead, and use possessive
+quantifiers, so that no page makes them backtrack.
 """
 
 from __future__ import annotations
@@ -10,16 +12,17 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from docketry.functions.text import SPACE, decode_entities, first_filled, strip_space
+from docketry.functions.text import SPACE, SPACE_RUN, decode_entities, first_filled, strip_space
 
 # Stand-in for comments, scripts and styles: an empty tag, so that text on both sides stays apart.
 GAP = "<>"
 # Cell boundary inside a flattened block. No page text holds this control character.
 CELL_END = "\u0001"
 
-HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-TAG_WITH_SPACE = rf"(?:(?<!{SPACE}){SPACE}++)?<[^>]*>{SPACE}*+"
-NBSP = r"&nbsp;|&#160;|&#[xX][aA]0;"
+HIDDEN = r"(?s)<(?:!--.*?-->|[sS][cC][rR][iI][pP][tT]\b[^>]*>.*?</[sS][cC][rR][iI][pP][tT]\s*>|[sS][tT][yY][lL][eE]\b[^>]*>.*?</[sS][tT][yY][lL][eE]\s*>)"
+TAG_WITH_SPACE = rf"(?:{SPACE_RUN})?<[^>]*>{SPACE}*+"
+# References to the no-break space, which counts as white space at the ends of a text node.
+HARD_SPACE = "&(?:nbsp|#160|#[xX][aA]0);"
 # Up to the first filled text: white space, empty spans, one opening span.
 TO_FIRST_TEXT = rf"(?:{SPACE}++|<span[^>]*+>{SPACE}*+</span>)*+(?:<span[^>]*+>)?+{SPACE}*+"
 
@@ -30,32 +33,29 @@ def class_pattern(*names: str) -> str:
     return rf'class="{wanted}[^"]*"'
 
 
-def drop_hidden(html: Column) -> Column:
+def prepare(html: Column) -> Column:
+    """A page without comments, scripts and styles."""
     return F.regexp_replace(html, HIDDEN, GAP)
 
 
-def plain_spaces(html: Column) -> Column:
-    return F.regexp_replace(html, NBSP, "\u00a0")
-
-
-def inner_text(html: Column, delimiter: str = "") -> Column:
+def inner_text(markup: Column, delimiter: str = "") -> Column:
     """Each text node below an element, stripped, joined by the delimiter."""
-    shown = plain_spaces(drop_hidden(html))
+    spaced = F.regexp_replace(markup, HARD_SPACE, "\u00a0")
     if delimiter == "":
-        return decode_entities(strip_space(F.regexp_replace(shown, TAG_WITH_SPACE, "")))
-    nodes = F.filter(F.split(shown, "<[^>]*>"), lambda n: n != "")
+        return decode_entities(strip_space(F.regexp_replace(spaced, TAG_WITH_SPACE, "")))
+    nodes = F.filter(F.split(spaced, "<[^>]*>"), lambda n: n != "")
     return decode_entities(F.array_join(F.transform(nodes, strip_space), delimiter))
 
 
-def block_text(html: Column) -> Column:
+def block_text(markup: Column) -> Column:
     """Whole text of a block, stripped at its two ends only."""
-    return strip_space(decode_entities(F.regexp_replace(plain_spaces(drop_hidden(html)), "<[^>]*>", "")))
+    return strip_space(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")))
 
 
 def anchor_text(body: Column, element_id: str) -> Column:
     """First filled text of the element with an id, or of the span that opens it."""
     found = F.regexp_extract(body, rf'id="{re.escape(element_id)}"[^>]*+>{TO_FIRST_TEXT}([^<]*+)', 1)
-    return strip_space(decode_entities(plain_spaces(found)))
+    return strip_space(decode_entities(found))
 
 
 def anchored_heads(body: Column, element_ids: list[str]) -> Column:
@@ -76,7 +76,8 @@ def element_inner(body: Column, element_id: str, tag: str) -> Column:
 
 def labelled_cells(block: Column) -> Column:
     """A block's text with cell boundaries kept, ready for ``label_detail``."""
-    shown = F.regexp_replace(plain_spaces(drop_hidden(block)), r"(?i)</?t[rdh]\b[^>]*>", CELL_END)
+    spaced = F.regexp_replace(block, HARD_SPACE, "\u00a0")
+    shown = F.regexp_replace(spaced, r"</?[tT][rRdDhH]\b[^>]*>", CELL_END)
     return decode_entities(F.regexp_replace(shown, TAG_WITH_SPACE, ""))
 
 
@@ -113,19 +114,21 @@ def labelled_block(pieces: Column, label_class: str, label: str) -> Column:
 
 def value_text(region: Column, opening: str) -> Column:
     """Raw first text after an opening tag pattern inside a labelled block."""
-    return decode_entities(plain_spaces(F.regexp_extract(region, rf"(?s){opening}([^<]*+)", 1)))
+    return decode_entities(F.regexp_extract(region, rf"(?s){opening}([^<]*+)", 1))
 
 
 def tags_joined(body: Column, tag_class: str, separator: str = "|") -> Column:
     """First texts of all elements of a class, joined, stripped at the two ends."""
     texts = F.regexp_extract_all(body, F.lit(rf"{class_pattern(tag_class)}[^>]*+>([^<]*+)"), F.lit(1))
-    return strip_space(decode_entities(plain_spaces(F.array_join(texts, separator))))
+    return strip_space(decode_entities(F.array_join(texts, separator)))
 
 
 def element_texts(body: Column, tag: str, separator: str = "|") -> Column:
     """Inner markup-free texts of all elements of one tag name, joined."""
-    texts = F.regexp_extract_all(body, F.lit(rf"(?s)<{tag}\b[^>]*+>(.*?)</{tag}>"), F.lit(1))
-    return F.array_join(F.transform(texts, inner_text), separator)
+    found = F.regexp_extract_all(body, F.lit(rf"(?s)<{tag}\b[^>]*+>(.*?)</{tag}>"), F.lit(1))
+    spaced = F.transform(found, lambda t: F.regexp_replace(t, HARD_SPACE, "\u00a0"))
+    texts = F.transform(spaced, lambda t: strip_space(F.regexp_replace(t, TAG_WITH_SPACE, "")))
+    return F.array_join(F.transform(texts, decode_entities), separator)
 
 
 def link_text_by_title(block: Column, title: str) -> Column:
@@ -151,7 +154,7 @@ def cells_of(row: Column) -> Column:
 def nth_cell(cells: Column, n: int) -> Column:
     """Own first text of the n-th cell, stripped; blank when there is no such cell."""
     own = F.regexp_extract(F.get(cells, F.lit(n - 1)), r"^([^<]*+)", 1)
-    return F.coalesce(strip_space(decode_entities(plain_spaces(own))), F.lit(""))
+    return F.coalesce(strip_space(decode_entities(own))), F.lit("")
 
 
 def table_after_label(body: Column, label: str) -> Column:

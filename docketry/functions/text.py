@@ -7,7 +7,10 @@ from html.entities import codepoint2name
 from pyspark.sql import Column, functions as F
 
 # The characters that count as white space (Java's \s and trim cover fewer).
-SPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
+# Single characters first: the matcher keeps those below 256 in one table.
+SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\p{Z}]"
+# A run of white space taken from its start, so that a long run is not tried from each of its places.
+SPACE_RUN = rf"{SPACE}(?<!{SPACE}{SPACE}){SPACE}*+"
 
 # Characters and prefixes the record contract removes.
 PARTY_NOISE = "\n\t\u00a0"
@@ -35,7 +38,7 @@ ENTITY_NAMES |= {
 
 
 def strip_space(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    return F.regexp_replace(x, rf"^{SPACE}++|{SPACE_RUN}\z", "")
 
 
 def normalise_space(x: Column) -> Column:
@@ -65,7 +68,7 @@ def strip_lawyer_label(x: Column) -> Column:
 
 
 def drop_parens(x: Column) -> Column:
-    return F.regexp_replace(x, rf"(?:(?<!{SPACE}){SPACE}++)?\([^\n]*?\){SPACE}*+", "")
+    return F.regexp_replace(x, rf"(?:{SPACE_RUN})?\([^\n]*?\){SPACE}*+", "")
 
 
 def paren_text(x: Column) -> Column:
@@ -104,23 +107,35 @@ def next_page_number(x: Column) -> Column:
     return page_number(x) + 1
 
 
+def bound(x: Column, use) -> Column:
+    """``use(x)`` with x worked out once, however often ``use`` names it.
+
+    For arrays and maps made by higher-order functions, which Spark would otherwise
+    build again at each place that names them.
+    """
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def decode_entities(x: Column) -> Column:
-    """Named and numeric character references to characters, in one pass."""
-    names = F.create_map(*[F.lit(v) for pair in ENTITY_NAMES.items() for v in pair])
-
-    def decode_piece(piece: Column) -> Column:
-        name = F.substring_index(piece, ";", 1)
-        rest = F.substr(piece, F.length(name) + 2)
-        digits = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
-        hexes = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,6})$", 1)
-        point = F.when(digits != "", F.hex(digits.try_cast("bigint"))).when(hexes != "", hexes)
-        numeric = F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32")
-        code = F.conv(point, 16, 10).try_cast("bigint")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.coalesce(F.try_element_at(names, name), F.when(valid, numeric))
-        known = F.contains(piece, F.lit(";")) & char.isNotNull()
-        return F.when(known, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
-
-    pieces = F.split(x, "&")
-    decoded = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), decode_piece)
-    return F.when(F.contains(x, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(decoded, ""))).otherwise(x)
+    """Named and numeric character references to characters, in one pass over the text."""
+    decoded = F.array_join(F.call_function("transform", F.split(x, "&"), F.expr(DECODE_PIECE)), "")
+    return F.when(F.contains(x, F.lit("&")), decoded).otherwise(x)
+
+
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+ENTITY_MAP = f"str_to_map({_sql_text(';'.join(f'{name} {char}' for name, char in ENTITY_NAMES.items()))}, ';', ' ')"
+# The number of #233 or #xE9, and its character when there is one.
+CODE = """coalesce(try_cast(regexp_extract(piece, '^#([0-9]{1,7});', 1) AS BIGINT),
+    try_cast(conv(nullif(regexp_extract(piece, '^#[xX]([0-9a-fA-F]{1,6});', 1), ''), 16, 10) AS BIGINT))"""
+NUMBERED = f"""CASE WHEN {CODE} BETWEEN 1 AND 55295 OR {CODE} BETWEEN 57344 AND 1114111
+    THEN decode(unhex(lpad(hex({CODE}), 8, '0')), 'UTF-32') END"""
+# One piece of a text cut at ampersands; the piece at place 0 stands before the first of them.
+DECODE_PIECE = f"""(piece, place) -> CASE WHEN place = 0 THEN piece ELSE coalesce(
+    concat(
+        CASE WHEN NOT contains(piece, ';') THEN NULL WHEN startswith(piece, '#') THEN {NUMBERED}
+             ELSE try_element_at({ENTITY_MAP}, substring_index(piece, ';', 1)) END,
+        substr(piece, length(substring_index(piece, ';', 1)) + 2)),
+    concat('&', piece)) END"""

@@ -1,4 +1,4 @@
-"""Generators: one page in, many rows out. All are narrow: no shuffle, no Python stage.
+"""Generators: one prepared page in, many rows out. All are narrow: no shuffle, no Python stage.
 
 Rows carry ``seq``: the capture's position shifted left, plus the place in the page.
 """
@@ -11,14 +11,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketry.functions.markup import (
     attr_value,
-    block_text,
     class_pattern,
-    drop_hidden,
     first_row_with_cell,
     cells_of,
     inner_text,
     nth_cell,
-    plain_spaces,
     table_after_label,
 )
 from docketry.functions.text import (
@@ -59,7 +56,7 @@ def result_blocks(captures: DataFrame, results_id: str) -> DataFrame:
     anchored = F.regexp_extract(F.col("body"), rf'(?s)id="{re.escape(results_id)}"[^>]*+>(.*)', 1)
     scope = F.when(F.contains("body", F.lit(f'id="{results_id}"')), anchored).otherwise(F.col("body"))
     rest = [c for c in captures.columns if c not in ("body", "seq")]
-    return captures.select(*rest, "seq", F.posexplode(nested_tables(drop_hidden(scope))).alias("place", "block")).select(
+    return captures.select(*rest, "seq", F.posexplode(nested_tables(scope)).alias("place", "block")).select(
         *rest, place_in_page(F.col("seq"), F.col("place")).alias("seq"), "block"
     )
 
@@ -77,7 +74,7 @@ def cell_of_class(row: Column, name: str) -> Column:
 
 def _first_text(markup: Column, opening: str) -> Column:
     found = F.regexp_extract(markup, rf"{opening}([^<]*+)", 1)
-    return strip_space(decode_entities(plain_spaces(found)))
+    return strip_space(decode_entities(found))
 
 
 def movements(captures: DataFrame, case: Column, layout: dict) -> DataFrame:
@@ -108,19 +105,24 @@ def parties(body: Column, party_class: str) -> Column:
     the last break counts as a piece and leaves a blank lawyer, as the contract has it.
     """
     cells = F.regexp_extract_all(
-        body, F.lit(rf"(?s)<(?:td|span|div)\b[^>]*?\s{class_pattern(party_class)}[^>]*+>.*?</(?:td|div)>"), F.lit(0)
+        body, F.lit(rf"(?s){class_pattern(party_class)}[^>]*+>.*?</(?:td|div)>"), F.lit(0)
+    )
+    # In steps, so that each step names what the step before built instead of building it again.
+    pieces = F.transform(cells, lambda cell: F.split(F.concat(F.lit("<td "), cell), r"(?i)<br\s*/?>"))
+    texts = F.transform(
+        pieces,
+        lambda cell: F.transform(F.filter(cell, lambda p: strip_space(p) != ""), lambda p: F.regexp_replace(p, "<[^>]*>", "")),
+    )
+    clean = F.transform(
+        texts, lambda cell: F.transform(cell, lambda t: delete_chars(strip_space(decode_entities(t))))
+    )
+    return F.transform(
+        clean,
+        lambda cell: F.struct(
+            F.slice(cell, 1, 1).alias("nomes_parte"),
+            F.transform(F.slice(cell, 2, F.greatest(F.size(cell), F.lit(1))), strip_lawyer_label).alias("advogados_parte"),
+        ),
     )
-
-    def party(cell: Column) -> Column:
-        pieces = F.filter(F.split(cell, r"(?i)<br\s*/?>"), lambda p: strip_space(p) != "")
-        clean = F.transform(pieces, lambda p: delete_chars(block_text(p)))
-        lawyers = F.slice(clean, 2, F.greatest(F.size(clean), F.lit(1)))
-        return F.struct(
-            F.slice(clean, 1, 1).alias("nomes_parte"),
-            F.transform(lawyers, strip_lawyer_label).alias("advogados_parte"),
-        )
-
-    return F.transform(cells, party)
 
 
 def party_at(party_array: Column, place: int, field: str) -> Column:

@@ -27,11 +27,9 @@ def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for seq, content in zip(batch["seq"], batch["content"]):
-                texts = read_pages(bytes(content))
-                yield pd.DataFrame(
-                    {"seq": [seq] * len(texts), "page_no": range(1, len(texts) + 1), "text": texts}
-                ).astype({"seq": "int64", "page_no": "int64", "text": "object"})
+            read = [read_pages(bytes(content)) for content in batch["content"]]
+            rows = [(seq, n, t) for seq, texts in zip(batch["seq"], read) for n, t in enumerate(texts, start=1)]
+            yield pd.DataFrame(rows, columns=["seq", "page_no", "text"]).astype({"seq": "int64", "page_no": "int64"})
 
     return files.select("seq", "content").mapInPandas(pages, PAGE_SCHEMA)
 

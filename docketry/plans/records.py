@@ -24,12 +24,14 @@ from docketry.functions.markup import (
     labelled_cells,
     last_block_text,
     link_text_by_title,
+    prepare,
     tag_with,
     tags_joined,
     value_text,
 )
 from docketry.functions.text import (
     blank_to_null,
+    decode_entities,
     drop_parens,
     first_slash_part,
     later_slash_parts,
@@ -46,7 +48,7 @@ def _record(df: DataFrame, fields: dict[str, Column], columns: list[str]) -> Dat
 
 
 def _decision_blocks(captures: DataFrame, kind: str) -> DataFrame:
-    pages = of_kind(captures, kind).select("seq", "body")
+    pages = of_kind(captures, kind).select("seq", prepare(F.col("body")).alias("body"))
     found = blocks.result_blocks(pages, at.RESULTS_ID)
     return found.withColumn("cells", labelled_cells(F.col("block")))
 
@@ -86,7 +88,9 @@ def first_degree_cases(captures: DataFrame, base_url: str) -> DataFrame:
         containers(body, at.OTHER_SUBJECTS["container"]).alias("subject_pieces"),
         containers(body, at.ENFORCEMENT["container"]).alias("enforcement_pieces"),
         containers(body, at.RELATED_CONTAINER).alias("related_pieces"),
-        tag_with(body, class_pattern(at.SECOND_DEGREE_LINK_CLASS)).alias("second_tag"),
+        F.when(
+            F.contains(body, F.lit(at.SECOND_DEGREE_LINK_CLASS)), tag_with(body, class_pattern(at.SECOND_DEGREE_LINK_CLASS))
+        ).otherwise("").alias("second_tag"),
     ).select(
         "*",
         labelled_block(F.col("subject_pieces"), at.LABEL_CLASS, at.OTHER_SUBJECTS["label"]).alias("subjects"),
@@ -100,7 +104,7 @@ def first_degree_cases(captures: DataFrame, base_url: str) -> DataFrame:
     fields["valor_acao"] = normalise_space(fields["valor_acao"])
     for place in (0, 1):
         slot = f"partes_processo_{place + 1}"
-        role = strip_space(F.get(F.col("roles"), F.lit(place)))
+        role = strip_space(decode_entities(F.get(F.col("roles"), F.lit(place))))
         fields[f"{slot}_tipo_participacao"] = F.when(F.size("parties") > place, role)
         fields[f"{slot}_nome_parte"] = blocks.party_at(F.col("parties"), place, "nomes_parte")
         fields[f"{slot}_advogados"] = blocks.party_at(F.col("parties"), place, "advogados_parte")
@@ -131,7 +135,7 @@ def second_degree_cases(captures: DataFrame) -> DataFrame:
         "seq",
         case_key().alias("numero_processo"),
         anchored_heads(body, list(at.SECOND_CASE_ANCHORS.values())).alias("heads"),
-        F.regexp_extract(details, origin, 1).alias("comarca"),
+        decode_entities(F.regexp_extract(details, origin, 1)).alias("comarca"),
     )
     fields = {name: anchor_text(F.col("heads"), anchor) for name, anchor in at.SECOND_CASE_ANCHORS.items()}
     fields |= {name: F.col(name) for name in ("numero_processo", "comarca")}
@@ -150,5 +154,6 @@ def document_links(captures: DataFrame) -> DataFrame:
 
 
 def _case_pages(captures: DataFrame, kind: str) -> DataFrame:
-    """Pages of a kind that show a case; pages with a list of cases give no record."""
-    return of_kind(captures, kind).filter(~page_kind_flags()["has_case_list"])
+    """Prepared pages of a kind that show a case; pages with a list of cases give no record."""
+    shown = of_kind(captures, kind).filter(~page_kind_flags()["has_case_list"])
+    return shown.select("seq", "meta", prepare(F.col("body")).alias("body"))

@@ -20,6 +20,7 @@ from docketry.queries.common import (
     sql_block_text,
     sql_entities,
     sql_inner_text,
+    spread,
     sql_spaces,
     status,
     table,
@@ -28,11 +29,16 @@ from docketry.queries.common import (
 
 
 
+def prepared_pages(spark, sf):
+    pages = spread(table(spark, sf, "pages"))
+    return pages.select("page_id", "url", markup.prepare(F.col("html")).alias("html"))
+
+
 def page_profile(spark, sf):
     """Flagship: title, language, links and first paragraph of the first page of each host."""
     html = F.col("html")
-    paragraph = F.regexp_extract(markup.drop_hidden(html), r"(?s)<article>.*?<p>(.*?)</p>", 1)
-    profile = table(spark, sf, "pages").select(
+    paragraph = F.regexp_extract(html, r"(?s)<article>.*?<p>(.*?)</p>", 1)
+    profile = prepared_pages(spark, sf).select(
         F.col("page_id").alias("seq"),
         host(F.col("url")).alias("host"),
         markup.inner_text(F.regexp_extract(html, "(?s)<h1[^>]*>(.*?)</h1>", 1)).alias("title"),
@@ -44,11 +50,11 @@ def page_profile(spark, sf):
 
 
 def inner_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.inner_text(F.col("html")).alias("text"))
+    return prepared_pages(spark, sf).select("page_id", markup.inner_text(F.col("html")).alias("text"))
 
 
 def block_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.block_text(F.col("html")).alias("text"))
+    return prepared_pages(spark, sf).select("page_id", markup.block_text(F.col("html")).alias("text"))
 
 
 def attr_value(spark, sf):
@@ -57,13 +63,13 @@ def attr_value(spark, sf):
 
 
 def tags_joined(spark, sf):
-    return table(spark, sf, "pages").select(
+    return prepared_pages(spark, sf).select(
         "page_id", markup.tags_joined(F.col("html"), "ad").alias("ads"), markup.element_texts(F.col("html"), "li").alias("items")
     )
 
 
 def last_block_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.last_block_text(F.col("html"), "article", "p").alias("text"))
+    return prepared_pages(spark, sf).select("page_id", markup.last_block_text(F.col("html"), "article", "p").alias("text"))
 
 
 def anchor_text(spark, sf):
@@ -159,7 +165,7 @@ def fallback_text(spark, sf):
 
 def result_blocks(spark, sf):
     body = render.result_page(render.first_decision_blocks(), anchored=True)
-    captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, body, "o_orderkey")
+    captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, markup.prepare(body), "o_orderkey")
     found = blocks.result_blocks(captures.select("seq", "body"), at.RESULTS_ID)
     return found.select("seq", markup.link_text_by_title(F.col("block"), at.FULL_TEXT_TITLE).alias("numero_processo"))
 
@@ -183,7 +189,7 @@ def _party_pages(spark, sf):
         F.when(F.col("c_mktsegment") != "BUILDING", render.party_cell(text_of("R&eacute;u ", F.col("c_custkey")), [])).otherwise(F.lit("")),
         "</tr></table>",
     )
-    return table(spark, sf, "customer").select("c_custkey", blocks.parties(cells, at.PARTY_CLASS).alias("parties"))
+    return table(spark, sf, "customer").select("c_custkey", blocks.parties(markup.prepare(cells), at.PARTY_CLASS).alias("parties"))
 
 
 def parties_split(spark, sf):

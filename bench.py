@@ -27,14 +27,18 @@ def main() -> None:
 
     chosen = sys.argv[1:] or list(queries())
     spark.range(1000).selectExpr("sum(id)").collect()
-    seconds = {}
+    seconds, failed = {}, {}
     for name in chosen:
         start = time.perf_counter()
-        queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        try:
+            queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.perf_counter() - start, 3)
+        except Exception as error:  # noqa: BLE001 - one failure must not hide the other timings
+            failed[name] = f"{type(error).__name__}: {error}"[:200]
     total = round(sum(seconds.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))
+    line = {"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf}
+    print(json.dumps({**line, "failed": failed} if failed else line))
 
 
 if __name__ == "__main__":

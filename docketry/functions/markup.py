@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from docketry.functions.text import SPACE, SPACE_RUN, decode_entities, first_filled, strip_space
+from docketry.functions.text import SPACE, SPACE_RUN, bound, decode_entities, first_filled, strip_space
 
 # Stand-in for comments, scripts and styles: an empty tag, so that text on both sides stays apart.
 GAP = "<>"
@@ -42,14 +42,14 @@ def inner_text(markup: Column, delimiter: str = "") -> Column:
     """Each text node below an element, stripped, joined by the delimiter."""
     spaced = F.regexp_replace(markup, HARD_SPACE, "\u00a0")
     if delimiter == "":
-        return decode_entities(strip_space(F.regexp_replace(spaced, TAG_WITH_SPACE, "")))
+        return bound(strip_space(F.regexp_replace(spaced, TAG_WITH_SPACE, "")), decode_entities)
     nodes = F.filter(F.split(spaced, "<[^>]*>"), lambda n: n != "")
-    return decode_entities(F.array_join(F.transform(nodes, strip_space), delimiter))
+    return bound(F.array_join(F.transform(nodes, strip_space), delimiter), decode_entities)
 
 
 def block_text(markup: Column) -> Column:
     """Whole text of a block, stripped at its two ends only."""
-    return strip_space(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")))
+    return strip_space(bound(F.regexp_replace(markup, "<[^>]*>", ""), decode_entities))
 
 
 def anchor_text(body: Column, element_id: str) -> Column:
@@ -78,7 +78,7 @@ def labelled_cells(block: Column) -> Column:
     """A block's text with cell boundaries kept, ready for ``label_detail``."""
     spaced = F.regexp_replace(block, HARD_SPACE, "\u00a0")
     shown = F.regexp_replace(spaced, r"</?[tT][rRdDhH]\b[^>]*>", CELL_END)
-    return decode_entities(F.regexp_replace(shown, TAG_WITH_SPACE, ""))
+    return bound(F.regexp_replace(shown, TAG_WITH_SPACE, ""), decode_entities)
 
 
 def label_detail(cells: Column, label: str) -> Column:
@@ -154,7 +154,7 @@ def cells_of(row: Column) -> Column:
 def nth_cell(cells: Column, n: int) -> Column:
     """Own first text of the n-th cell, stripped; blank when there is no such cell."""
     own = F.regexp_extract(F.get(cells, F.lit(n - 1)), r"^([^<]*+)", 1)
-    return F.coalesce(strip_space(decode_entities(own))), F.lit("")
+    return F.coalesce(strip_space(decode_entities(own)), F.lit(""))
 
 
 def table_after_label(body: Column, label: str) -> Column:

@@ -2,6 +2,8 @@
 
 Rows carry ``seq``, their position. Null and blank keys equal nothing: their rows are
 always appended and take no part in grouping or joining, however many there are.
+New rows are read more than once: hand over a stored or staged table, not a chain of
+page extraction.
 """
 
 from __future__ import annotations

@@ -29,6 +29,10 @@ from docketry.queries.common import (
 
 
 
+def orders_table(spark, sf):
+    return spread(table(spark, sf, "orders"))
+
+
 def prepared_pages(spark, sf):
     pages = spread(table(spark, sf, "pages"))
     return pages.select("page_id", "url", markup.prepare(F.col("html")).alias("html"))
@@ -78,7 +82,7 @@ def anchor_text(spark, sf):
         render.span_anchor(at.FIRST_CASE_SPAN_ANCHORS["classe"], priority()),
         render.own_anchor(at.FIRST_CASE_OWN_ANCHORS["juiz"], text_of("Juiz ", customer())),
     )
-    orders = table(spark, sf, "orders").select("o_orderkey", body.alias("body"))
+    orders = orders_table(spark, sf).select("o_orderkey", body.alias("body"))
     return orders.select(
         "o_orderkey",
         markup.anchor_text(F.col("body"), at.FIRST_CASE_SPAN_ANCHORS["classe"]).alias("classe"),
@@ -91,7 +95,7 @@ def label_detail(spark, sf):
     block = text_of(
         "<table>", render.labelled_row("Classe/Assunto:", priority()), render.labelled_row("Foro:", text_of("Foro ", customer())), "</table>"
     )
-    orders = table(spark, sf, "orders").select("o_orderkey", markup.labelled_cells(block).alias("cells"))
+    orders = orders_table(spark, sf).select("o_orderkey", markup.labelled_cells(block).alias("cells"))
     return orders.select(
         "o_orderkey",
         *[
@@ -112,7 +116,7 @@ def labelled_block(spark, sf):
         '<span class="unj-label">z</span><a href="/z">z</a>',
     )
     pieces = markup.containers(body, container)
-    orders = table(spark, sf, "orders").select(
+    orders = orders_table(spark, sf).select(
         "o_orderkey",
         markup.labelled_block(pieces, at.LABEL_CLASS, at.MAIN_CASE_LABEL).alias("main"),
         markup.labelled_block(pieces, at.LABEL_CLASS, at.ATTACHED_CASE_LABEL).alias("attached"),
@@ -127,7 +131,7 @@ def labelled_block(spark, sf):
 
 def link_text_by_title(spark, sf):
     block = render.decision_block(text_of("<b>", key(), "</b>-", status()), [("Classe:", priority())], "x")
-    return table(spark, sf, "orders").select(
+    return orders_table(spark, sf).select(
         "o_orderkey", markup.link_text_by_title(block, at.FULL_TEXT_TITLE).alias("numero"),
         markup.link_text_by_title(block, "Outro").alias("outro"),
     )
@@ -136,7 +140,7 @@ def link_text_by_title(spark, sf):
 def nth_cell(spark, sf):
     row = text_of("<tr><td>\n", key(), "</td><td> ", status(), "<b>x</b></td><td class='c'>", priority(), "\n</td></tr>")
     cells = markup.cells_of(row)
-    return table(spark, sf, "orders").select(
+    return orders_table(spark, sf).select(
         "o_orderkey", *[markup.nth_cell(cells, n).alias(f"cell_{n}") for n in (1, 2, 3, 4)]
     )
 
@@ -144,7 +148,7 @@ def nth_cell(spark, sf):
 def table_after_label(spark, sf):
     body = text_of("<p>", render.first_instance_tables(priority(), customer()), "<table><tr><td>late</td></tr></table>")
     inside = markup.table_after_label(body, at.FIRST_INSTANCE_LABEL)
-    return table(spark, sf, "orders").select(
+    return orders_table(spark, sf).select(
         "o_orderkey", markup.inner_text(inside, "|").alias("text"), markup.table_after_label(body, "Outro").alias("other")
     )
 
@@ -152,7 +156,7 @@ def table_after_label(spark, sf):
 def script_param(spark, sf):
     parameters = text_of("doc=", F.col("doc_id"), "&lang=", F.col("lang"), "&src=", F.col("source"))
     body = F.when(F.col("lang") == "de", F.lit("<html><script>var x = 1;</script></html>")).otherwise(render.viewer_page(parameters))
-    return table(spark, sf, "documents").select("doc_id", markup.script_param(body, at.VIEWER_PARAM).alias("parameters"))
+    return spread(table(spark, sf, "documents")).select("doc_id", markup.script_param(body, at.VIEWER_PARAM).alias("parameters"))
 
 
 def fallback_text(spark, sf):
@@ -160,7 +164,7 @@ def fallback_text(spark, sf):
     cell = text_of("\n", priority(), "<a>", linked, "</a>")
     link = F.trim(F.regexp_extract(cell, "<a>([^<]*)", 1))
     own = F.regexp_extract(cell, r"^\s*([^<]*)", 1)
-    return table(spark, sf, "orders").select("o_orderkey", markup.fallback_text(link, own).alias("title"))
+    return orders_table(spark, sf).select("o_orderkey", markup.fallback_text(link, own).alias("title"))
 
 
 def result_blocks(spark, sf):
@@ -189,7 +193,7 @@ def _party_pages(spark, sf):
         F.when(F.col("c_mktsegment") != "BUILDING", render.party_cell(text_of("R&eacute;u ", F.col("c_custkey")), [])).otherwise(F.lit("")),
         "</tr></table>",
     )
-    return table(spark, sf, "customer").select("c_custkey", blocks.parties(markup.prepare(cells), at.PARTY_CLASS).alias("parties"))
+    return spread(table(spark, sf, "customer")).select("c_custkey", blocks.parties(markup.prepare(cells), at.PARTY_CLASS).alias("parties"))
 
 
 def parties_split(spark, sf):
@@ -227,7 +231,7 @@ def page_kind(spark, sf):
     listed = F.when(status() == "P", render.case_list(key())).otherwise(F.lit('<p class="modal__lista-processos__vazia">'))
     body = text_of(listed, render.pager(at.FIRST_SEARCH, key(), priority() == "1-URGENT"))
     flags = page_kind_flags(F.col("body"))
-    orders = table(spark, sf, "orders").select("o_orderkey", body.alias("body"))
+    orders = orders_table(spark, sf).select("o_orderkey", body.alias("body"))
     return orders.select("o_orderkey", *[flag.cast("bigint").alias(name) for name, flag in flags.items()])
 
 

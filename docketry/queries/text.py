@@ -7,21 +7,24 @@ from pyspark.sql import functions as F
 from docketry.functions import links, maps, predicates, text
 from docketry.functions.links import SECOND_DEGREE_PARAMS
 from docketry.functions.markup import attr_value
-from docketry.functions.text import SPACE
 from docketry.operators.documents import document_id
 from docketry.plans.pages import from_page
-from docketry.queries.common import BASE, SQL_SPACE, sql_spaces, sql_strip, table, text_of
+from docketry.queries.common import BASE, sql_spaces, spread, sql_strip, table, text_of
 
 ODD_SPACE = "\u2003\u00a0 \t"
 
 
+def documents(spark, sf):
+    return spread(table(spark, sf, "documents"))
+
+
 def normalise_space(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.normalise_space(F.col("text")).alias("text"))
+    return documents(spark, sf).select("doc_id", text.normalise_space(F.col("text")).alias("text"))
 
 
 def strip_unicode(spark, sf):
     padded = text_of(ODD_SPACE, F.col("text"), ODD_SPACE)
-    return table(spark, sf, "documents").select("doc_id", text.strip_space(padded).alias("text"))
+    return documents(spark, sf).select("doc_id", text.strip_space(padded).alias("text"))
 
 
 def blank_default(spark, sf):
@@ -36,7 +39,7 @@ def blank_default(spark, sf):
 
 
 def delete_chars(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.delete_chars(F.col("text")).alias("text"))
+    return documents(spark, sf).select("doc_id", text.delete_chars(F.col("text")).alias("text"))
 
 
 def strip_label(spark, sf):
@@ -61,7 +64,7 @@ def paren_parts(spark, sf):
 
 
 def clean_document(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.clean_document(F.col("text")).alias("text"))
+    return documents(spark, sf).select("doc_id", text.clean_document(F.col("text")).alias("text"))
 
 
 def query_params(spark, sf):
@@ -84,7 +87,7 @@ def cookie_map(spark, sf):
 
 
 def quote_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", links.quote_text(F.col("text")).alias("quoted"))
+    return documents(spark, sf).select("doc_id", links.quote_text(F.col("text")).alias("quoted"))
 
 
 def absolute_link(spark, sf):
@@ -128,8 +131,7 @@ SEARCH = '"prueba" OU "était" OU "que é"'
 
 
 def any_phrase(spark, sf):
-    documents = table(spark, sf, "documents")
-    return documents.filter(predicates.any_phrase(F.col("text"), predicates.phrases_of(SEARCH))).select("doc_id", "lang")
+    return documents(spark, sf).filter(predicates.any_phrase(F.col("text"), predicates.phrases_of(SEARCH))).select("doc_id", "lang")
 
 
 def date_upper_bound(spark, sf):
@@ -159,7 +161,7 @@ def doc_complete(spark, sf):
 
 
 def document_id_query(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", document_id(F.col("text").cast("binary")).alias("pdf_name"))
+    return documents(spark, sf).select("doc_id", document_id(F.col("text").cast("binary")).alias("pdf_name"))
 
 
 def class_subject(spark, sf):

@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from docketry.session import work_dir
+
+
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def string_schema(columns: list[str], with_seq: bool = True) -> T.StructType:
     fields = [T.StructField("seq", T.LongType())] if with_seq else []
@@ -17,7 +27,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], with_seq: bool
     Quoted line breaks need one task per file; for tables without them pass
     ``line_breaks=False``, and large files are split.
     """
-    reader = spark.read.schema(string_schema(columns, with_seq)).option("header", True).option("escape", '"')
+    reader = spark.read.schema(string_schema(columns, with_seq)).options(**CSV_OPTIONS)
     return reader.option("multiLine", line_breaks).csv(path)
 
 
@@ -32,8 +42,7 @@ def import_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """UTF-8, header, every value quoted, quotes doubled."""
-    writer = df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"')
-    writer.csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).option("quoteAll", True).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, source_format: str = "parquet") -> DataFrame:
@@ -52,6 +61,15 @@ def write_version(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Rows written once to the shared work folder and read back.
+
+    Table maintenance reads its new rows more than once. Staged rows are not worked out
+    again from the pages, and a lost executor costs one read instead of the whole chain.
+    """
+    return write_version(df, work_dir(df.sparkSession, "staged"))
+
+
 def work_list(table: DataFrame, key: str = "numero_processo") -> DataFrame:
     """The key column of a table as a list of work, with its order."""
     return table.select("seq", key)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docketry.operators.writes import CASE_KEY, fresh_rows, upsert
 from docketry.sources.captures import CAPTURE_SCHEMA
-from docketry.sources.tables import read_table
+from docketry.sources.tables import read_table, stage
 
 # A batch id shifted left leaves room for positions below 2**43 inside the batch.
 BATCH_BITS = 43
@@ -63,7 +63,7 @@ def insert_batch(
 
     def write(captures: DataFrame, batch_id: int) -> None:
         stored = stored_batches(captures.sparkSession, table, schema, before=batch_id)
-        fresh_rows(stored, extract(captures), keys).write.mode("overwrite").parquet(batch_folder(table, batch_id))
+        fresh_rows(stored, stage(extract(captures)), keys).write.mode("overwrite").parquet(batch_folder(table, batch_id))
 
     return write
 

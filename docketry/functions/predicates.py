@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from docketry.functions.text import bound
+
 # How the search text marks phrases and joins them, and its date format.
 PHRASE_PATTERN = '"([^"]+)"'
 DATE_FORMAT = "dd/MM/yyyy"
 
 
-# Latin letters with marks, for folding: Latin-1, Extended-A and -B, Extended Additional.
-LATIN = [chr(c) for c in (*range(0x41, 0x250), *range(0x1E00, 0x1F00))]
+# Lower-case Latin letters with marks and the letters below the marks, by rule; then the
+# combining marks themselves, which have no counterpart and are dropped.
+MARKED = [c for c in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))) if c.islower() and unicodedata.normalize("NFD", c)[0].isascii()]
+UNMARKED = [unicodedata.normalize("NFD", c)[0] for c in MARKED]
+MARKS = [chr(c) for c in range(0x300, 0x370)]
 
 
 def phrases_of(search: str) -> list[str]:
@@ -21,26 +27,18 @@ def phrases_of(search: str) -> list[str]:
     return re.findall(PHRASE_PATTERN, search) or [search]
 
 
-def _base(char: str) -> str:
-    return unicodedata.normalize("NFD", char)[0].lower()
-
-
-def _folded(char: str) -> str:
-    """Pattern for a character in either case, with or without marks."""
-    alike = {char.lower(), char.upper(), _base(char)} | {c for c in LATIN if c.isalpha() and _base(c) == _base(char)}
-    single = sorted(c for c in alike if len(c) == 1)
-    chars = "".join(re.escape(c) for c in single)
-    return rf"[{chars}]\p{{Mn}}*+" if char.isalpha() else re.escape(char)
+def folded(x: Column) -> Column:
+    """Lower case without accents."""
+    return F.translate(F.lower(x), "".join([*MARKED, *MARKS]), "".join(UNMARKED))
 
 
 def any_phrase(x: Column, phrases: list[str]) -> Column:
-    """True when the text has one of the phrases, whatever the case or accents.
+    """True when the text has one of the phrases, whatever the case or accents."""
+
+    def has_one(text: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(text, folded(F.lit(p))) for p in phrases])
 
-    One pass over the text for all phrases: each letter of a phrase becomes the class
-    of its marked and unmarked forms.
-    """
-    composed = [unicodedata.normalize("NFC", p) for p in phrases]
-    return F.regexp_like(x, F.lit("|".join("".join(map(_folded, p)) for p in composed)))
+    return bound(folded(x), has_one)
 
 
 def date_of(x: Column) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Page texts are first joined in runs of this many pages, so that one long document
 # is put together by many tasks; only its finished runs meet in the last step.
 RUN_PAGES = 128
-# A document above this many characters does not fit one cell; it is kept in runs.
+# A document above either bound does not fit one cell; it is kept as pages.
 CELL_CHARS = 500_000_000
+CELL_PAGES = 1_000_000
 
 
 def filled_key(keys: list[str]) -> Column:
@@ -62,13 +63,13 @@ def text_runs(pages: DataFrame, document: list[str]) -> DataFrame:
 
 
 def oversized(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Documents too long for one cell: at most one per ``cell_chars`` characters of input."""
-    sizes = pages.groupBy(*document).agg(F.sum(F.length("text")).alias("chars"))
-    return sizes.filter(F.col("chars") > cell_chars).select(*document)
+    """Documents too long for one cell: at most one per ``cell_chars`` characters or ``CELL_PAGES`` rows of input."""
+    sizes = pages.groupBy(*document).agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("pages"))
+    return sizes.filter((F.col("chars") > cell_chars) | (F.col("pages") > CELL_PAGES)).select(*document)
 
 
 def document_text(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Whole text of each document that fits one cell; ``oversized_runs`` has the others."""
+    """Whole text of each document that fits one cell; ``oversized_pages`` has the others."""
     # Safe to broadcast: 100 TB of text hold at most 200,000 documents of this length.
     long_ones = F.broadcast(oversized(pages, document, cell_chars))
     runs = text_runs(pages.join(long_ones, document, "left_anti"), document)
@@ -76,10 +77,9 @@ def document_text(pages: DataFrame, document: list[str], cell_chars: int = CELL_
     return runs.groupBy(*document).agg(joined.alias("text"))
 
 
-def oversized_runs(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """The documents ``document_text`` leaves out, whole, as rows of page runs."""
-    long_ones = F.broadcast(oversized(pages, document, cell_chars))
-    return text_runs(pages.join(long_ones, document, "left_semi"), document)
+def oversized_pages(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
+    """The documents ``document_text`` leaves out, whole, as the rows they came in."""
+    return pages.join(F.broadcast(oversized(pages, document, cell_chars)), document, "left_semi")
 
 
 def search_progress(captures: DataFrame, page_no: Column, has_next: Column) -> DataFrame:

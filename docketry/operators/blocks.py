@@ -1,6 +1,6 @@
 """Generators: one prepared page in, many rows out. All are narrow: no shuffle, no Python stage.
 
-Rows carry ``seq``: the capture's position shifted left, plus the place in the page.
+Rows carry ``seq``: the capture's position times 2**28, plus the place in the page.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from docketry.functions.text import (
 )
 
 # The shortest row is nine characters and a string has fewer than 2**31, so a page
-# has fewer than 2**28 rows: 28 bits always hold the place in the page.
-PLACE_BITS = 28
+# has fewer than 2**28 rows. Capture positions must stay below 2**35; a larger one stops
+# the job with an overflow error instead of mixing up the order.
+PLACES = 2**28
 
 TABLE_INSIDE = r"(?:[^<]++|<(?!/?table\b))*+"
 INNER_TABLE = rf"<table\b[^>]*+>({TABLE_INSIDE})</table>"
@@ -38,7 +39,7 @@ OUTER_TABLE = rf"<table\b[^>]*+>((?:[^<]++|<(?!/?table\b)|<table\b[^>]*+>{TABLE_
 
 
 def place_in_page(seq: Column, place: Column) -> Column:
-    return F.shiftleft(seq, PLACE_BITS) + place.cast("bigint")
+    return seq * PLACES + place.cast("bigint")
 
 
 def nested_tables(markup: Column) -> Column:

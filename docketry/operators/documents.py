@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketry.functions.text import blank_to_null, clean_document
 from docketry.operators.aggregates import CELL_CHARS, document_text
+from docketry.operators.skew import keyed_join
 from docketry.plans.layouts import DOCUMENT_COLUMNS
 
-PAGE_SCHEMA = "seq long, page_no long, text string"
+PAGE_SCHEMA = "seq long, page_no long, text string, reason string"
 
 
 def document_id(content: Column) -> Column:
@@ -22,16 +23,23 @@ def document_id(content: Column) -> Column:
 def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None]]) -> DataFrame:
     """Page texts of ``files(seq, content)`` through the user's decoder of one file's bytes.
 
-    The one Python stage of the package. Files stream through in Arrow batches.
+    The one Python stage of the package; files stream through in Arrow batches. A file
+    the decoder fails on gives one row with the reason, and the rest go on.
     """
 
-    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pages_of(seq: int, content: bytes) -> list[tuple]:
+        try:
+            return [(seq, n, text, None) for n, text in enumerate(read_pages(bytes(content)), start=1)]
+        except Exception as error:  # noqa: BLE001 - whatever the decoder raises
+            return [(seq, None, None, f"{type(error).__name__}: {error}")]
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            read = [read_pages(bytes(content)) for content in batch["content"]]
-            rows = [(seq, n, t) for seq, texts in zip(batch["seq"], read) for n, t in enumerate(texts, start=1)]
-            yield pd.DataFrame(rows, columns=["seq", "page_no", "text"]).astype({"seq": "int64", "page_no": "int64"})
+            rows = [row for seq, content in zip(batch["seq"], batch["content"]) for row in pages_of(seq, content)]
+            df = pd.DataFrame(rows, columns=["seq", "page_no", "text", "reason"])
+            yield df.astype({"seq": "int64", "page_no": "Int64"})
 
-    return files.select("seq", "content").mapInPandas(pages, PAGE_SCHEMA)
+    return files.select("seq", "content").mapInPandas(decode, PAGE_SCHEMA)
 
 
 def utf8_pages(content: bytes) -> list[str]:
@@ -46,5 +54,5 @@ def case_documents(pages: DataFrame, links: DataFrame, cell_chars: int = CELL_CH
     titulo, descricao, processo.
     """
     texts = document_text(pages, ["seq"], cell_chars)
-    joined = texts.join(links, ["seq"])
+    joined = keyed_join(links, texts, ["seq"], "inner", ["numero_processo", "documento"])
     return joined.withColumn("conteudo", blank_to_null(clean_document(F.col("text")))).select("seq", *DOCUMENT_COLUMNS)

@@ -37,15 +37,19 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str] = CASE_K
     return append(target, fresh_rows(target, new, keys))
 
 
-def upsert(target: DataFrame, new: DataFrame, keys: list[str] = CASE_KEY) -> DataFrame:
+def upsert(
+    target: DataFrame, new: DataFrame, keys: list[str] = CASE_KEY, order: tuple[str, ...] = ("seq",)
+) -> DataFrame:
     """Every target row with a key takes all columns of its latest new row.
 
     A blank overwrites, columns the new rows lack stay as they are, and columns only
     they have widen the table. Unknown keys are added once, at their first position.
+    ``order`` names the columns of ``new`` that say which row is later.
     """
     usable = filled_key(keys)
-    values = [c for c in new.columns if c not in keys and c != "seq"]
-    latest = _latest_at_first_place(new.filter(usable), keys)
+    values = [c for c in new.columns if c not in (*keys, *order, "seq")]
+    columns_of_new = [c for c in new.columns if c in (*keys, *values, "seq")]
+    latest = _latest_at_first_place(new.filter(usable), keys, values, F.struct(*order) if len(order) > 1 else F.col(order[0]))
 
     known_keys = target.filter(usable).select(*keys).distinct()
     added = latest.join(known_keys, keys, "left_anti")
@@ -55,7 +59,7 @@ def upsert(target: DataFrame, new: DataFrame, keys: list[str] = CASE_KEY) -> Dat
     joined = keyed_join(target, fresh, keys, "left", ["seq"])
     columns = [*target.columns, *[c for c in values if c not in target.columns]]
     updated = joined.select(*[_overwritten(c, c in target.columns) if c in values else F.col(c) for c in columns])
-    return reduce(append, [updated, added.select(*new.columns), new.filter(~usable)])
+    return reduce(append, [updated, added.select(*columns_of_new), new.filter(~usable).select(*columns_of_new)])
 
 
 def _overwritten(name: str, had: bool) -> Column:
@@ -63,10 +67,9 @@ def _overwritten(name: str, had: bool) -> Column:
     return F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(old).alias(name)
 
 
-def _latest_at_first_place(new: DataFrame, keys: list[str]) -> DataFrame:
+def _latest_at_first_place(new: DataFrame, keys: list[str], values: list[str], place: Column) -> DataFrame:
     """The latest row of each key, standing where the key first appeared."""
-    rest = [c for c in new.columns if c not in keys and c != "seq"]
     picked = new.groupBy(*keys).agg(
-        F.min("seq").alias("seq"), F.max_by(F.struct(*rest), F.col("seq")).alias("_row")
+        F.min_by("seq", place).alias("seq"), F.max_by(F.struct(*values), place).alias("_row")
     )
-    return picked.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in new.columns])
+    return picked.select("seq", *keys, *[F.col(f"_row.{c}").alias(c) for c in values])

@@ -182,7 +182,7 @@ def case_documents_query(spark, sf):
 
 def decode_hook(spark, sf):
     files = table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("text").cast("binary").alias("content"))
-    return decode_pages(files, utf8_pages)
+    return decode_pages(files, utf8_pages).filter("reason IS NULL").drop("reason")
 
 
 def first_capture(spark, sf):

@@ -47,5 +47,7 @@ def as_captures(
 
 
 def decode_body(content: Column, charset: str = "ISO-8859-1") -> Column:
-    """Bytes to text in the charset the portal answers in."""
+    """Bytes to text in the charset the portal answers in; null where they are not UTF-8 but should be."""
+    if charset.upper() == "UTF-8":
+        return F.try_validate_utf8(content.cast("string"))
     return F.decode(content, charset)

@@ -14,9 +14,6 @@ from docketry.operators.writes import CASE_KEY, fresh_rows, upsert
 from docketry.sources.captures import CAPTURE_SCHEMA
 from docketry.sources.tables import read_table, stage
 
-# A batch id shifted left leaves room for positions below 2**43 inside the batch.
-BATCH_BITS = 43
-
 
 def new_captures(spark: SparkSession, path: str, schema: T.StructType = CAPTURE_SCHEMA) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
@@ -70,5 +67,4 @@ def insert_batch(
 
 def upserted_view(base: DataFrame, changes: DataFrame, keys: list[str] = CASE_KEY) -> DataFrame:
     """The table as of now: the base with all stored batches of changes applied in order."""
-    place = F.shiftleft(F.col("batch_id"), BATCH_BITS) + F.col("seq")
-    return upsert(base, changes.withColumn("seq", place).drop("batch_id"), keys)
+    return upsert(base, changes, keys, order=("batch_id", "seq"))

@@ -204,6 +204,20 @@ def test_a_decoder_may_give_null_pages(spark):
     assert [(r["page_no"], r["text"]) for r in texts.orderBy("page_no").collect()] == [(1, "a"), (2, None), (3, "b")]
 
 
+def test_a_file_the_decoder_fails_on_does_not_stop_the_rest(spark):
+    files = spark.createDataFrame([(1, b"ok"), (2, b"\xff"), (3, None)], "seq long, content binary")
+    good, bad = split_bad(documents.decode_pages(files, documents.utf8_pages).withColumnRenamed("reason", "why"), F.col("why"))
+    assert [(r["seq"], r["text"]) for r in good.collect()] == [(1, "ok")]
+    assert sorted((r["seq"], r["reason"].split(":")[0]) for r in bad.collect()) == [(2, "UnicodeDecodeError"), (3, "TypeError")]
+
+
+def test_positions_too_large_for_a_place_in_the_page_stop_the_job(spark):
+    block = portal.block("9", [("Classe:", "A")], "e")
+    captures = portal.captures(spark, portal.capture(2**36, at.SECOND_SEARCH, portal.results(block)))
+    with pytest.raises(Exception, match="(?i)overflow"):
+        records.second_degree_decisions(captures).collect()
+
+
 def test_cookies(spark):
     headers = [("Set-Cookie", "a=1; Path=/"), ("set-cookie", "b=x=y"), ("Set-Cookie", "a=2"), ("Date", "d=1"), ("Set-Cookie", "flag")]
     page = portal.captures(spark, portal.capture(1, at.FIRST_SEARCH, "", headers=headers))

@@ -54,7 +54,7 @@ def test_captures_round_trip(spark, tmp_path, source_format):
 
 def test_bodies_in_latin1(spark):
     df = spark.createDataFrame([("Próxima".encode("latin1"),)], "b binary")
-    assert df.select(decode_body(F.col("b"))).collect()[0][0] == "Próxima"
+    assert df.select(decode_body(F.col("b")), decode_body(F.col("b"), "UTF-8")).collect()[0] == ("Próxima", None)
 
 
 def test_files_are_stored_under_a_name_from_their_bytes(spark, tmp_path):

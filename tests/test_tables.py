@@ -112,9 +112,9 @@ def test_document_text_in_page_order_and_oversized_ones_apart(spark):
     assert got == {"d": "".join(f"{n};" for n in range(1000)), "e": "ab", "n": ""}
     small = {r["doc"]: r["text"] for r in aggregates.document_text(df, ["doc"], cell_chars=100).collect()}
     assert set(small) == {"e", "n"}
-    runs = aggregates.oversized_runs(df, ["doc"], cell_chars=100).orderBy("run_no").collect()
-    assert {r["doc"] for r in runs} == {"d"}
-    assert "".join(r["run_text"] for r in runs) == got["d"]
+    rest = aggregates.oversized_pages(df, ["doc"], cell_chars=100).orderBy("page_no").collect()
+    assert {r["doc"] for r in rest} == {"d"}
+    assert "".join(r["text"] for r in rest) == got["d"]
 
 
 def test_aggregates_of_empty_tables(spark):

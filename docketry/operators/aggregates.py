@@ -6,11 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Page texts are first joined in runs of this many pages, so that one long document
-# is put together by many tasks; only its finished runs meet in the last step.
-RUN_PAGES = 128
 # A document above either bound does not fit one cell; it is kept as pages.
-CELL_CHARS = 500_000_000
+CELL_CHARS = 200_000_000
 CELL_PAGES = 1_000_000
 
 
@@ -50,18 +47,6 @@ def any_match(df: DataFrame, test: Column, name: str = "found") -> DataFrame:
     return df.agg(F.coalesce(F.bool_or(test), F.lit(False)).alias(name))
 
 
-def text_runs(pages: DataFrame, document: list[str]) -> DataFrame:
-    """Page texts joined in page order, one row per run of ``RUN_PAGES`` pages."""
-    runs = pages.select(
-        *document,
-        F.floor(F.col("page_no") / RUN_PAGES).alias("run_no"),
-        "page_no",
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    )
-    joined = F.expr("listagg(text, '') within group (order by page_no, text)")
-    return runs.groupBy(*document, "run_no").agg(joined.alias("run_text"))
-
-
 def oversized(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
     """Documents too long for one cell: at most one per ``cell_chars`` characters or ``CELL_PAGES`` rows of input."""
     sizes = pages.groupBy(*document).agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("pages"))
@@ -69,12 +54,17 @@ def oversized(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHAR
 
 
 def document_text(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Whole text of each document that fits one cell; ``oversized_pages`` has the others."""
-    # Safe to broadcast: 100 TB of text hold at most 200,000 documents of this length.
+    """Page texts joined in page order, one row per document that fits one cell.
+
+    The bounds keep every group small enough for one task, so one shuffle does;
+    ``oversized_pages`` has the other documents.
+    """
+    # Safe to broadcast: 100 TB of text hold at most 500,000 documents of this length.
     long_ones = F.broadcast(oversized(pages, document, cell_chars))
-    runs = text_runs(pages.join(long_ones, document, "left_anti"), document)
-    joined = F.expr("listagg(run_text, '') within group (order by run_no)")
-    return runs.groupBy(*document).agg(joined.alias("text"))
+    fitting = pages.join(long_ones, document, "left_anti")
+    filled = fitting.select(*document, "page_no", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    joined = F.expr("listagg(text, '') within group (order by page_no, text)")
+    return filled.groupBy(*document).agg(joined.alias("text"))
 
 
 def oversized_pages(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketry.functions.text import blank_to_null, clean_document
 from docketry.operators.aggregates import CELL_CHARS, document_text
-from docketry.operators.skew import keyed_join
 from docketry.plans.layouts import DOCUMENT_COLUMNS
 
 PAGE_SCHEMA = "seq long, page_no long, text string, reason string"
@@ -54,5 +53,6 @@ def case_documents(pages: DataFrame, links: DataFrame, cell_chars: int = CELL_CH
     titulo, descricao, processo.
     """
     texts = document_text(pages, ["seq"], cell_chars)
-    joined = keyed_join(links, texts, ["seq"], "inner", ["numero_processo", "documento"])
+    # One row per file on both sides, so no key is hot; the texts stay where they were joined.
+    joined = texts.join(links, ["seq"])
     return joined.withColumn("conteudo", blank_to_null(clean_document(F.col("text")))).select("seq", *DOCUMENT_COLUMNS)

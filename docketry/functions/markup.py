@@ -59,14 +59,24 @@ def anchor_text(body: Column, element_id: str) -> Column:
 
 
 def anchored_heads(body: Column, element_ids: list[str]) -> Column:
-    """The opening tag and first text of several anchors, cut out in one pass.
-
-    The result is a few hundred characters; ``anchor_text`` on it gives the same
-    value as on the whole page, without one scan of the page per field.
-    """
+    """The opening tag and first text of several anchors, cut out in one pass over the page."""
     ids = "|".join(re.escape(i) for i in element_ids)
-    heads = F.regexp_extract_all(body, F.lit(rf'id="(?:{ids})"[^>]*+>{TO_FIRST_TEXT}[^<]*+'), F.lit(0))
-    return F.array_join(heads, "<>")
+    return F.regexp_extract_all(body, F.lit(rf'id="(?:{ids})"[^>]*+>{TO_FIRST_TEXT}[^<]*+'), F.lit(0))
+
+
+def head_ids(heads: Column) -> Column:
+    return F.transform(heads, lambda h: F.substring_index(F.substring_index(h, '"', 2), '"', -1))
+
+
+def head_texts(heads: Column) -> Column:
+    texts = F.transform(heads, lambda h: F.substring_index(h, ">", -1))
+    return F.transform(texts, lambda t: strip_space(decode_entities(t)))
+
+
+def head_text(ids: Column, texts: Column, element_id: str) -> Column:
+    """Text of the first head with an id: what ``anchor_text`` finds in the whole page."""
+    place = F.array_position(ids, element_id).cast("int") - 1
+    return F.coalesce(F.get(texts, place), F.lit(""))
 
 
 def element_inner(body: Column, element_id: str, tag: str) -> Column:
@@ -93,23 +103,18 @@ def attr_value(tag: Column, name: str) -> Column:
     return decode_entities(found)
 
 
-def tag_with(body: Column, attribute: str) -> Column:
-    """First opening tag that carries the attribute text (a pattern)."""
-    return F.regexp_extract(body, rf"<[a-zA-Z][^<>]*?\s{attribute}[^<>]*+>", 0)
-
-
-def containers(body: Column, container_class: str) -> Column:
-    """Pieces of the page that start at a container class and run to the next one."""
-    pieces = F.split(body, rf'class="[^"]*{re.escape(container_class)}')
-    return F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
+def tag_with(body: Column, tag: str, attribute: str) -> Column:
+    """First opening ``tag`` that carries the attribute text (a pattern)."""
+    return F.regexp_extract(body, rf"<{tag}\b[^<>]*?\s{attribute}[^<>]*+>", 0)
 
 
-def labelled_block(pieces: Column, label_class: str, label: str) -> Column:
-    """Markup from a label to the next label, in the first container that has it."""
+def labelled_block(body: Column, container: str, label_class: str, label: str) -> Column:
+    """Markup from a label to the next label, in the first container that has it; blank if none has."""
+    opening = re.escape(container)
     marker = rf"{re.escape(label_class)}[^>]*>[^<]*{re.escape(label)}"
-    mine = F.get(F.filter(pieces, lambda p: F.regexp_like(p, F.lit(marker))), F.lit(0))
-    region = F.regexp_extract(mine, rf"(?s){marker}(.*?)(?:{re.escape(label_class)}|\z)", 1)
-    return F.coalesce(region, F.lit(""))
+    region = rf"(?s){opening}(?:(?!{opening}).)*?{marker}(.*?)(?:{re.escape(label_class)}|\z)"
+    # Most pages lack most labels, and the plain search is far cheaper than the pattern.
+    return F.when(F.contains(body, F.lit(label)), F.regexp_extract(body, region, 1)).otherwise(F.lit(""))
 
 
 def value_text(region: Column, opening: str) -> Column:
@@ -178,7 +183,8 @@ def fallback_text(first: Column, second: Column) -> Column:
 
 
 def has_class(body: Column, name: str) -> Column:
-    return F.regexp_like(body, F.lit(class_pattern(name)))
+    # The plain search is far cheaper than the pattern, and most pages fail it.
+    return F.contains(body, F.lit(name)) & F.regexp_like(body, F.lit(class_pattern(name)))
 
 
 def has_text(body: Column, marker: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, functions as F
 # The characters that count as white space (Java's \s and trim cover fewer).
 # Single characters first: the matcher keeps those below 256 in one table.
 SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\p{Z}]"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # A run of white space taken from its start, so that a long run is not tried from each of its places.
 SPACE_RUN = rf"{SPACE}(?<!{SPACE}{SPACE}){SPACE}*+"
 
@@ -38,7 +39,7 @@ ENTITY_NAMES |= {
 
 
 def strip_space(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{SPACE}++|{SPACE_RUN}\z", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def normalise_space(x: Column) -> Column:

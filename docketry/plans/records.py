@@ -16,8 +16,10 @@ from docketry.functions.markup import (
     anchored_heads,
     attr_value,
     class_pattern,
-    containers,
     element_inner,
+    head_ids,
+    head_text,
+    head_texts,
     inner_text,
     label_detail,
     labelled_block,
@@ -47,6 +49,14 @@ def _record(df: DataFrame, fields: dict[str, Column], columns: list[str]) -> Dat
     return df.select("seq", *[blank_to_null(fields[c]).alias(c) for c in columns])
 
 
+def _labelled(body: Column, container: str, label: str) -> Column:
+    return labelled_block(body, container, at.LABEL_CLASS, label)
+
+
+def _anchored_fields(anchors: dict[str, str]) -> dict[str, Column]:
+    return {name: head_text(F.col("head_ids"), F.col("head_texts"), anchor) for name, anchor in anchors.items()}
+
+
 def _decision_blocks(captures: DataFrame, kind: str) -> DataFrame:
     pages = of_kind(captures, kind).select("seq", prepare(F.col("body")).alias("body"))
     found = blocks.result_blocks(pages, at.RESULTS_ID)
@@ -85,21 +95,21 @@ def first_degree_cases(captures: DataFrame, base_url: str) -> DataFrame:
         inner_text(element_inner(body, at.AREA_ANCHOR, "div")).alias("area"),
         F.regexp_extract_all(body, F.lit(rf"{class_pattern(*at.ROLE_CLASSES)}[^>]*+>([^<]*+)"), F.lit(1)).alias("roles"),
         blocks.parties(body, at.PARTY_CLASS).alias("parties"),
-        containers(body, at.OTHER_SUBJECTS["container"]).alias("subject_pieces"),
-        containers(body, at.ENFORCEMENT["container"]).alias("enforcement_pieces"),
-        containers(body, at.RELATED_CONTAINER).alias("related_pieces"),
+        _labelled(body, at.OTHER_SUBJECTS["container"], at.OTHER_SUBJECTS["label"]).alias("subjects"),
+        _labelled(body, at.ENFORCEMENT["container"], at.ENFORCEMENT["label"]).alias("enforcement"),
+        _labelled(body, at.RELATED_CONTAINER, at.MAIN_CASE_LABEL).alias("main_case"),
+        _labelled(body, at.RELATED_CONTAINER, at.ATTACHED_CASE_LABEL).alias("attached_case"),
         F.when(
-            F.contains(body, F.lit(at.SECOND_DEGREE_LINK_CLASS)), tag_with(body, class_pattern(at.SECOND_DEGREE_LINK_CLASS))
+            F.contains(body, F.lit(at.SECOND_DEGREE_LINK_CLASS)),
+            tag_with(body, "a", class_pattern(at.SECOND_DEGREE_LINK_CLASS)),
         ).otherwise("").alias("second_tag"),
     ).select(
         "*",
-        labelled_block(F.col("subject_pieces"), at.LABEL_CLASS, at.OTHER_SUBJECTS["label"]).alias("subjects"),
-        labelled_block(F.col("enforcement_pieces"), at.LABEL_CLASS, at.ENFORCEMENT["label"]).alias("enforcement"),
-        labelled_block(F.col("related_pieces"), at.LABEL_CLASS, at.MAIN_CASE_LABEL).alias("main_case"),
-        labelled_block(F.col("related_pieces"), at.LABEL_CLASS, at.ATTACHED_CASE_LABEL).alias("attached_case"),
+        head_ids(F.col("heads")).alias("head_ids"),
+        head_texts(F.col("heads")).alias("head_texts"),
     )
     link = r"<a\b[^>]*+>"
-    fields = {name: anchor_text(F.col("heads"), anchor) for name, anchor in anchors.items()}
+    fields = _anchored_fields(anchors)
     fields |= {name: F.col(name) for name in ("numero_processo", "situacao", "area")}
     fields["valor_acao"] = normalise_space(fields["valor_acao"])
     for place in (0, 1):
@@ -136,8 +146,8 @@ def second_degree_cases(captures: DataFrame) -> DataFrame:
         case_key().alias("numero_processo"),
         anchored_heads(body, list(at.SECOND_CASE_ANCHORS.values())).alias("heads"),
         decode_entities(F.regexp_extract(details, origin, 1)).alias("comarca"),
-    )
-    fields = {name: anchor_text(F.col("heads"), anchor) for name, anchor in at.SECOND_CASE_ANCHORS.items()}
+    ).select("*", head_ids(F.col("heads")).alias("head_ids"), head_texts(F.col("heads")).alias("head_texts"))
+    fields = _anchored_fields(at.SECOND_CASE_ANCHORS)
     fields |= {name: F.col(name) for name in ("numero_processo", "comarca")}
     return _record(df, fields, at.SECOND_CASE_COLUMNS)
 

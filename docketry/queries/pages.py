@@ -115,11 +115,11 @@ def labelled_block(spark, sf):
         render.labelled_container(container, at.ATTACHED_CASE_LABEL, "<div></div>"),
         '<span class="unj-label">z</span><a href="/z">z</a>',
     )
-    pieces = markup.containers(body, container)
-    orders = orders_table(spark, sf).select(
+    orders = orders_table(spark, sf).select("o_orderkey", body.alias("body"))
+    orders = orders.select(
         "o_orderkey",
-        markup.labelled_block(pieces, at.LABEL_CLASS, at.MAIN_CASE_LABEL).alias("main"),
-        markup.labelled_block(pieces, at.LABEL_CLASS, at.ATTACHED_CASE_LABEL).alias("attached"),
+        markup.labelled_block(F.col("body"), container, at.LABEL_CLASS, at.MAIN_CASE_LABEL).alias("main"),
+        markup.labelled_block(F.col("body"), container, at.LABEL_CLASS, at.ATTACHED_CASE_LABEL).alias("attached"),
     )
     return orders.select(
         "o_orderkey",

@@ -122,6 +122,15 @@ def test_first_degree_case(cases):
     assert {k for k, v in bare.items() if v is not None} == {"seq", "numero_processo"}
 
 
+def test_a_long_page_with_an_unanswered_label(spark):
+    filler = "<p>texto &amp; mais</p>" * 60_000
+    page = f'<div class="{at.RELATED_CONTAINER}">{filler}<b>{at.MAIN_CASE_LABEL}</b></div>{portal.FIRST_CASE}{filler}'
+    captures = portal.captures(spark, portal.capture(1, at.FIRST_CASE, page, "c"))
+    case = rows(records.first_degree_cases(captures, BASE))[0]
+    assert case["processo_principal"] == "0001-1" and case["numero_processo_apensado"] is None
+    assert len(rows(records.case_movements(captures))) == 2
+
+
 def test_movements(cases):
     got = rows(records.case_movements(cases).drop("x"))
     assert [tuple(r[c] for c in at.MOVEMENT_COLUMNS) for r in got] == [

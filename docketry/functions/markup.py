@@ -19,7 +19,9 @@ GAP = "<>"
 # Cell boundary inside a flattened block. No page text holds this control character.
 CELL_END = "\u0001"
 
-HIDDEN = r"(?s)<(?:!--.*?-->|[sS][cC][rR][iI][pP][tT]\b[^>]*>.*?</[sS][cC][rR][iI][pP][tT]\s*>|[sS][tT][yY][lL][eE]\b[^>]*>.*?</[sS][tT][yY][lL][eE]\s*>)"
+SCRIPT = r"[sS][cC][rR][iI][pP][tT]"
+STYLE = r"[sS][tT][yY][lL][eE]"
+HIDDEN = rf"(?s)<(?:!--.*?-->|{SCRIPT}\b[^>]*>.*?</{SCRIPT}\s*>|{STYLE}\b[^>]*>.*?</{STYLE}\s*>)"
 TAG_WITH_SPACE = rf"(?:{SPACE_RUN})?<[^>]*>{SPACE}*+"
 # References to the no-break space, which counts as white space at the ends of a text node.
 HARD_SPACE = "&(?:nbsp|#160|#[xX][aA]0);"
@@ -151,6 +153,16 @@ def last_block_text(block: Column, row_tag: str, block_tag: str) -> Column:
     return F.trim(F.regexp_replace(inner_text(inside), rf"{SPACE}++", " "))
 
 
+def own_text(markup: Column) -> Column:
+    """Text before the first tag, stripped."""
+    return strip_space(decode_entities(F.substring_index(markup, "<", 1)))
+
+
+def first_text(markup: Column, opening: str) -> Column:
+    """Text right after the first opening tag that fits a pattern, stripped; blank if none does."""
+    return strip_space(decode_entities(F.regexp_extract(markup, rf"{opening}([^<]*+)", 1)))
+
+
 def cells_of(row: Column) -> Column:
     """Markup of each table cell of a row, in order."""
     return F.regexp_extract_all(row, F.lit(r"(?s)<td\b[^>]*+>(.*?)</td>"), F.lit(1))
@@ -158,8 +170,7 @@ def cells_of(row: Column) -> Column:
 
 def nth_cell(cells: Column, n: int) -> Column:
     """Own first text of the n-th cell, stripped; blank when there is no such cell."""
-    own = F.regexp_extract(F.get(cells, F.lit(n - 1)), r"^([^<]*+)", 1)
-    return F.coalesce(strip_space(decode_entities(own)), F.lit(""))
+    return F.coalesce(own_text(F.get(cells, F.lit(n - 1))), F.lit(""))
 
 
 def table_after_label(body: Column, label: str) -> Column:

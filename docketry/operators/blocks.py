@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docketry.functions.markup import (
     attr_value,
     class_pattern,
-    first_row_with_cell,
     cells_of,
+    first_row_with_cell,
+    first_text,
     inner_text,
     nth_cell,
+    own_text,
     table_after_label,
 )
 from docketry.functions.text import (
@@ -73,11 +75,6 @@ def cell_of_class(row: Column, name: str) -> Column:
     return F.regexp_extract(row, rf"(?s){class_pattern(name)}[^>]*+>(.*?)(?:</td>|\z)", 1)
 
 
-def _first_text(markup: Column, opening: str) -> Column:
-    found = F.regexp_extract(markup, rf"{opening}([^<]*+)", 1)
-    return strip_space(decode_entities(found))
-
-
 def movements(captures: DataFrame, case: Column, layout: dict) -> DataFrame:
     """One row per row of the movements table; the title falls back to the cell's own text."""
     rows = captures.select(
@@ -93,9 +90,9 @@ def movements(captures: DataFrame, case: Column, layout: dict) -> DataFrame:
     return cells.select(
         "seq",
         "numero_processo",
-        _first_text(F.col("date_cell"), "^").alias("data"),
-        first_filled(_first_text(text_cell, r"<a\b[^>]*+>"), _first_text(text_cell, "^")).alias("titulo"),
-        _first_text(text_cell, r"<span\b[^>]*+>").alias("descricao"),
+        own_text(F.col("date_cell")).alias("data"),
+        first_filled(first_text(text_cell, r"<a\b[^>]*+>"), own_text(text_cell)).alias("titulo"),
+        first_text(text_cell, r"<span\b[^>]*+>").alias("descricao"),
     )
 
 
@@ -151,8 +148,8 @@ def document_links(captures: DataFrame, case: Column, layout: dict) -> DataFrame
         F.col("link_no").cast("bigint").alias("link_no"),
         "numero_processo",
         attr_value(F.col("link"), layout["document_attr"]).alias("documento"),
-        _first_text(F.col("link"), "^[^>]*+>").alias("titulo"),
-        _first_text(F.col("cell"), r"<span\b[^>]*+>").alias("descricao"),
+        first_text(F.col("link"), "^[^>]*+>").alias("titulo"),
+        first_text(F.col("cell"), r"<span\b[^>]*+>").alias("descricao"),
         attr_value(F.col("link"), layout["origin_attr"]).alias("origem"),
         "processo",
     )

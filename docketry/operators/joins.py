@@ -25,5 +25,8 @@ def resume_after(work: DataFrame, stored: DataFrame, key: str = "numero_processo
 
 
 def with_context(captures: DataFrame, requests: DataFrame, key: str = "request_id") -> DataFrame:
-    """Captures with the context of the request that led to them."""
+    """Captures with the context of the request that led to them.
+
+    Page bodies would travel through the join: take the fields out first.
+    """
     return keyed_join(captures, requests, [key], "inner", ["seq"])

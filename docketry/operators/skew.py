@@ -33,7 +33,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spr
     """Join the big ``left`` to ``right`` on equal keys: inner, left, left_semi or left_anti.
 
     ``spread_by`` names left columns that differ within a key (a position, an id).
-    For inner and left joins ``right`` should hold one row per key.
+    For inner and left joins ``right`` should hold one row per key. ``left`` is read twice,
+    its key columns alone the first time: hand over a stored or staged table.
     """
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_key_hashes(left, keys)

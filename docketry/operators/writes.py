@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docketry.operators.aggregates import filled_key, first_per_key, last_per_key
+from docketry.operators.aggregates import filled_key, first_per_key
 from docketry.operators.skew import keyed_join
 
 CASE_KEY = ["numero_processo"]

@@ -72,4 +72,4 @@ def next_case_requests(decisions: DataFrame, cases: DataFrame, base_url: str) ->
 def next_document_requests(links: DataFrame, documents: DataFrame, base_url: str) -> DataFrame:
     """Access checks of the documents that are not stored yet."""
     filled = documents.filter("conteudo IS NOT NULL")
-    return requests.doc_requests(joins.pending(links, filled, writes.DOCUMENT_KEY), base_url)
+    return requests.doc_requests(joins.pending(stage(links), filled, writes.DOCUMENT_KEY), base_url)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -22,13 +23,15 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="docketry-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
     Only a session that names no such folder, as in local tests, gets one of its own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="docketry-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _own_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

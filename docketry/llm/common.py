@@ -54,6 +54,35 @@ def map_rows(df: DataFrame, rows_of: Callable[[Iterator[dict]], Iterator[tuple]]
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with underscores in front until no column has that name."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish = "_" + wish
+    return wish
+
+
+def append_column(df: DataFrame, name: str, kind: str, values: Callable[[list[str | None]], list], text: str = "text") -> DataFrame:
+    """``df`` with a column made from the whole texts of a batch; the other columns pass through as they are.
+
+    ``name`` must be free in ``df``; see ``free_name``.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    small_batches(df.sparkSession)
+    place = df.columns.index(text)
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
+    arrow_type = to_arrow_schema(StructType.fromDDL(f"x {kind}")).field(0).type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = pa.array(values(batch.column(place).to_pylist()), arrow_type)
+            yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import merkle, pii, secrets, tokenfile
+from docketry.llm import decontaminate, merkle, pieces, pii, secrets, tokenfile
 from docketry.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
@@ -26,9 +30,23 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_merkle_fingerprint, op6_pii, op8_secrets, op10_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_merkle_fingerprint,
+        op5_decontamination,
+        op6_pii,
+        op8_secrets,
+        op9_sentencepiece,
+        op10_token_files,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}

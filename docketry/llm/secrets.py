@@ -25,7 +25,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import filled, map_rows
+from docketry.llm.common import append_column, filled, free_name, map_rows
 
 BASE_KINDS = ("assign", "access", "hex")
 LAYER_BYTES = 32_000_000
@@ -217,14 +217,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets in ``text`` masked and ``n_chars`` to match; other columns and null texts as they are."""
-    names = docs.columns
-    packed = docs.select(F.col("text"), F.struct(*[F.col(c) for c in names if c != "text"]).alias("rest"))
-    schema = packed.schema
-
-    def run(rows: dict) -> dict:
-        texts = [None if t is None else redact(t, find(t)) for t in rows["text"]]
-        return {"text": texts, "rest": rows["rest"]}
-
-    out = map_rows(packed, run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema))
-    flat = out.select(*[F.col("text") if c == "text" else F.col(f"rest.{c}").alias(c) for c in names])
-    return flat.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else flat
+    masked = free_name(docs, "masked")
+    texts = append_column(docs, masked, "string", lambda batch: [None if t is None else redact(t, find(t)) for t in batch])
+    out = texts.withColumn("text", F.col(masked)).drop(masked)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from docketry.session import work_dir
 
@@ -32,25 +34,16 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, rows_of: Callable[[Iterator[dict]], Iterator[tuple]], schema: str, prepare=None) -> DataFrame:
-    """``rows_of`` over the partition's rows, as dictionaries of lists, one Arrow batch at a time.
-
-    ``rows_of(columns)`` takes one batch and returns its output columns. ``prepare`` runs once
-    per task; its result is then the second argument.
-    """
+def map_rows(df: DataFrame, columns_of: Callable[[dict], dict], schema: str) -> DataFrame:
+    """One Arrow batch at a time through ``columns_of``, from lists by column name to lists by column name."""
     small_batches(df.sparkSession)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        extra = () if prepare is None else (prepare(),)
         for batch in batches:
             if batch.num_rows:
-                out = rows_of(batch.to_pydict(), *extra)
-                yield pa.RecordBatch.from_pydict(out, schema=arrow)
+                yield pa.RecordBatch.from_pydict(columns_of(batch.to_pydict()), schema=arrow)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
     return df.mapInArrow(run, schema)
 
 
@@ -62,22 +55,19 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
-def append_column(df: DataFrame, name: str, kind: str, values: Callable[[list[str | None]], list], text: str = "text") -> DataFrame:
-    """``df`` with a column made from the whole texts of a batch; the other columns pass through as they are.
+def append_column(df: DataFrame, name: str, kind: str, values: Callable[..., list], columns: tuple[str, ...] = ("text",)) -> DataFrame:
+    """``df`` with a column made from whole ``columns`` of a batch; all other columns pass through as they are.
 
     ``name`` must be free in ``df``; see ``free_name``.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     small_batches(df.sparkSession)
-    place = df.columns.index(text)
+    places = [df.columns.index(c) for c in columns]
     schema = StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
     arrow_type = to_arrow_schema(StructType.fromDDL(f"x {kind}")).field(0).type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = pa.array(values(batch.column(place).to_pylist()), arrow_type)
+            new = pa.array(values(*[batch.column(i).to_pylist() for i in places]), arrow_type)
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)

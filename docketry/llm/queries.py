@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import decontaminate, merkle, pieces, pii, secrets, tokenfile
+from docketry.llm import decontaminate, extract, merkle, pieces, pii, quality, secrets, tokenfile
 from docketry.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op2_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +50,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_merkle_fingerprint,
+        op3_quality,
+        op4_main_text,
         op5_decontamination,
         op6_pii,
         op8_secrets,

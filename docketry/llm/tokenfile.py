@@ -29,13 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketry.llm.common import filled, shard_bounds, shuffle_partitions, small_batches, with_shard
+from docketry.llm.words import KEPT_WORDS, WordMemory
 from docketry.session import work_dir
 
 BLOCK_IDS = 65_536
 END_ID = 1
-CACHE_WORDS = 600_000
 #: Words end at these; the tokenizer drops all white space and no piece of it reaches across.
 WORD_END = re.compile("[ \n]+")
+SIMPLE_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|]{0,8})")
+#: How byte-level models show a byte: itself if it is a visible Latin-1 sign, else the next free sign from 256 on.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 
 BLOCK_SCHEMA = (
     "shard int, block int, first long, width int, n_ids long, doc_ids array<long>, ends array<long>, packed binary"
@@ -67,55 +71,57 @@ def unpack(packed: bytes, width: int, start: int, end: int) -> np.ndarray:
     return (bits.reshape(-1, width).astype(np.uint32) << np.arange(width, dtype=np.uint32)).sum(1, dtype=np.uint32)
 
 
-class WordEncoder:
-    """Encodes whole texts with the library, each distinct word once.
+class Encoder:
+    """Encodes whole texts with the tokenizers library, each distinct word once.
 
-    Kept for the life of a worker; the memory of words is emptied when it has CACHE_WORDS.
+    A word of Latin letters, with or without punctuation at its end, is two pieces of the
+    tokenizer's own split. Its letters go to the tokenizer's model directly, in lower case;
+    every other word goes through the whole tokenizer. Whether the model takes words in this
+    form is tried on a few words first.
     """
 
+    TRIAL = ("the", "Wörter", "Été,", "of.", "x!!!", "ñandú", "Straße", "supercalifragilistic")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.ids: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        self.ends: list[np.ndarray] = [np.zeros(1, np.int64)]
-        self.n_ids = 0
+        self.memory = WordMemory(self._encode_new)
+        self.letters: dict[str, list[int]] = {}
+        self.marks: dict[str, list[int]] = {"": []}
+        self.simple = True
+        self.simple = self._encode_new(list(self.TRIAL)) == self._whole(list(self.TRIAL))
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _of_letters(self, letters: str) -> list[int]:
+        ids = self.letters.get(letters)
+        if ids is None:
+            if len(self.letters) > KEPT_WORDS:
+                self.letters.clear()
+            shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_SIGNS)
+            ids = self.letters[letters] = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return ids
+
+    def _of_marks(self, marks: str) -> list[int]:
+        if marks not in self.marks:
+            self.marks[marks] = self._whole([marks])[0]
+        return self.marks[marks]
+
+    def _encode_new(self, words: list[str]) -> list[list[int]]:
+        found = [SIMPLE_WORD.fullmatch(w) if self.simple else None for w in words]
+        others = iter(self._whole([w for w, m in zip(words, found) if m is None]))
+        return [self._of_letters(m[1].lower()) + self._of_marks(m[2]) if m else next(others) for m in found]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if len(self.places) > CACHE_WORDS:
-            self._forget()
-        words = [[w for w in WORD_END.split(t) if w] for t in texts]
-        places = self.places
-        new = list(dict.fromkeys(w for ws in words for w in ws if w not in places))
-        if new:
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            places.update(zip(new, range(len(places), len(places) + len(new))))
-            self.ids.append(np.fromiter((i for e in encoded for i in e), np.uint32, int(sizes.sum())))
-            self.ends.append(self.n_ids + np.cumsum(sizes))
-            self.n_ids += int(sizes.sum())
-            if len(self.ids) > 1:
-                self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        ids, ends = self.ids[0], self.ends[0]
-        return [self._gather(ids, ends, ws) for ws in words]
-
-    def _gather(self, ids: np.ndarray, ends: np.ndarray, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        starts, sizes = ends[at], ends[at + 1] - ends[at]
-        total = int(sizes.sum())
-        before = np.cumsum(sizes) - sizes
-        return ids[np.arange(total) + np.repeat(starts - before, sizes)]
+        return self.memory.encode([[w for w in WORD_END.split(t) if w] for t in texts])
 
 
 @cache
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import decontaminate, extract, merkle, pieces, pii, quality, secrets, tokenfile
+from docketry.llm import decontaminate, dedup, extract, merkle, pieces, pii, quality, secrets, tokenfile, urls
 from docketry.llm.common import table
 
 
@@ -14,6 +14,10 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.page_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -49,14 +57,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_near_dedup,
         op2_merkle_fingerprint,
         op3_quality,
         op4_main_text,
         op5_decontamination,
         op6_pii,
+        op7_url_filter,
         op8_secrets,
         op9_sentencepiece,
         op10_token_files,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op7_url_filter": urls.ORACLE}

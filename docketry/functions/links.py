@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from docketry.functions.maps import query_params
-from docketry.functions.text import bound
-
 # The parameters a second-degree link must carry, in its order.
 SECOND_DEGREE_PARAMS = ["nuProcesso", "cdProcessoSg", "cdForoSg", "isProcessoOrigemCr"]
 SECOND_DEGREE_PATH = "/abrirConsultaProcessoSG.do?"
@@ -36,14 +34,13 @@ def required_params(params: Column, names: list[str]) -> Column:
 
 
 def rebuild_link(base_url: str, href: Column) -> Column:
-    """Second-degree link from its four parameters, blank when one is missing."""
-
-    def link(params: Column) -> Column:
-        pairs = [F.concat(F.lit(f"{n}="), F.try_element_at(params, F.lit(n))) for n in SECOND_DEGREE_PARAMS]
-        rebuilt = F.concat(F.lit(base_url + SECOND_DEGREE_PATH), F.concat_ws("&", *pairs))
-        return F.when(required_params(params, SECOND_DEGREE_PARAMS), rebuilt).otherwise(F.lit(""))
-
-    return F.when(F.contains(href, F.lit("?")), bound(query_params(href), link)).otherwise(F.lit(""))
+    """Second-degree link from its four parameters, blank when one is missing; of repeated ones the last counts."""
+    query = F.coalesce(F.get(F.split(href, r"\?"), F.lit(1)), F.lit(""))
+    values = [F.regexp_extract(query, rf"(?s)^(?:.*&)?{re.escape(n)}=([^&]*+)", 1) for n in SECOND_DEGREE_PARAMS]
+    pairs = [F.concat(F.lit(f"{n}="), v) for n, v in zip(SECOND_DEGREE_PARAMS, values)]
+    rebuilt = F.concat(F.lit(base_url + SECOND_DEGREE_PATH), F.concat_ws("&", *pairs))
+    filled = reduce(lambda a, b: a & b, [v != "" for v in values])
+    return F.when(F.contains(href, F.lit("?")) & filled, rebuilt).otherwise(F.lit(""))
 
 
 def host(url: Column) -> Column:

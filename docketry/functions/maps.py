@@ -25,13 +25,18 @@ def last_wins_map(pairs: Column) -> Column:
 
 
 def _last_of_each_key(entries: Column) -> Column:
-    """Entries whose key does not come again."""
+    """The last entry of each key: sorted by key and place, it stands before another key; then back in order."""
+    placed = F.transform(entries, lambda e, n: F.struct(e["key"].alias("key"), n.alias("place"), e["value"].alias("value")))
 
-    def is_last(entry: Column, place: Column) -> Column:
-        later = F.slice(entries, place + 2, F.greatest(F.size(entries), F.lit(1)))
-        return ~F.exists(later, lambda other: other["key"] == entry["key"])
+    def last_ones(in_order: Column) -> Column:
+        def is_last(entry: Column, n: Column) -> Column:
+            after = F.get(in_order, n + 1)
+            return after.isNull() | (after["key"] != entry["key"])
 
-    return F.filter(entries, is_last)
+        found = F.transform(F.filter(in_order, is_last), lambda e: F.struct(e["place"].alias("place"), e["key"].alias("key"), e["value"].alias("value")))
+        return F.transform(F.array_sort(found), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+
+    return bound(F.array_sort(placed), last_ones)
 
 
 def query_params(url: Column) -> Column:

@@ -12,19 +12,24 @@ from docketry.functions.text import bound
 
 # How the search text marks phrases and joins them, and its date format.
 PHRASE_PATTERN = '"([^"]+)"'
+SEARCH_OPERATORS = ("OU", "E")
 DATE_FORMAT = "dd/MM/yyyy"
 
 
-# Lower-case Latin letters with marks and the letters below the marks, by rule; then the
+# Letters that are a base letter with marks, and the base letter, in every script; then the
 # combining marks themselves, which have no counterpart and are dropped.
-MARKED = [c for c in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))) if c.islower() and unicodedata.normalize("NFD", c)[0].isascii()]
-UNMARKED = [unicodedata.normalize("NFD", c)[0] for c in MARKED]
-MARKS = [chr(c) for c in range(0x300, 0x370)]
+_DECOMPOSED = {c: unicodedata.normalize("NFD", c) for c in map(chr, range(0xC0, 0x30000)) if unicodedata.decomposition(c)}
+MARKED = [c for c, d in _DECOMPOSED.items() if d[0] != c and len(d) > 1 and all(map(unicodedata.combining, d[1:]))]
+UNMARKED = [_DECOMPOSED[c][0] for c in MARKED]
+MARKS = [c for c in map(chr, range(0x300, 0x20000)) if unicodedata.combining(c)]
 
 
 def phrases_of(search: str) -> list[str]:
-    """The quoted phrases of a search text, or the whole text when none is quoted."""
-    return re.findall(PHRASE_PATTERN, search) or [search]
+    """The quoted phrases and the words between them, or the whole text when none is quoted."""
+    if not re.search(PHRASE_PATTERN, search):
+        return [search]
+    parts = re.findall(rf"{PHRASE_PATTERN}|(\S+)", search)
+    return [quoted or word for quoted, word in parts if quoted or word.upper() not in SEARCH_OPERATORS]
 
 
 def folded(x: Column) -> Column:

@@ -18,30 +18,22 @@ PARTY_NOISE = "\n\t\u00a0"
 DOCUMENT_NOISE = ";,'\"\r"
 LAWYER_LABEL = "^Advogad[oa]:"
 
-# Named entities: the Latin-1 block by rule, then the markup and punctuation ones in use.
-ENTITY_NAMES = {name: chr(code) for code, name in codepoint2name.items() if 160 <= code <= 255}
-ENTITY_NAMES |= {
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "amp": "&",
-    "ndash": "–",
-    "mdash": "—",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-    "bull": "•",
-    "hellip": "…",
-    "euro": "€",
-}
+# All named entities of the standard table, and the one that only XML has.
+ENTITY_NAMES = {name: chr(code) for code, name in codepoint2name.items()} | {"apos": "'"}
+# HTML readers take the codes 128 to 159, and "latin1" bytes of that value, as windows-1252.
+CONTROLS = "".join(chr(c) for c in range(128, 160) if bytes([c]).decode("cp1252", "ignore"))
+WINDOWS = bytes(map(ord, CONTROLS)).decode("cp1252")
 
 
 def strip_space(x: Column) -> Column:
     return F.btrim(x, F.lit(SPACES))
 
 
+def windows_text(x: Column) -> Column:
+    """Control characters 128 to 159 as the windows-1252 characters of that code."""
+    return F.translate(x, CONTROLS, WINDOWS)
+
+
 def normalise_space(x: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
     return F.trim(F.regexp_replace(x, rf"{SPACE}++", " "))
@@ -132,7 +124,7 @@ ENTITY_MAP = f"str_to_map({_sql_text(';'.join(f'{name} {char}' for name, char in
 CODE = """coalesce(try_cast(regexp_extract(piece, '^#([0-9]{1,7});', 1) AS BIGINT),
     try_cast(conv(nullif(regexp_extract(piece, '^#[xX]([0-9a-fA-F]{1,6});', 1), ''), 16, 10) AS BIGINT))"""
 NUMBERED = f"""CASE WHEN {CODE} BETWEEN 1 AND 55295 OR {CODE} BETWEEN 57344 AND 1114111
-    THEN decode(unhex(lpad(hex({CODE}), 8, '0')), 'UTF-32') END"""
+    THEN translate(decode(unhex(lpad(hex({CODE}), 8, '0')), 'UTF-32'), {_sql_text(CONTROLS)}, {_sql_text(WINDOWS)}) END"""
 # One piece of a text cut at ampersands; the piece at place 0 stands before the first of them.
 DECODE_PIECE = f"""(piece, place) -> CASE WHEN place = 0 THEN piece ELSE coalesce(
     concat(

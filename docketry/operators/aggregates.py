@@ -6,9 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A document above either bound does not fit one cell; it is kept as pages.
-CELL_CHARS = 200_000_000
-CELL_PAGES = 1_000_000
+PAGE_RUN = 64
 
 
 def filled_key(keys: list[str]) -> Column:
@@ -47,29 +45,20 @@ def any_match(df: DataFrame, test: Column, name: str = "found") -> DataFrame:
     return df.agg(F.coalesce(F.bool_or(test), F.lit(False)).alias(name))
 
 
-def oversized(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Documents too long for one cell: at most one per ``cell_chars`` characters or ``CELL_PAGES`` rows of input."""
-    sizes = pages.groupBy(*document).agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("pages"))
-    return sizes.filter((F.col("chars") > cell_chars) | (F.col("pages") > CELL_PAGES)).select(*document)
+def document_text(pages: DataFrame, document: list[str]) -> DataFrame:
+    """Page texts joined in page order, one row per document.
 
-
-def document_text(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """Page texts joined in page order, one row per document that fits one cell.
-
-    The bounds keep every group small enough for one task, so one shuffle does;
-    ``oversized_pages`` has the other documents.
+    First the pages of each run of ``PAGE_RUN`` page numbers are joined, then the runs: the
+    pages of one long document are gathered by many tasks. A text beyond what one cell can
+    hold (2 GB) stops the job.
     """
-    # Safe to broadcast: 100 TB of text hold at most 500,000 documents of this length.
-    long_ones = F.broadcast(oversized(pages, document, cell_chars))
-    fitting = pages.join(long_ones, document, "left_anti")
-    filled = fitting.select(*document, "page_no", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    joined = F.expr("listagg(text, '') within group (order by page_no, text)")
-    return filled.groupBy(*document).agg(joined.alias("text"))
-
-
-def oversized_pages(pages: DataFrame, document: list[str], cell_chars: int = CELL_CHARS) -> DataFrame:
-    """The documents ``document_text`` leaves out, whole, as the rows they came in."""
-    return pages.join(F.broadcast(oversized(pages, document, cell_chars)), document, "left_semi")
+    filled = pages.select(
+        *document, "page_no", F.floor(F.col("page_no") / PAGE_RUN).alias("_run"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    )
+    in_run = F.expr("listagg(text, '') within group (order by page_no, text)")
+    runs = filled.groupBy(*document, "_run").agg(in_run.alias("text"))
+    joined = F.expr("listagg(text, '') within group (order by _run)")
+    return runs.groupBy(*document).agg(joined.alias("text"))
 
 
 def search_progress(captures: DataFrame, page_no: Column, has_next: Column) -> DataFrame:

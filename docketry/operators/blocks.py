@@ -32,8 +32,9 @@ from docketry.functions.text import (
 
 # The shortest row is nine characters and a string has fewer than 2**31, so a page
 # has fewer than 2**28 rows. Capture positions must stay below 2**35; a larger one stops
-# the job with an overflow error instead of mixing up the order.
+# the job, in every SQL mode, instead of mixing up the order.
 PLACES = 2**28
+POSITIONS = 2**35
 
 TABLE_INSIDE = r"(?:[^<]++|<(?!/?table\b))*+"
 INNER_TABLE = rf"<table\b[^>]*+>({TABLE_INSIDE})</table>"
@@ -41,7 +42,9 @@ OUTER_TABLE = rf"<table\b[^>]*+>((?:[^<]++|<(?!/?table\b)|<table\b[^>]*+>{TABLE_
 
 
 def place_in_page(seq: Column, place: Column) -> Column:
-    return seq * PLACES + place.cast("bigint")
+    fits = (seq < POSITIONS) & (seq >= -POSITIONS)
+    stop = F.raise_error(F.concat(F.lit("overflow of a capture position: "), seq.cast("string"))).cast("bigint")
+    return F.when(fits | seq.isNull(), F.try_add(F.try_multiply(seq, F.lit(PLACES)), place.cast("bigint"))).otherwise(stop)
 
 
 def nested_tables(markup: Column) -> Column:
@@ -134,17 +137,19 @@ def document_links(captures: DataFrame, case: Column, layout: dict) -> DataFrame
     cell_list = F.regexp_extract_all(
         F.col("body"), F.lit(rf'(?s){class_pattern(layout["cell_class"])}[^>]*+>(.*?)</td>'), F.lit(1)
     )
-    cells = captures.select(
-        "seq", case.alias("numero_processo"), attr_value(code_tag, "value").alias("processo"),
-        F.posexplode(cell_list).alias("place", "cell"),
-    )
     link = rf'(?s)<a\b[^>]*?\s{class_pattern(layout["link_class"])}[^>]*+>.*?</a>'
-    links = cells.select(
-        place_in_page(F.col("seq"), F.col("place")).alias("seq"), "numero_processo", "processo", "cell",
-        F.posexplode(F.regexp_extract_all(F.col("cell"), F.lit(link), F.lit(0))).alias("link_no", "link"),
-    )
+
+    def links_of(cell: Column) -> Column:
+        found = F.regexp_extract_all(cell, F.lit(link), F.lit(0))
+        return F.transform(found, lambda x, n: F.struct(cell.alias("cell"), x.alias("link"), n.alias("link_no")))
+
+    # Numbered over the whole page, so that two links of one cell have places of their own.
+    links = captures.select(
+        "seq", case.alias("numero_processo"), attr_value(code_tag, "value").alias("processo"),
+        F.posexplode(F.flatten(F.transform(cell_list, links_of))).alias("place", "found"),
+    ).select("seq", "place", "numero_processo", "processo", "found.*")
     return links.select(
-        "seq",
+        place_in_page(F.col("seq"), F.col("place")).alias("seq"),
         F.col("link_no").cast("bigint").alias("link_no"),
         "numero_processo",
         attr_value(F.col("link"), layout["document_attr"]).alias("documento"),

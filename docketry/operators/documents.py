@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docketry.functions.text import blank_to_null, clean_document
-from docketry.operators.aggregates import CELL_CHARS, document_text
+from docketry.operators.aggregates import document_text
 from docketry.plans.layouts import DOCUMENT_COLUMNS
 
 PAGE_SCHEMA = "seq long, page_no long, text string, reason string"
@@ -46,13 +46,12 @@ def utf8_pages(content: bytes) -> list[str]:
     return content.decode("utf-8").split("\f")
 
 
-def case_documents(pages: DataFrame, links: DataFrame, cell_chars: int = CELL_CHARS) -> DataFrame:
+def case_documents(pages: DataFrame, links: DataFrame) -> DataFrame:
     """Document records: ``pages(seq, page_no, text)`` joined to ``links`` on ``seq``.
 
     ``links`` has one row per captured file: seq, pdf_name, numero_processo, documento,
-    titulo, descricao, processo.
+    titulo, descricao, processo. Every file gets its record, one without pages a blank text.
     """
-    texts = document_text(pages, ["seq"], cell_chars)
     # One row per file on both sides, so no key is hot; the texts stay where they were joined.
-    joined = texts.join(links, ["seq"])
+    joined = links.join(document_text(pages, ["seq"]), ["seq"], "left")
     return joined.withColumn("conteudo", blank_to_null(clean_document(F.col("text")))).select("seq", *DOCUMENT_COLUMNS)

@@ -1,20 +1,25 @@
-"""Membership, resume and context joins. Null keys match nothing."""
+"""Membership, resume and context joins. Null and blank keys match nothing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from docketry.operators.aggregates import filled_key
 from docketry.operators.skew import keyed_join
 
 
 def pending(work: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Work items whose key is not stored yet."""
-    return keyed_join(work, stored.select(*keys).distinct(), keys, "left_anti", ["seq"])
+    return keyed_join(work, _stored_keys(stored, keys), keys, "left_anti", ["seq"])
 
 
 def known(work: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Work items whose key is stored."""
-    return keyed_join(work, stored.select(*keys).distinct(), keys, "left_semi", ["seq"])
+    return keyed_join(work, _stored_keys(stored, keys), keys, "left_semi", ["seq"])
+
+
+def _stored_keys(stored: DataFrame, keys: list[str]) -> DataFrame:
+    return stored.filter(filled_key(keys)).select(*keys).distinct()
 
 
 def resume_after(work: DataFrame, stored: DataFrame, key: str = "numero_processo") -> DataFrame:

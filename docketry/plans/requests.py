@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketry.functions.links import quote_text
 from docketry.functions.markup import script_param
+from docketry.functions.text import strip_space
 from docketry.operators.aggregates import distinct_keys
 from docketry.operators.quarantine import split_bad
 from docketry.plans import layouts as at
@@ -59,12 +60,21 @@ def next_page_requests(captures: DataFrame, first_base: str, second_base: str) -
 
 
 def case_requests(work: DataFrame, base_url: str, kind: str, single: bool = False) -> DataFrame:
-    """Lookup of each case of a work list. A single first-degree lookup has its own form."""
+    """Lookup of each case of a work list. A single first-degree lookup has its own form.
+
+    Rows without a case key give no request; ``split_cases`` sets them aside.
+    """
+    work, _ = split_cases(work)
     template = at.ONE_CASE_QUERY if single and kind == at.FIRST_CASE else at.LISTED_CASE_QUERY
     case = F.col("numero_processo")
     return request_rows(work, kind, fill(base_url, template, case=case), numero_processo=case)
 
 
+def split_cases(work: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Work that can be asked for, and the rows without a case key, with the reason."""
+    return split_bad(work, F.when(F.coalesce(F.col("numero_processo"), F.lit("")) == "", "no case key"))
+
+
 def batch_requests(decisions: DataFrame, base_url: str) -> DataFrame:
     """One single first-degree lookup per distinct case, at the place it is first seen."""
     filled = distinct_keys(decisions.filter(F.col("numero_processo").isNotNull()))
@@ -93,11 +103,12 @@ def doc_requests(links: DataFrame, base_url: str) -> DataFrame:
     return request_rows(links, at.DOC_ACCESS, url, **context)
 
 
-def viewer_requests(captures: DataFrame) -> DataFrame:
-    """The body of an access answer is the address of the viewer."""
+def viewer_requests(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The body of an access answer is the address of the viewer; answers without one are set aside."""
     answers = of_kind(captures, at.DOC_ACCESS)
-    rows = answers.select("seq", F.col("body").alias("next_url"), F.col("meta").alias("context"))
-    return _with_context(rows, at.DOC_VIEWER, F.col("next_url"))
+    rows = answers.select("seq", strip_space(F.col("body")).alias("next_url"), F.col("meta").alias("context"))
+    good, bad = split_bad(rows, F.when(F.coalesce(F.col("next_url"), F.lit("")) == "", "no viewer address"))
+    return _with_context(good, at.DOC_VIEWER, F.col("next_url")), bad
 
 
 def pdf_requests(captures: DataFrame, base_url: str) -> tuple[DataFrame, DataFrame]:

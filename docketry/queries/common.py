@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the table's files make fewer partitions than that; else as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def dealt(df: DataFrame) -> DataFrame:
+    """A table's rows over the shuffle partitions, before a query writes a page from each of them.
+
+    For narrow rows only: the given files have one row group, and so one task, each.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def text_of(*parts: Column | str) -> Column:
@@ -57,7 +59,7 @@ def case_meta(key: Column) -> Column:
 
 def pages_from(df: DataFrame, kind: Column | str, body: Column, seq: str, key: Column | None = None) -> DataFrame:
     """Captures written from a table's rows."""
-    return as_captures(spread(df), kind=kind, body=body, seq=F.col(seq), meta=None if key is None else case_meta(key))
+    return as_captures(dealt(df), kind=kind, body=body, seq=F.col(seq), meta=None if key is None else case_meta(key))
 
 
 def sql_spaces(x: str) -> str:

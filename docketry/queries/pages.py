@@ -8,19 +8,19 @@ from docketry.functions import markup
 from docketry.functions.links import host
 from docketry.functions.text import normalise_space
 from docketry.operators import blocks
-from docketry.operators.aggregates import first_per_key, search_progress
+from docketry.operators.aggregates import search_progress
 from docketry.plans import layouts as at
 from docketry.plans.pages import current_page, page_kind_flags
 from docketry.queries import render
 from docketry.queries.common import (
     customer,
+    dealt,
     key,
     pages_from,
     priority,
     sql_block_text,
     sql_entities,
     sql_inner_text,
-    spread,
     sql_spaces,
     status,
     table,
@@ -30,19 +30,22 @@ from docketry.queries.common import (
 
 
 def orders_table(spark, sf):
-    return spread(table(spark, sf, "orders"))
+    return dealt(table(spark, sf, "orders"))
 
 
 def prepared_pages(spark, sf):
-    pages = spread(table(spark, sf, "pages"))
+    pages = table(spark, sf, "pages")
     return pages.select("page_id", "url", markup.prepare(F.col("html")).alias("html"))
 
 
 def page_profile(spark, sf):
     """Flagship: title, language, links and first paragraph of the first page of each host."""
+    pages = table(spark, sf, "pages")
+    first = pages.groupBy(host(F.col("url")).alias("host")).agg(F.min("page_id").alias("page_id")).select("page_id")
+    chosen = pages.join(first, "page_id", "left_semi").select("page_id", "url", markup.prepare(F.col("html")).alias("html"))
     html = F.col("html")
     paragraph = F.regexp_extract(html, r"(?s)<article>.*?<p>(.*?)</p>", 1)
-    profile = prepared_pages(spark, sf).select(
+    return chosen.select(
         F.col("page_id").alias("seq"),
         host(F.col("url")).alias("host"),
         markup.inner_text(F.regexp_extract(html, "(?s)<h1[^>]*>(.*?)</h1>", 1)).alias("title"),
@@ -50,7 +53,6 @@ def page_profile(spark, sf):
         F.regexp_count(html, F.lit("<a href=")).cast("bigint").alias("links"),
         normalise_space(markup.inner_text(paragraph)).alias("paragraph"),
     )
-    return first_per_key(profile, ["host"])
 
 
 def inner_text(spark, sf):
@@ -156,7 +158,7 @@ def table_after_label(spark, sf):
 def script_param(spark, sf):
     parameters = text_of("doc=", F.col("doc_id"), "&lang=", F.col("lang"), "&src=", F.col("source"))
     body = F.when(F.col("lang") == "de", F.lit("<html><script>var x = 1;</script></html>")).otherwise(render.viewer_page(parameters))
-    return spread(table(spark, sf, "documents")).select("doc_id", markup.script_param(body, at.VIEWER_PARAM).alias("parameters"))
+    return table(spark, sf, "documents").select("doc_id", markup.script_param(body, at.VIEWER_PARAM).alias("parameters"))
 
 
 def fallback_text(spark, sf):
@@ -193,7 +195,7 @@ def _party_pages(spark, sf):
         F.when(F.col("c_mktsegment") != "BUILDING", render.party_cell(text_of("R&eacute;u ", F.col("c_custkey")), [])).otherwise(F.lit("")),
         "</tr></table>",
     )
-    return spread(table(spark, sf, "customer")).select("c_custkey", blocks.parties(markup.prepare(cells), at.PARTY_CLASS).alias("parties"))
+    return dealt(table(spark, sf, "customer")).select("c_custkey", blocks.parties(markup.prepare(cells), at.PARTY_CLASS).alias("parties"))
 
 
 def parties_split(spark, sf):

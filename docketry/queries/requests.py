@@ -42,9 +42,8 @@ def next_page(spark, sf):
 
 def case_requests(spark, sf):
     work = case_table(spark, sf)
-    filled = work.filter(F.col("numero_processo").isNotNull())
     both = requests.union_requests(
-        requests.case_requests(filled, BASE, at.FIRST_CASE), requests.case_requests(filled, BASE, at.SECOND_CASE)
+        requests.case_requests(work, BASE, at.FIRST_CASE), requests.case_requests(work, BASE, at.SECOND_CASE)
     )
     return both.select("seq", "kind", "url", F.try_element_at("meta", F.lit("numero_processo")).alias("numero_processo"))
 
@@ -71,10 +70,11 @@ def doc_requests(spark, sf):
 
 
 def viewer_requests(spark, sf):
-    address = text_of("https://viewer.example.org/open?doc=", key())
+    address = F.when(status() != "P", text_of("https://viewer.example.org/open?doc=", key())).otherwise(F.lit(" \n"))
     captures = pages_from(table(spark, sf, "orders"), at.DOC_ACCESS, address, "o_orderkey", key())
-    rows = requests.viewer_requests(captures)
-    return rows.select("seq", "kind", "url", F.try_element_at("meta", F.lit("numero_processo")).alias("numero_processo"))
+    good, bad = requests.viewer_requests(captures)
+    shown = good.select("seq", "kind", "url", F.try_element_at("meta", F.lit("numero_processo")).alias("numero_processo"))
+    return shown.unionByName(bad.select("seq", F.col("reason").alias("kind")), allowMissingColumns=True)
 
 
 def pdf_requests(spark, sf):
@@ -130,7 +130,8 @@ QUERIES = {
     "viewer_requests": (
         viewer_requests,
         """SELECT o_orderkey AS seq, 'doc_viewer' AS kind, 'https://viewer.example.org/open?doc=' || o_orderkey AS url,
-           CAST(o_orderkey AS VARCHAR) AS numero_processo FROM orders""",
+           CAST(o_orderkey AS VARCHAR) AS numero_processo FROM orders WHERE o_orderstatus <> 'P'
+           UNION ALL SELECT o_orderkey, 'no viewer address', NULL, NULL FROM orders WHERE o_orderstatus = 'P'""",
     ),
     "pdf_requests": (
         pdf_requests,

@@ -14,7 +14,6 @@ from docketry.session import work_dir
 from docketry.sources.captures import as_captures, decode_body
 from docketry.sources.tables import read_csv, read_table, string_schema, work_list, write_csv
 
-SLICES = ["F", "O", "P"]
 
 
 def case_table(spark, sf, *extra):
@@ -40,10 +39,18 @@ def captures_scan(spark, sf):
     return captures.select("capture_id", "request_kind", "url", "body", "seq")
 
 
+def csv_lines(spark, sf):
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_mktsegment")
+    path = work_dir(spark, "csv-lines")
+    write_csv(rows, path)
+    return read_csv(spark, path, rows.columns)
+
+
 def decode_latin1(spark, sf):
+    # Bytes 0x80 and 0x93 to 0x97, a euro sign and curly quotes to long dash, before each URL.
     return table(spark, sf, "pages").select(
         "page_id",
-        decode_body(F.encode("url", "ISO-8859-1")).alias("url"),
+        decode_body(F.concat(F.unhex(F.lit("809394959697")), F.encode("url", "ISO-8859-1"))).alias("url"),
         decode_body(F.encode("html", "UTF-8"), "UTF-8").alias("html"),
     )
 
@@ -52,7 +59,7 @@ def csv_roundtrip(spark, sf):
     rows = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
     path = work_dir(spark, "csv")
     write_csv(rows, path)
-    back = read_csv(spark, path, rows.columns)
+    back = read_csv(spark, path, rows.columns, line_breaks=True)
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source")
 
 
@@ -166,6 +173,13 @@ def document_text(spark, sf):
     return aggregates.document_text(pages, ["conv_id"])
 
 
+def document_text_hot(spark, sf):
+    """A third of all pages belongs to one document."""
+    document = F.when(F.col("conv_id") % 3 == 0, F.lit(0)).otherwise(F.col("conv_id"))
+    pages = table(spark, sf, "conversations").select(document.alias("document"), (F.col("conv_id") * 1000 + F.col("turn")).alias("page_no"), "text")
+    return aggregates.document_text(pages, ["document"])
+
+
 def case_documents_query(spark, sf):
     pages = table(spark, sf, "conversations").select(F.col("conv_id").alias("seq"), F.col("turn").alias("page_no"), "text")
     links = table(spark, sf, "documents").select(
@@ -228,7 +242,8 @@ QUERIES = {
         captures_scan,
         "SELECT page_id AS capture_id, 'first_case' AS request_kind, url, html AS body, page_id AS seq FROM pages",
     ),
-    "decode_latin1": (decode_latin1, "SELECT page_id, url, html FROM pages"),
+    "decode_latin1": (decode_latin1, "SELECT page_id, '€“”•–—' || url AS url, html FROM pages"),
+    "csv_lines": (csv_lines, "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer"),
     "csv_roundtrip": (csv_roundtrip, "SELECT doc_id, text, lang, source FROM documents"),
     "worklist": (worklist, f"WITH {CASES_SQL} SELECT seq, numero_processo FROM cases WHERE numero_processo IS NOT NULL"),
     "empty_target": (
@@ -322,13 +337,19 @@ QUERIES = {
         document_text,
         "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
     ),
+    "document_text_hot": (
+        document_text_hot,
+        """SELECT CASE WHEN conv_id % 3 = 0 THEN 0 ELSE conv_id END AS document,
+                  string_agg(text, '' ORDER BY conv_id * 1000 + turn, text) AS text
+           FROM conversations GROUP BY 1""",
+    ),
     "case_documents": (
         case_documents_query,
-        f"""SELECT conv_id AS seq, sha256(any_value(d.text)) AS pdf_name, 'case-' || conv_id AS numero_processo,
-                   CAST(conv_id AS VARCHAR) AS documento, any_value(lang) AS titulo, any_value(source) AS descricao,
-                   CAST(any_value(n_chars) AS VARCHAR) AS processo,
-                   nullif({sql_clean("string_agg(c.text, '' ORDER BY turn)")}, '') AS conteudo
-            FROM conversations c JOIN documents d ON doc_id = conv_id GROUP BY conv_id""",
+        f"""SELECT doc_id AS seq, sha256(d.text) AS pdf_name, 'case-' || doc_id AS numero_processo,
+                   CAST(doc_id AS VARCHAR) AS documento, lang AS titulo, source AS descricao,
+                   CAST(n_chars AS VARCHAR) AS processo, nullif({sql_clean("pages.text")}, '') AS conteudo
+            FROM documents d LEFT JOIN (SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text
+                FROM conversations GROUP BY conv_id) pages ON doc_id = conv_id""",
     ),
     "decode_hook": (decode_hook, "SELECT doc_id AS seq, CAST(1 AS BIGINT) AS page_no, text FROM documents"),
     "first_capture": (

@@ -9,13 +9,13 @@ from docketry.functions.links import SECOND_DEGREE_PARAMS
 from docketry.functions.markup import attr_value
 from docketry.operators.documents import document_id
 from docketry.plans.pages import from_page
-from docketry.queries.common import BASE, sql_spaces, spread, sql_strip, table, text_of
+from docketry.queries.common import BASE, sql_spaces, sql_strip, table, text_of
 
 ODD_SPACE = "\u2003\u00a0 \t"
 
 
 def documents(spark, sf):
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def normalise_space(spark, sf):

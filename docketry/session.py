@@ -31,7 +31,12 @@ def _own_folder() -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only a session that names no such folder, as in local tests, gets one of its own.
+    A local session that names no such folder, as in tests, gets one of its own; on a
+    cluster, where executors would each write to their own disk, its lack is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _own_folder()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

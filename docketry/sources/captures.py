@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from docketry.functions.text import windows_text
+
 HEADERS = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("value", T.StringType())]))
 CAPTURE_SCHEMA = T.StructType(
     [
@@ -47,7 +49,10 @@ def as_captures(
 
 
 def decode_body(content: Column, charset: str = "ISO-8859-1") -> Column:
-    """Bytes to text in the charset the portal answers in; null where they are not UTF-8 but should be."""
+    """Bytes to text in the charset the portal answers in; null where they are not UTF-8 but should be.
+
+    Latin-1 is read as HTML readers do, that is as windows-1252.
+    """
     if charset.upper() == "UTF-8":
         return F.try_validate_utf8(content.cast("string"))
-    return F.decode(content, charset)
+    return windows_text(F.decode(content, charset))

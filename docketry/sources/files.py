@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docketry.sources.tables import read_table
+
 
 def read_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
     """Files of a folder as ``url, content``."""
@@ -12,6 +14,7 @@ def read_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFr
 
 
 def store_files(files: DataFrame, path: str) -> None:
-    """Bytes under a name derived from them, so that a task run twice stores one file's name."""
-    named = files.withColumn("pdf_name", F.sha2(F.col("content"), 256))
-    named.write.mode("append").parquet(path)
+    """Bytes under a name derived from them; what is stored already, or comes twice, is stored once."""
+    named = files.withColumn("pdf_name", F.sha2(F.col("content"), 256)).dropDuplicates(["pdf_name"])
+    stored = read_table(files.sparkSession, path, named.schema).select("pdf_name").distinct()
+    named.join(stored, "pdf_name", "left_anti").select(*named.columns).write.mode("append").parquet(path)

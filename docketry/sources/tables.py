@@ -21,11 +21,11 @@ def string_schema(columns: list[str], with_seq: bool = True) -> T.StructType:
     return T.StructType(fields + [T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], with_seq: bool = False, line_breaks: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: list[str], with_seq: bool = False, line_breaks: bool = False) -> DataFrame:
     """A CSV table with a header, every column a string: nothing is inferred.
 
-    Quoted line breaks need one task per file; for tables without them pass
-    ``line_breaks=False``, and large files are split.
+    Large files are split. A table with quoted line breaks needs ``line_breaks=True``, and
+    then one task per file.
     """
     reader = spark.read.schema(string_schema(columns, with_seq)).options(**CSV_OPTIONS)
     return reader.option("multiLine", line_breaks).csv(path)
@@ -34,10 +34,12 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], with_seq: bool
 def import_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A CSV file without positions, with ``seq`` from the place of each row in it.
 
-    A file with quoted line breaks is read by one task from top to bottom, so the row
-    id of that task is the file order. Import one file at a time and store the result.
+    The file may have quoted line breaks, so one task reads it from top to bottom and stages it
+    as one Parquet file; the reader then gives each row its place in that file.
     """
-    return read_csv(spark, path, columns).withColumn("seq", F.monotonically_increasing_id())
+    rows = read_csv(spark, path, columns, line_breaks=True).coalesce(1)
+    staged = stage(rows)
+    return staged.select(*columns, F.col("_metadata.row_index").alias("seq"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -186,7 +186,7 @@ def test_viewer_pages_without_parameter_are_set_aside(spark):
     good, bad = requests.pdf_requests(pages, BASE)
     assert [(r["url"], r["meta"]["documento"]) for r in good.collect()] == [(BASE + "/getPDF.do?a=1&b=2", "007")]
     assert [(r["seq"], r["reason"]) for r in bad.collect()] == [(2, "no viewer parameter")]
-    hop = requests.viewer_requests(pages).collect()
+    hop = requests.viewer_requests(pages)[0].collect()
     assert [(r["kind"], r["url"], r["meta"]["documento"]) for r in hop] == [(at.DOC_VIEWER, "https://viewer.example.org/x", "8")]
 
 

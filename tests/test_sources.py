@@ -19,7 +19,7 @@ FIELDS = "seq long, numero_processo string, a string"
 def test_csv_keeps_every_text(spark, tmp_path):
     rows = [("1", 'say "x"'), ("2", "line\nbreak, comma"), ("007", "\\ back"), ("3", None), ("4", "  pad ")]
     write_csv(spark.createDataFrame(rows, "k string, v string"), str(tmp_path / "t"))
-    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t"), ["k", "v"]).collect()), key=str) == sorted(rows, key=str)
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t"), ["k", "v"], line_breaks=True).collect()), key=str) == sorted(rows, key=str)
 
 
 def test_import_of_a_plain_csv_file_keeps_its_order(spark, tmp_path):
@@ -52,6 +52,11 @@ def test_captures_round_trip(spark, tmp_path, source_format):
     assert read_captures(spark, str(tmp_path / "c"), source_format).collect() == df.collect()
 
 
+def test_latin1_bytes_read_as_html_readers_do(spark):
+    df = spark.createDataFrame([(b"\x80\x81\x93x\x94\x96\xe9",)], "b binary")
+    assert df.select(decode_body(F.col("b"))).collect()[0][0] == "€\x81“x”–é"
+
+
 def test_bodies_in_latin1(spark):
     df = spark.createDataFrame([("Próxima".encode("latin1"),)], "b binary")
     assert df.select(decode_body(F.col("b")), decode_body(F.col("b"), "UTF-8")).collect()[0] == ("Próxima", None)
@@ -62,6 +67,7 @@ def test_files_are_stored_under_a_name_from_their_bytes(spark, tmp_path):
     (tmp_path / "in" / "a.pdf").write_bytes(b"one")
     (tmp_path / "in" / "b.txt").write_bytes(b"two")
     store_files(read_files(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+    store_files(read_files(spark, str(tmp_path / "in")), str(tmp_path / "out"))
     stored = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(stored) == 1 and len(stored[0]["pdf_name"]) == 64
 

@@ -9,6 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketry.operators import aggregates, joins, writes
+from docketry.operators.documents import case_documents
+from docketry.plans.layouts import DOCUMENT_COLUMNS
+from docketry.session import work_dir
+from docketry.sources.tables import string_schema
 
 TARGET = "seq long, numero_processo string, a string, b string"
 NEW = "seq long, numero_processo string, a string, c string"
@@ -105,16 +109,37 @@ def test_resume_starts_after_the_first_place_of_the_last_key(spark, stored, want
     assert sorted(r["seq"] for r in joins.resume_after(work, table).collect()) == wanted
 
 
-def test_document_text_in_page_order_and_oversized_ones_apart(spark):
+def test_document_text_in_page_order(spark):
     pages = [("d", n, f"{n};") for n in range(1000)] + [("e", 2, "b"), ("e", 1, "a"), ("e", 3, None), ("n", 1, None)]
     df = spark.createDataFrame(pages, "doc string, page_no long, text string").repartition(7)
     got = {r["doc"]: r["text"] for r in aggregates.document_text(df, ["doc"]).collect()}
     assert got == {"d": "".join(f"{n};" for n in range(1000)), "e": "ab", "n": ""}
-    small = {r["doc"]: r["text"] for r in aggregates.document_text(df, ["doc"], cell_chars=100).collect()}
-    assert set(small) == {"e", "n"}
-    rest = aggregates.oversized_pages(df, ["doc"], cell_chars=100).orderBy("page_no").collect()
-    assert {r["doc"] for r in rest} == {"d"}
-    assert "".join(r["text"] for r in rest) == got["d"]
+    unnumbered = spark.createDataFrame([("d", None, "x"), ("d", 200, "z"), ("d", -5, "y")], df.schema)
+    assert aggregates.document_text(unnumbered, ["doc"]).collect()[0]["text"] == "xyz"
+
+
+def test_every_document_keeps_its_record(spark):
+    pages = spark.createDataFrame([(1, 1, "text"), (3, 1, " ")], "seq long, page_no long, text string")
+    links = spark.createDataFrame([(n, f"f{n}", "c", str(n), "t", "d", "p") for n in (1, 2, 3)], string_schema(DOCUMENT_COLUMNS[:-1]))
+    got = {r["seq"]: r["conteudo"] for r in case_documents(pages, links).collect()}
+    assert got == {1: "text", 2: None, 3: None}
+
+
+def test_blank_keys_are_never_known(spark):
+    work = spark.createDataFrame([(1, ""), (2, None), (3, "a")], "seq long, numero_processo string")
+    assert sorted(r["seq"] for r in joins.pending(work, work, ["numero_processo"]).collect()) == [1, 2]
+    assert [r["seq"] for r in joins.known(work, work, ["numero_processo"]).collect()] == [3]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None), "master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session, "x")
+    Session.sparkContext.master = "local[4]"
+    assert "/x-" in work_dir(Session, "x")
 
 
 def test_aggregates_of_empty_tables(spark):

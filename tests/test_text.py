@@ -102,3 +102,24 @@ def test_phrases(evaluate):
 
 def test_dates(evaluate):
     assert evaluate(lambda c: predicates.until_date(c, "2024-02-09"), ["09/02/2024", "10/02/2024", "x"]) == [True, False, None]
+
+
+def test_every_named_entity_and_windows_codes(evaluate):
+    names = ["Scaron", "trade", "le", "Alpha", "hearts", "nbsp", "amp", "apos", "euro"]
+    got = evaluate(text.decode_entities, [f"a&{n};b" for n in names] + ["&#150;&#128;&#x93;", "&nope; &#0;"])
+    assert got == [html.unescape(f"a&{n};b") for n in names] + [html.unescape("&#150;&#128;&#x93;"), "&nope; &#0;"]
+
+
+def test_folding_in_every_script(evaluate):
+    assert evaluate(predicates.folded, ["Ação", "ΆΈΉ", "Ёлка Й", "e\u0301", "Ǻ"]) == ["acao", "αεη", "елка и", "e", "a"]
+
+
+def test_unquoted_words_are_searched_too():
+    assert predicates.phrases_of('"LGPD" OU 13.709') == ["LGPD", "13.709"]
+    assert predicates.phrases_of('"a b" E "c"') == ["a b", "c"] and predicates.phrases_of("x OU y") == ["x OU y"]
+
+
+def test_many_parameters_end_soon(evaluate):
+    query = "?" + "&".join(f"k{i % 5000}={i}" for i in range(15_000))
+    got = evaluate(maps.query_params, [query])[0]
+    assert len(got) == 5000 and got["k0"] == "10000"

@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from docketry.functions.structure import inside, last_block, plain_tags
 from docketry.functions.text import SPACE, SPACE_RUN, bound, decode_entities, first_filled, strip_space
 
 # Stand-in for comments, scripts and styles: an empty tag, so that text on both sides stays apart.
@@ -26,18 +27,20 @@ TAG_WITH_SPACE = rf"(?:{SPACE_RUN})?<[^>]*>{SPACE}*+"
 # References to the no-break space, which counts as white space at the ends of a text node.
 HARD_SPACE = "&(?:nbsp|#160|#[xX][aA]0);"
 # Up to the first filled text: white space, empty spans, one opening span.
-TO_FIRST_TEXT = rf"(?:{SPACE}++|<span[^>]*+>{SPACE}*+</span>)*+(?:<span[^>]*+>)?+{SPACE}*+"
+# Up to there also whole elements of other kinds, whose text is not the anchor's own.
+OTHER = r"<(?!span\b|/)[a-z0-9]++[^>]*+>(?:[^<]*+</(?!span|div|td)[a-z0-9]++>)?+"
+TO_FIRST_TEXT = rf"(?:{SPACE}++|<>|<span[^>]*+>{SPACE}*+</span>|{OTHER})*+(?:<span[^>]*+>)?+{SPACE}*+"
 
 
 def class_pattern(*names: str) -> str:
     """Attribute pattern for elements carrying all the class names."""
     wanted = "".join(rf'(?=(?:[^"]*\s)?{re.escape(n)}[\s"])' for n in names)
-    return rf'class="{wanted}[^"]*"'
+    return rf'class="(?<=\sclass="){wanted}[^"]*"'
 
 
 def prepare(html: Column) -> Column:
-    """A page without comments, scripts and styles."""
-    return F.regexp_replace(html, HIDDEN, GAP)
+    """A page without comments, scripts and styles, its tags in one spelling."""
+    return bound(F.regexp_replace(html, HIDDEN, GAP), plain_tags)
 
 
 def inner_text(markup: Column, delimiter: str = "") -> Column:
@@ -56,14 +59,14 @@ def block_text(markup: Column) -> Column:
 
 def anchor_text(body: Column, element_id: str) -> Column:
     """First filled text of the element with an id, or of the span that opens it."""
-    found = F.regexp_extract(body, rf'id="{re.escape(element_id)}"[^>]*+>{TO_FIRST_TEXT}([^<]*+)', 1)
+    found = F.regexp_extract(body, rf'\sid="{re.escape(element_id)}"[^>]*+>{TO_FIRST_TEXT}([^<]*+)', 1)
     return strip_space(decode_entities(found))
 
 
 def anchored_heads(body: Column, element_ids: list[str]) -> Column:
     """The opening tag and first text of several anchors, cut out in one pass over the page."""
     ids = "|".join(re.escape(i) for i in element_ids)
-    return F.regexp_extract_all(body, F.lit(rf'id="(?:{ids})"[^>]*+>{TO_FIRST_TEXT}[^<]*+'), F.lit(0))
+    return F.regexp_extract_all(body, F.lit(rf'\sid="(?:{ids})"[^>]*+>{TO_FIRST_TEXT}[^<]*+'), F.lit(0))
 
 
 def head_ids(heads: Column) -> Column:
@@ -81,11 +84,6 @@ def head_text(ids: Column, texts: Column, element_id: str) -> Column:
     return F.coalesce(F.get(texts, place), F.lit(""))
 
 
-def element_inner(body: Column, element_id: str, tag: str) -> Column:
-    """Markup inside the element with an id, up to the first closing ``tag``."""
-    return F.regexp_extract(body, rf'(?s)id="{re.escape(element_id)}"[^>]*+>(.*?)</{tag}>', 1)
-
-
 def labelled_cells(block: Column) -> Column:
     """A block's text with cell boundaries kept, ready for ``label_detail``."""
     spaced = F.regexp_replace(block, HARD_SPACE, "\u00a0")
@@ -101,7 +99,7 @@ def label_detail(cells: Column, label: str) -> Column:
 
 def attr_value(tag: Column, name: str) -> Column:
     """Value of an attribute in the first tag that has it; blank if absent."""
-    found = F.regexp_extract(tag, rf"""(?i)<[^<>]*?\s{re.escape(name)}\s*=\s*["']([^"'>]*+)["']""", 1)
+    found = F.regexp_extract(tag, rf"""(?i)<[^<>]*?\s{re.escape(name)}\s*=\s*(["'])((?:(?!\1)[^>])*+)\1""", 2)
     return decode_entities(found)
 
 
@@ -111,12 +109,16 @@ def tag_with(body: Column, tag: str, attribute: str) -> Column:
 
 
 def labelled_block(body: Column, container: str, label_class: str, label: str) -> Column:
-    """Markup from a label to the next label, in the first container that has it; blank if none has."""
+    """Markup from a label to the next label or the container's end, in the first container that has it; blank if none has."""
     opening = re.escape(container)
     marker = rf"{re.escape(label_class)}[^>]*>[^<]*{re.escape(label)}"
-    region = rf"(?s){opening}(?:(?!{opening}).)*?{marker}(.*?)(?:{re.escape(label_class)}|\z)"
+    pattern = rf"(?s){opening}[^>]*+>((?:(?!{opening}).)*?{marker}.*)"
+
+    def region(rest: Column) -> Column:
+        return F.regexp_extract(inside(rest, "div"), rf"(?s){marker}(.*?)(?:{re.escape(label_class)}|\z)", 1)
+
     # Most pages lack most labels, and the plain search is far cheaper than the pattern.
-    return F.when(F.contains(body, F.lit(label)), F.regexp_extract(body, region, 1)).otherwise(F.lit(""))
+    return F.when(F.contains(body, F.lit(label)), bound(F.regexp_extract(body, pattern, 1), region)).otherwise(F.lit(""))
 
 
 def value_text(region: Column, opening: str) -> Column:
@@ -126,8 +128,12 @@ def value_text(region: Column, opening: str) -> Column:
 
 def tags_joined(body: Column, tag_class: str, separator: str = "|") -> Column:
     """First texts of all elements of a class, joined, stripped at the two ends."""
-    texts = F.regexp_extract_all(body, F.lit(rf"{class_pattern(tag_class)}[^>]*+>([^<]*+)"), F.lit(1))
-    return strip_space(decode_entities(F.array_join(texts, separator)))
+    void = r"<(?:br|wbr|img|hr)\b[^>]*+>"
+    child = r"<([a-z0-9]++)\b[^>]*+>[^<]*+</\2>"
+    found = F.regexp_extract_all(body, F.lit(rf"{class_pattern(tag_class)}[^>]*+>([^<]*+(?:(?:{void}|{child})[^<]*+)*+)"), F.lit(1))
+    # An element's own text nodes: what its child elements hold is not among them.
+    nodes = F.transform(found, lambda t: F.filter(F.split(t, rf"{void}|<([a-z0-9]++)\b[^>]*+>[^<]*+</\1>"), lambda n: n != ""))
+    return strip_space(decode_entities(F.array_join(F.flatten(nodes), separator)))
 
 
 def element_texts(body: Column, tag: str, separator: str = "|") -> Column:
@@ -145,12 +151,14 @@ def link_text_by_title(block: Column, title: str) -> Column:
 
 
 def last_block_text(block: Column, row_tag: str, block_tag: str) -> Column:
-    """Normalised text of the last ``block_tag`` in the last ``row_tag``."""
+    """Normalised text of the last outermost ``block_tag`` in the last ``row_tag``."""
     row = F.substring_index(block, f"<{row_tag}", -1)
-    opens = F.contains(row, F.lit(f"<{block_tag}"))
-    piece = F.when(opens, F.substring_index(row, f"<{block_tag}", -1)).otherwise(F.lit(""))
-    inside = F.regexp_extract(piece, rf"(?s)^[^>]*+>(.*?)(?:</{block_tag}>|\z)", 1)
-    return F.trim(F.regexp_replace(inner_text(inside), rf"{SPACE}++", " "))
+    if block_tag == "div":
+        found = last_block(row, block_tag)
+    else:  # elements that end where the next one starts
+        found = F.regexp_extract(F.substring_index(row, f"<{block_tag}", -1), rf"(?s)^[^>]*+>(.*?)(?:</{block_tag}>|\z)", 1)
+    content = F.when(F.contains(row, F.lit(f"<{block_tag}")), found).otherwise(F.lit(""))
+    return F.trim(F.regexp_replace(inner_text(content), rf"{SPACE}++", " "))
 
 
 def own_text(markup: Column) -> Column:
@@ -165,7 +173,7 @@ def first_text(markup: Column, opening: str) -> Column:
 
 def cells_of(row: Column) -> Column:
     """Markup of each table cell of a row, in order."""
-    return F.regexp_extract_all(row, F.lit(r"(?s)<td\b[^>]*+>(.*?)</td>"), F.lit(1))
+    return F.regexp_extract_all(row, F.lit(r"(?s)<td\b[^>]*+>(.*?)(?=</td>|<td\b|</tr>|\z)"), F.lit(1))
 
 
 def nth_cell(cells: Column, n: int) -> Column:

@@ -20,6 +20,7 @@ from docketry.functions.markup import (
     own_text,
     table_after_label,
 )
+from docketry.functions.structure import deep_elements, element, inside
 from docketry.functions.text import (
     before_paren,
     decode_entities,
@@ -36,10 +37,6 @@ from docketry.functions.text import (
 PLACES = 2**28
 POSITIONS = 2**35
 
-TABLE_INSIDE = r"(?:[^<]++|<(?!/?table\b))*+"
-INNER_TABLE = rf"<table\b[^>]*+>({TABLE_INSIDE})</table>"
-OUTER_TABLE = rf"<table\b[^>]*+>((?:[^<]++|<(?!/?table\b)|<table\b[^>]*+>{TABLE_INSIDE}</table>)*+)</table>"
-
 
 def place_in_page(seq: Column, place: Column) -> Column:
     fits = (seq < POSITIONS) & (seq >= -POSITIONS)
@@ -48,9 +45,8 @@ def place_in_page(seq: Column, place: Column) -> Column:
 
 
 def nested_tables(markup: Column) -> Column:
-    """Innermost tables that lie inside another table, in page order."""
-    outer = F.regexp_extract_all(markup, F.lit(OUTER_TABLE), F.lit(1))
-    return F.flatten(F.transform(outer, lambda o: F.regexp_extract_all(o, F.lit(INNER_TABLE), F.lit(1))))
+    """Tables that lie inside another table, however deep, in page order."""
+    return deep_elements(markup, "table", 2)
 
 
 def result_blocks(captures: DataFrame, results_id: str) -> DataFrame:
@@ -59,7 +55,7 @@ def result_blocks(captures: DataFrame, results_id: str) -> DataFrame:
     The first page holds the blocks below the element ``results_id``; later pages
     come without it, and their whole body is searched.
     """
-    anchored = F.regexp_extract(F.col("body"), rf'(?s)id="{re.escape(results_id)}"[^>]*+>(.*)', 1)
+    anchored = element(F.col("body"), results_id)
     scope = F.when(F.contains("body", F.lit(f'id="{results_id}"')), anchored).otherwise(F.col("body"))
     rest = [c for c in captures.columns if c not in ("body", "seq")]
     return captures.select(*rest, "seq", F.posexplode(nested_tables(scope)).alias("place", "block")).select(
@@ -68,14 +64,12 @@ def result_blocks(captures: DataFrame, results_id: str) -> DataFrame:
 
 
 def table_rows(body: Column, table_id: str) -> Column:
-    section = F.regexp_extract(
-        body, rf'(?s)id="{re.escape(table_id)}"[^>]*+>(.*?)(?:</tbody>|</table>|\z)', 1
-    )
-    return F.regexp_extract_all(section, F.lit(r"(?s)<tr\b[^>]*+>(.*?)</tr>"), F.lit(1))
+    """Rows of a table, those of tables inside its cells among them."""
+    return deep_elements(element(body, table_id), "tr", 1)
 
 
 def cell_of_class(row: Column, name: str) -> Column:
-    return F.regexp_extract(row, rf"(?s){class_pattern(name)}[^>]*+>(.*?)(?:</td>|\z)", 1)
+    return inside(F.regexp_extract(row, rf"(?s){class_pattern(name)}[^>]*+>(.*)", 1), "td")
 
 
 def movements(captures: DataFrame, case: Column, layout: dict) -> DataFrame:
@@ -105,11 +99,13 @@ def parties(body: Column, party_class: str) -> Column:
     A party cell is cut at its line breaks while still markup, so a closing tag after
     the last break counts as a piece and leaves a blank lawyer, as the contract has it.
     """
-    cells = F.regexp_extract_all(
-        body, F.lit(rf"(?s){class_pattern(party_class)}[^>]*+>.*?</(?:td|div)>"), F.lit(0)
+    at_cell = rf"(?=<[a-z][a-z0-9]*+\b[^>]*?\s{class_pattern(party_class)})"
+    cells = F.transform(
+        F.slice(F.split(F.concat(F.lit(" "), body), at_cell), 2, 2**30),
+        lambda c: F.concat(inside(F.regexp_replace(c, "^<[^>]*+>", ""), F.regexp_extract(c, "^<([a-z0-9]+)", 1)), F.lit("</td>")),
     )
     # In steps, so that each step names what the step before built instead of building it again.
-    pieces = F.transform(cells, lambda cell: F.split(F.concat(F.lit("<td "), cell), r"(?i)<br\s*/?>"))
+    pieces = F.transform(cells, lambda cell: F.split(cell, r"<br\s*/?>"))
     texts = F.transform(
         pieces,
         lambda cell: F.transform(F.filter(cell, lambda p: strip_space(p) != ""), lambda p: F.regexp_replace(p, "<[^>]*>", "")),

@@ -16,7 +16,6 @@ from docketry.functions.markup import (
     anchored_heads,
     attr_value,
     class_pattern,
-    element_inner,
     head_ids,
     head_text,
     head_texts,
@@ -31,6 +30,7 @@ from docketry.functions.markup import (
     tags_joined,
     value_text,
 )
+from docketry.functions.structure import element
 from docketry.functions.text import (
     blank_to_null,
     decode_entities,
@@ -59,7 +59,8 @@ def _anchored_fields(anchors: dict[str, str]) -> dict[str, Column]:
 
 def _decision_blocks(captures: DataFrame, kind: str) -> DataFrame:
     pages = of_kind(captures, kind).select("seq", prepare(F.col("body")).alias("body"))
-    found = blocks.result_blocks(pages, at.RESULTS_ID)
+    # A table without a summary's div is no decision, but a small table inside one.
+    found = blocks.result_blocks(pages, at.RESULTS_ID).filter(F.contains("block", F.lit("<div")))
     return found.withColumn("cells", labelled_cells(F.col("block")))
 
 
@@ -92,7 +93,7 @@ def first_degree_cases(captures: DataFrame, base_url: str) -> DataFrame:
         case_key().alias("numero_processo"),
         tags_joined(body, at.STATUS_CLASS).alias("situacao"),
         anchored_heads(body, list(anchors.values())).alias("heads"),
-        inner_text(element_inner(body, at.AREA_ANCHOR, "div")).alias("area"),
+        inner_text(element(body, at.AREA_ANCHOR)).alias("area"),
         F.regexp_extract_all(body, F.lit(rf"{class_pattern(*at.ROLE_CLASSES)}[^>]*+>([^<]*+)"), F.lit(1)).alias("roles"),
         blocks.parties(body, at.PARTY_CLASS).alias("parties"),
         _labelled(body, at.OTHER_SUBJECTS["container"], at.OTHER_SUBJECTS["label"]).alias("subjects"),
@@ -139,7 +140,7 @@ def case_movements(captures: DataFrame) -> DataFrame:
 
 def second_degree_cases(captures: DataFrame) -> DataFrame:
     body = F.col("body")
-    details = F.regexp_extract(body, rf'(?s)id="{at.DETAILS_ID}"[^>]*+>(.*)', 1)
+    details = element(body, at.DETAILS_ID)
     origin = rf"(?s)<span\b[^>]*+>[^<]*{at.ORIGIN_LABEL}[^<]*</span>(?:[^<]++|<(?!span\b))*+<span\b[^>]*+>([^<]*+)"
     df = _case_pages(captures, at.SECOND_CASE).select(
         "seq",

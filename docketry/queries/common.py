@@ -62,6 +62,19 @@ def pages_from(df: DataFrame, kind: Column | str, body: Column, seq: str, key: C
     return as_captures(dealt(df), kind=kind, body=body, seq=F.col(seq), meta=None if key is None else case_meta(key))
 
 
+def spelt(body: Column, key: Column) -> Column:
+    """The same page in one of four spellings, by the row's key."""
+    upper = body
+    for name in ("table", "tr", "td", "div", "span"):
+        upper = F.regexp_replace(upper, f"(</?){name}\\b", f"$1{name.upper()}")
+    other_id = F.regexp_replace(body, '\\sid="', ' data-id="tdResultados" id="')
+    single = F.regexp_replace(body, "=\"([^\"'<>]*)\"", "='$1'")
+    return (
+        F.when(F.pmod(key, F.lit(4)) == 1, F.regexp_replace(upper, ' (id|class|title)="', ' DATA-X="1" $1 = "'))
+        .when(F.pmod(key, F.lit(4)) == 2, other_id).when(F.pmod(key, F.lit(4)) == 3, single).otherwise(body)
+    )
+
+
 def sql_spaces(x: str) -> str:
     return f"trim(regexp_replace({x}, '{SQL_SPACE}+', ' ', 'g'))"
 

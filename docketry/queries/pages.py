@@ -172,7 +172,8 @@ def fallback_text(spark, sf):
 def result_blocks(spark, sf):
     body = render.result_page(render.first_decision_blocks(), anchored=True)
     captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, markup.prepare(body), "o_orderkey")
-    found = blocks.result_blocks(captures.select("seq", "body"), at.RESULTS_ID)
+    # Every nested table has a place, the small one inside a decision too; it holds no div.
+    found = blocks.result_blocks(captures.select("seq", "body"), at.RESULTS_ID).filter(F.contains("block", F.lit("<div")))
     return found.select("seq", markup.link_text_by_title(F.col("block"), at.FULL_TEXT_TITLE).alias("numero_processo"))
 
 
@@ -314,7 +315,7 @@ QUERIES = {
     "result_blocks": (
         result_blocks,
         """SELECT o_orderkey * 268435456 AS seq, CAST(o_orderkey AS VARCHAR) AS numero_processo FROM orders
-           UNION ALL SELECT o_orderkey * 268435456 + 1, o_orderkey || '-R' FROM orders""",
+           UNION ALL SELECT o_orderkey * 268435456 + 2, o_orderkey || '-R' FROM orders""",
     ),
     "movements_explode": (
         movements_explode,

@@ -9,7 +9,7 @@ from docketry.plans import layouts as at
 from docketry.plans import records
 from docketry.functions.markup import script_param
 from docketry.queries import render
-from docketry.queries.common import BASE, customer, day, key, pages_from, priority, status, table, text_of
+from docketry.queries.common import BASE, customer, day, key, pages_from, priority, spelt, status, table, text_of
 
 
 
@@ -17,13 +17,13 @@ def decisions_first(spark, sf):
     page = render.result_page(
         render.first_decision_blocks(), anchored=True, paging=render.pager(at.FIRST_SEARCH, key(), F.lit(True))
     )
-    captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, page, "o_orderkey")
+    captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, spelt(page, key()), "o_orderkey")
     return records.first_degree_decisions(captures).drop("seq")
 
 
 def decisions_second(spark, sf):
     page = render.result_page(render.second_decision_blocks(), anchored=False)
-    captures = pages_from(table(spark, sf, "orders"), at.SECOND_SEARCH, page, "o_orderkey")
+    captures = pages_from(table(spark, sf, "orders"), at.SECOND_SEARCH, spelt(page, key()), "o_orderkey")
     return records.second_degree_decisions(captures).drop("seq")
 
 

@@ -17,10 +17,11 @@ def labelled_row(label: str, value: Column | str) -> Column:
 def decision_block(number: Column | str, labelled: list[tuple[str, Column | str]], summary: Column | str) -> Column:
     title = text_of(f'<table class="r"><tr><td><a class="x" title="{at.FULL_TEXT_TITLE}" href="#"> ', number, " </a></td></tr>")
     rows = [labelled_row(label, value) for label, value in labelled]
+    note = "<tr><td><table><tr><td>nota</td></tr></table></td></tr>"
     last = text_of(
-        "<tr><td><div style='display:none'>curto</div>\n<div>", ODD, summary, f"<br>{ODD}fim.</div></td></tr></table>"
+        "<tr><td><div style='display:none'>curto</div>\n<div>", ODD, summary, f"<br>{ODD}<div>fim.</div></div></td></tr></table>"
     )
-    return text_of(title, *rows, last)
+    return text_of(title, *rows, note, last)
 
 
 def pager(kind: str, page: Column | str, has_next: Column) -> Column:
@@ -33,7 +34,8 @@ def result_page(blocks: list[Column], *, anchored: bool, paging: Column | str =
     outer = text_of("<table>", *[text_of("<tr><td>", b, "</td></tr>") for b in blocks], "</table>")
     head = text_of("<html><!-- <table><table>x</table></table> --><body><table><tr><td>menu</td></tr></table>", paging)
     if anchored:
-        return text_of(head, f'<div><td id="{at.RESULTS_ID}">', outer, "</td></div></body></html>")
+        foot = "<table><tr><td><table><tr><td><div>rodapé</div></td></tr></table></td></tr></table>"
+        return text_of(head, f'<div><td id="{at.RESULTS_ID}">', outer, f"</td></div>{foot}</body></html>")
     return outer
 
 

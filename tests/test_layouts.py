@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from docketry.functions import markup
 from docketry.functions.maps import cookies
-from docketry.operators import documents, writes
+from docketry.operators import blocks, documents, writes
 from docketry.operators.quarantine import split_bad
 from docketry.plans import layouts as at
 from docketry.plans import records, requests
@@ -248,3 +249,55 @@ def test_search_and_case_requests(spark):
     assert [r["meta"]["numero_processo"] for r in once] == ["c1", "c2"]
     assert "valorConsulta=c1&" in once[0]["url"]
     assert "dePesquisa=c1&" in requests.case_requests(work, BASE, at.SECOND_CASE).orderBy("seq").collect()[0]["url"]
+
+
+def test_a_table_inside_one_block_loses_no_other(spark):
+    inner = "<table><tr><td>small</td></tr></table>"
+    blocks_ = [portal.block(n, [("Classe:", f"C{n}" + (inner if n == "2" else ""))], "e") for n in "123"]
+    foot = "<table><tr><td><table><tr><td>FOOT</td></tr></table></td></tr></table>"
+    page = portal.results(*blocks_).replace("</body>", foot + "</body>")
+    got = rows(records.first_degree_decisions(portal.captures(spark, portal.capture(1, at.FIRST_SEARCH, page))))
+    assert [r["numero_processo"] for r in got if r["numero_processo"]] == ["1", "2", "3"]
+    assert "FOOT" not in str(got)
+
+
+def test_outer_last_div_is_the_summary(spark, evaluate):
+    block = "<tr><td><div>no</div><div>parte um <div>parte dois</div> fim</div></td></tr>"
+    assert evaluate(lambda x: markup.last_block_text(x, "tr", "div"), [block, "<tr><td>x</td></tr>"]) == ["parte umparte doisfim", ""]
+
+
+def test_spelling_of_tags_and_attributes(spark, evaluate):
+    def juiz(x):
+        return markup.anchor_text(markup.prepare(x), "juizProcesso")
+
+    pages = [
+        "<DIV ID='juizProcesso'>Ana</DIV>", "<div id=juizProcesso class=x>Ana</div>", '<p data-id="juizProcesso">no</p><div id="juizProcesso">Ana</div>',
+        '<div title="a > b" id = "juizProcesso" hidden>Ana</div>', '<div id="juizProcesso"><b>cargo</b> Ana</div>',
+    ]
+    assert evaluate(juiz, pages) == ["Ana"] * 5
+    assert evaluate(lambda x: markup.attr_value(markup.prepare(x), "href"), ["<a href=\"/x?n=D'Agua\">", "<A HREF=/y>"]) == ["/x?n=D'Agua", "/y"]
+    cells = evaluate(lambda x: F.array_join(markup.cells_of(markup.prepare(x)), "|"), ["<TR><td>a<td>b</tr>", "<td>a</td><td>b</td>"])
+    assert cells == ["a|b", "a|b"]
+    assert evaluate(lambda x: markup.tags_joined(x, "t"), ['<i class="t">a<br>b<b>no</b></i><i class="t">c</i>']) == ["a|b|c"]
+
+
+def test_an_empty_block_takes_nothing_from_what_follows(spark, evaluate):
+    container, label = at.RELATED_CONTAINER, at.ATTACHED_CASE_LABEL
+    page = f'<div class="{container}"><span class="{at.LABEL_CLASS}">{label}</span><div></div></div><footer><div><a href="/ajuda">Ajuda</a></div></footer>'
+    found = evaluate(lambda x: markup.attr_value(markup.labelled_block(x, container, at.LABEL_CLASS, label), "href"), [page])
+    assert found == [""]
+
+
+def test_a_table_in_a_movement_cell_ends_nothing(spark):
+    def row(n, extra=""):
+        return f'<tr><td class="dataMovimentacao">{n}</td><td class="descricaoMovimentacao">t{n}{extra}<span>d</span></td></tr>'
+
+    table_ = f'<table><tbody id="{at.MOVEMENTS["table_id"]}">{row(1)}{row(2, "<table><tbody><tr><td>z</td></tr></tbody></table>")}{row(3)}</tbody></table>'
+    got = rows(records.case_movements(portal.captures(spark, portal.capture(1, at.FIRST_CASE, table_, "c"))))
+    assert [r["data"] for r in got if r["data"]] == ["1", "2", "3"]
+
+
+def test_a_party_name_in_a_div_keeps_its_lawyers(spark, evaluate):
+    cell = f'<td class="{at.PARTY_CLASS}"><div>Ana</div><br>Advogado: B<br>Advogada: C</td>'
+    names = evaluate(lambda x: blocks.party_at(blocks.parties(x, at.PARTY_CLASS), 0, "advogados_parte"), [cell])
+    assert names == ["B|C"]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docketry.llm.common import filled, small_batches
-from docketry.llm.words import WordMemory
+from docketry.llm.words import WordMemory, packed
 
 SPACE = "▁"
 MATRIX_CHARS = 64
@@ -172,7 +172,7 @@ class Encoder:
                 extra += 1
         return out
 
-    def _encode_new(self, words: list[str]) -> list[list[int]]:
+    def _encode_new(self, words: list[str]) -> list[bytes]:
         """One list of ids per word; all known parts are searched together."""
         plain = [SPACE + w for w in words if self._plain(w)]
         odd = {w: self._known_parts(w) for w in words if not self._plain(w)}
@@ -180,7 +180,7 @@ class Encoder:
         found = iter(self._search(plain + known))
         ids = dict(zip(plain, found))
         odd_ids = {w: [next(found) if p[0] in self.m.chars else self._as_bytes(p) for p in parts] for w, parts in odd.items()}
-        return [ids[SPACE + w] if w not in odd else self._joined(w, odd_ids[w]) for w in words]
+        return [packed(ids[SPACE + w] if w not in odd else self._joined(w, odd_ids[w])) for w in words]
 
     def _plain(self, word: str) -> bool:
         first = word[:1]

@@ -29,13 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketry.llm.common import filled, shard_bounds, shuffle_partitions, small_batches, with_shard
-from docketry.llm.words import KEPT_WORDS, WordMemory
+from docketry.llm.words import KEPT_WORDS, WordMemory, packed
 from docketry.session import work_dir
 
 BLOCK_IDS = 65_536
 END_ID = 1
-#: Words end at these; the tokenizer drops all white space and no piece of it reaches across.
-WORD_END = re.compile("[ \n]+")
 SIMPLE_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|]{0,8})")
 #: How byte-level models show a byte: itself if it is a visible Latin-1 sign, else the next free sign from 256 on.
 VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -88,35 +86,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.memory = WordMemory(self._encode_new)
-        self.letters: dict[str, list[int]] = {}
-        self.marks: dict[str, list[int]] = {"": []}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
         self.simple = True
         self.simple = self._encode_new(list(self.TRIAL)) == self._whole(list(self.TRIAL))
 
-    def _whole(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _of_letters(self, letters: str) -> list[int]:
+    def _of_letters(self, letters: str) -> bytes:
         ids = self.letters.get(letters)
         if ids is None:
             if len(self.letters) > KEPT_WORDS:
                 self.letters.clear()
             shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_SIGNS)
-            ids = self.letters[letters] = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            ids = self.letters[letters] = packed([t.id for t in self.tokenizer.model.tokenize(shown)])
         return ids
 
-    def _of_marks(self, marks: str) -> list[int]:
+    def _of_marks(self, marks: str) -> bytes:
         if marks not in self.marks:
             self.marks[marks] = self._whole([marks])[0]
         return self.marks[marks]
 
-    def _encode_new(self, words: list[str]) -> list[list[int]]:
+    def _encode_new(self, words: list[str]) -> list[bytes]:
         found = [SIMPLE_WORD.fullmatch(w) if self.simple else None for w in words]
         others = iter(self._whole([w for w, m in zip(words, found) if m is None]))
         return [self._of_letters(m[1].lower()) + self._of_marks(m[2]) if m else next(others) for m in found]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.memory.encode([[w for w in WORD_END.split(t) if w] for t in texts])
+        return self.memory.encode([self._words(t) for t in texts])
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """Cut at spaces and line breaks: the tokenizer drops all white space and no piece of it reaches across."""
+        words = text.replace("\n", " ").split(" ")
+        return [w for w in words if w] if "" in words else words
 
 
 @cache
@@ -124,21 +128,30 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def id_width(tokenizer_path: str, end_id: int) -> int:
+    return width_of(max(encoder(tokenizer_path).vocabulary, end_id + 1))
+
+
+def id_type(tokenizer_path: str, end_id: int) -> str:
+    return "<u2" if id_width(tokenizer_path, end_id) <= 16 else "<u4"
+
+
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and its ids as packed little-endian 32-bit integers, the end id last."""
+    """doc_id and its ids as packed little-endian integers of 16 or 32 bits, the end id last."""
     small_batches(docs.sparkSession)
+    kind = id_type(tokenizer_path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer_path)
         for batch in batches:
             encoded = own.encode(batch.column(1).to_pylist())
-            ids = [np.append(x, np.uint32(end_id)).astype("<u4").tobytes() for x in encoded]
+            ids = [np.append(x, np.uint32(end_id)).astype(kind).tobytes() for x in encoded]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select("doc_id", filled().alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def _blocks(width: int):
+def _blocks(width: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, first, docs, ends, parts, n = None, 0, 0, [], [], [], 0
 
@@ -153,7 +166,7 @@ def _blocks(width: int):
                     if docs:
                         yield row()
                     shard, block, first, docs, ends, parts, n = own, 0, 0, [], [], [], 0
-                part = np.frombuffer(ids, "<u4")
+                part = np.frombuffer(ids, kind)
                 n += len(part)
                 docs.append(doc_id)
                 ends.append(n)
@@ -174,10 +187,10 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
     """Token files of ``docs`` in ascending doc_id order, in ``folder``."""
     spark = docs.sparkSession
     bounds = shard_bounds(docs, "doc_id", shuffle_partitions(spark))
-    width = width_of(max(encoder(tokenizer_path).vocabulary, end_id + 1))
+    packer = _blocks(id_width(tokenizer_path, end_id), id_type(tokenizer_path, end_id))
     cut = with_shard(token_ids(docs, tokenizer_path, end_id), "doc_id", bounds, "shard")
     ordered = cut.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids")
-    ordered.select("doc_id", "ids", "shard").mapInArrow(_blocks(width), BLOCK_SCHEMA).write.parquet(folder)
+    ordered.select("doc_id", "ids", "shard").mapInArrow(packer, BLOCK_SCHEMA).write.parquet(folder)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

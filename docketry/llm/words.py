@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -11,9 +12,12 @@ KEPT_WORDS = 500_000
 
 
 class WordMemory:
-    """Ids by word, in one flat array; kept for the life of a worker process."""
+    """Ids by word, in one flat array; kept for the life of a worker process.
 
-    def __init__(self, encode_new: Callable[[list[str]], list[list[int]]]):
+    ``encode_new`` gives the ids of words as packed unsigned 32-bit integers.
+    """
+
+    def __init__(self, encode_new: Callable[[list[str]], list[bytes]]):
         self.encode_new = encode_new
         self._forget()
 
@@ -26,14 +30,13 @@ class WordMemory:
         if len(self.places) > KEPT_WORDS:
             self._forget()
         places = self.places
-        new = list(dict.fromkeys(w for words in texts for w in words if w not in places))
+        new = list(set().union(*texts).difference(places))
         if new:
             encoded = self.encode_new(new)
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
             places.update(zip(new, range(len(places), len(places) + len(new))))
-            flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum()))
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, flat])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(encoded), np.uint32)])
         return [self._gather(words) for words in texts]
 
     def _gather(self, words: list[str]) -> np.ndarray:
@@ -41,3 +44,7 @@ class WordMemory:
         starts, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
         before = np.cumsum(sizes) - sizes
         return self.ids[np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()

@@ -9,9 +9,8 @@ Jaccard similarity. Only darts up to a rank of about ``ln(coordinates)`` per coo
 thrown, whatever the length of the text; if a coordinate gets none, the bound is doubled.
 
 Signatures are cut into bands; texts that share a band are candidates. Candidates are not
-paired with each other: each bucket's texts are compared with its least and its greatest,
-those linked to either leave it with them, and the rest goes on to the next round, until no bucket
-holds two. Similarity is then computed exactly, and links of ``SIMILARITY`` or more make
+paired with each other: each bucket's texts are compared with a few pivots of the bucket;
+the rest goes on to the next round with more pivots, until each bucket's rest is one class. Similarity is then computed exactly, and links of ``SIMILARITY`` or more make
 classes (connected components, by alternating large-star and small-star steps).
 
 Words are the lower-cased text cut at white space. Texts with equal words are one node from
@@ -21,14 +20,14 @@ Null text counts as empty; all texts without words are one class. A text of fewe
 words has one shingle, of all its words. Rows that share a doc_id and text share a class.
 A row without doc_id gets class null and is compared with nothing.
 
-Hot keys: copies of a text send one signature per task; buckets, pivots and classes that
-hold many rows are salted (``operators.skew.keyed_join``), and groups are reduced before they move.
+Hot keys: copies of a text send one signature per task; buckets and classes that hold
+many rows are salted (``operators.skew.keyed_join``), and groups are reduced before they move.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +43,7 @@ BANDS, ROWS = 28, 6
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 4)
 KEPT_WORDS = 500_000
+MOST_PIVOTS = 1024
 
 U = np.uint64
 GOLD, MIX_A, MIX_B, STEP = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0xD6E8FEB86659FD93)
@@ -137,25 +137,27 @@ def _node(words: list[str]) -> int:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, bands`` of every document with an id; of copies in one task the first alone has bands."""
+    """``doc_id, node, size, bands`` of every document with an id; of copies in one task the first alone has bands."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         with np.errstate(over="ignore"):
             for batch in batches:
-                nodes, bands = [], []
+                nodes, sizes, bands = [], [], []
                 for text in batch.column(1).to_pylist():
                     words = text.lower().split()
                     nodes.append(node := _node(words))
                     fresh = words and node not in seen
                     seen.add(node)
-                    bands.append(bands_of(elements(words)) if fresh else np.zeros(0, np.int64))
-                arrays = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "node", "bands"])
+                    own = elements(words) if fresh else np.zeros(0, np.uint64)
+                    sizes.append(len(own))
+                    bands.append(bands_of(own) if fresh else np.zeros(0, np.int64))
+                arrays = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", "node", "size", "bands"])
 
     named = docs.filter("doc_id IS NOT NULL").select("doc_id", filled().alias("text"))
-    return named.mapInArrow(run, "doc_id long, node long, bands array<long>")
+    return named.mapInArrow(run, "doc_id long, node long, size long, bands array<long>")
 
 
 def weighted_sets(docs: DataFrame) -> DataFrame:
@@ -180,42 +182,60 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
-    """The pairs ``(pivot, node)`` that are similar enough; only texts in pairs move."""
-    named = pairs.select(F.explode(F.array("pivot", "node")).alias("node")).distinct()
-    wanted = first_ids.join(named, "node", "left_semi").select("doc_id").distinct()
+def sets_of(nodes: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
+    """The weighted sets of some nodes, staged; only their texts move."""
+    wanted = first_ids.join(nodes.select("node").distinct(), "node", "left_semi").select("doc_id").distinct()
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = weighted_sets(texts).groupBy("node").agg(F.first("own").alias("own"))
-    sets = staged(sets, "weighted-sets")
+    return staged(weighted_sets(texts).groupBy("node").agg(F.first("own").alias("own")), "weighted-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(pivot, node)`` that are similar enough.
+
+    A pivot may have many pairs: they stay two numbers each until its set joins them, and
+    Spark splits such a partition, as it does for every skewed join.
+    """
     of_pivot = sets.select(F.col("node").alias("pivot"), F.col("own").alias("pivot_own"))
-    with_pivot = keyed_join(pairs, of_pivot, ["pivot"], "inner", ["node"])  # a pivot may have a third of all pairs
-    both = with_pivot.join(sets, "node").select("pivot", "node", "pivot_own", "own")
+    both = pairs.join(of_pivot, "pivot").join(sets, "node").select("pivot", "node", "pivot_own", "own")
     return staged(both.mapInArrow(_close_pairs, "pivot long, node long"), "links")
 
 
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """``rows(bucket, node, size, class)`` of a staged table, without the buckets that hold one class alone."""
+    ends = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    kept = keyed_join(rows, ends.select("bucket"), ["bucket"], "left_semi", ["node"])
+    return staged(kept.select("bucket", "node", "size", "class"), "members")
+
+
 def links(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
-    """Links between different texts, as ``(pivot, node)``; ``sigs`` as staged by ``classes``."""
-    spark = sigs.sparkSession
-    alive = sigs.select(F.explode("bands").alias("bucket"), "node")
-    found: list[DataFrame] = []
-    while True:
-        ends = alive.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-        # The sketch of keyed_join reads ``alive`` a second time: it is a staged table in each round.
-        members = staged(keyed_join(alive, ends, ["bucket"], "inner", ["node"]), "members")
-        pivots = F.array(F.col("low"), F.col("high"))
-        pairs = members.select("node", F.explode(pivots).alias("pivot")).filter("node <> pivot").distinct()
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        near = verified(pairs, docs, first_ids)
-        found.append(near)
-        rest = members.filter("node <> low AND node <> high")
-        for end in ("low", "high"):
-            done = near.select(F.col("pivot").alias(end), "node")
-            rest = rest.join(done, [end, "node"], "left_anti")
-        alive = staged(rest.select("bucket", "node"), "alive")
-    empty = spark.createDataFrame([], "pivot long, node long")
-    return reduce(DataFrame.union, found, empty)
+    """Links between different texts, as ``(pivot, node)``; ``sigs`` as staged by ``classes``.
+
+    In each round up to ``4**turn`` texts of each bucket are its pivots (``MOST_PIVOTS`` at most, then
+    more rounds). They are compared with the texts of the bucket that are not in their class yet,
+    and leave it. A bucket whose rest is one class is done, so each pair of a bucket
+    is compared, or one component anyway.
+    """
+    rows = sigs.select(F.explode("bands").alias("bucket"), "node", "size", F.col("node").alias("class"))
+    members = shared_buckets(rows)
+    sets = sets_of(members, docs, first_ids)
+    found = sigs.sparkSession.createDataFrame([], "pivot long, node long")
+    for turn in count(1):
+        if members.isEmpty():
+            return found
+        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(4**turn, MOST_PIVOTS)))
+        least = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "size", "class")).alias("pivot"))
+        pivots = least.groupBy("bucket").agg(F.collect_list("pivot").alias("pivots"))  # as many as there are slots
+        seen = staged(keyed_join(members, pivots, ["bucket"], "inner", ["node"]), "with-pivots")
+        # Sets whose sizes differ more than SIMILARITY allows can't be linked.
+        possible = f"p -> p.class <> class AND least(p.size, size) >= {SIMILARITY} * greatest(p.size, size)"
+        asked = seen.select("node", F.explode(F.expr(f"filter(pivots, {possible})")).alias("pivot"))
+        pairs = staged(asked.select(F.col("pivot.node").alias("pivot"), "node").distinct(), "pairs")
+        found = staged(found.union(verified(pairs, sets)), "found")
+        own = F.transform("pivots", lambda p: p["node"])
+        rest = seen.filter(~F.array_contains(own, F.col("node"))).select("bucket", "node", "size")
+        roots = components(found)
+        current = rest.join(roots, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("class"))
+        members = shared_buckets(staged(current, "rest"))
 
 
 def _least(edges: DataFrame, node: str, other: str) -> DataFrame:

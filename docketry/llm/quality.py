@@ -33,7 +33,7 @@ LEAST_DOCUMENTS = 8
 ROUNDS = 3
 SURE = 0.98
 HELD_OUT = 5  # one labelled document in five calibrates
-KEEP = 0.2  # rejected only when this sure that a document is bad
+KEEP = 0.5  # below, a document is more likely bad than good
 EDGES = ".,;:!?\"'()[]{}*#$%&|"
 SIGNS = "$%#*&!|"
 SCORES = "struct<text_score double, meta_score double, score double, keep boolean>"

@@ -35,6 +35,17 @@ def test_held_out_accuracy(spark):
     assert (found.keep == good).mean() > 0.9 and found.keep[good].mean() > 0.95
 
 
+@pytest.mark.parametrize("fold", [1, 2])
+def test_held_out_recall_of_bad_and_toxic(spark, fold):
+    base = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    learn, test = labels.filter(f"doc_id % 4 <> {fold}"), labels.filter(f"doc_id % 4 = {fold}")
+    found = quality.document_scores(docs, learn).join(test, "doc_id").toPandas()
+    good = (found.quality == 1) & (found.toxic == 0)
+    assert (~found.keep[~good]).mean() > 0.96 and (~found.keep[found.toxic == 1]).mean() > 0.91
+    assert found.keep[good].mean() > 0.99
+
+
 def test_corner_rows_are_scored(spark, docs):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)] + [(1, 0, None), (None, 1, 1), (99, 1, 0)], "doc_id long, quality int, toxic int")
     df = docs(CORNER).selectExpr("*", "doc_id AS quality")

@@ -12,6 +12,7 @@ from urllib.parse import quote
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
@@ -106,6 +107,41 @@ def test_decoded_layers_are_scanned_and_mapped_back(path, coded):
     assert masked.startswith("before ") and masked.endswith(" after") and secrets.MASK in masked
 
 
+RAW = b'first line\ntoken = "hunter2hunter2"\nlast line of it\n'
+LONG = "".join(f"line {i} of {sha256(b'%d' % i).hexdigest()[:9]} text\n" for i in range(9)) + RAW.decode()
+
+
+def wrapped(raw, columns, end="\n"):
+    coded = base64.b64encode(raw).decode()
+    return end.join(coded[i : i + columns] for i in range(0, len(coded), columns))
+
+
+@pytest.mark.parametrize("before", ["https://host.example/cb/", "cfg_", "cfg-", "a/b_c-", "x/yy/zzz/"])
+@pytest.mark.parametrize("raw", [RAW, gzip.compress(RAW), b"\xff\xfe" + RAW.decode().encode("utf-16-le")])
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.urlsafe_b64encode])
+@pytest.mark.parametrize("after", ["", "/x.txt"])
+def test_payload_behind_a_prefix(before, raw, encode, after):
+    text = f"see {before}{encode(raw).decode()}{after} end"
+    found = [x for x in secrets.find(text) if x[0] == "base64>assign"]
+    assert found and all(4 + len(before) <= s < e <= len(text) - 4 for _, s, e in found)
+
+
+@pytest.mark.parametrize("columns", [64, 76, 41])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n"])
+@pytest.mark.parametrize("raw", [LONG.encode(), gzip.compress(LONG.encode()), ("é" + LONG).encode("latin-1")])
+def test_wrapped_base64(columns, end, raw):
+    for around in ("data:\n{}\nhello there", "data {}", "some_long_identifier_here\n{}\n"):
+        found = [x for x in secrets.find(around.format(wrapped(raw, columns, end))) if x[0] == "base64>assign"]
+        assert len(found) == 1
+
+
+def test_all_tokens_of_a_list_are_read():
+    tokens = [base64.b64encode(b'token = "hunter2hunter%d"' % i).decode().rstrip("=") for i in range(12)]
+    text = "\n".join(tokens)
+    found = [(s, e) for k, s, e in secrets.find(text) if k == "base64>assign"]
+    assert all(any(s <= text.index(t) + 9 < e for s, e in found) for t in tokens)
+
+
 def test_value_encoded_behind_a_plain_key_word():
     text = "password = %68unter2hunter2 rest"
     assert ("url>assign", 0, 27) in secrets.find(text)

@@ -147,6 +147,37 @@ def test_value_encoded_behind_a_plain_key_word():
     assert ("url>assign", 0, 27) in secrets.find(text)
 
 
+SECRET = b'token = "hunter2hunter2"\n'
+PARTS = {
+    "gzip members": gzip.compress(b"first\n") + gzip.compress(SECRET),
+    "zstd frames": zstandard.compress(b"first\n") + zstandard.compress(SECRET),
+    "padding between": gzip.compress(b"first\n") + bytes(20) + gzip.compress(SECRET),
+    "rest after": gzip.compress(b"first\n") + SECRET,
+    "damaged end": gzip.compress(SECRET)[:-8] + bytes(8),
+    "twice": gzip.compress(zlib.compress(SECRET)),
+    "mark": b"\xef\xbb\xbf" + SECRET,
+    "no-break space": "a\u00a0b ".encode() + SECRET,
+    "form feed": b"a\x0c" + SECRET,
+    "nul": b"a\0" + SECRET,
+    "utf-16": SECRET.decode().encode("utf-16"),
+    "utf-16 big": SECRET.decode().encode("utf-16-be"),
+    "latin-1": "naïve ".encode("latin-1") + SECRET,
+    "archive": gzip.compress(b"name.env" + bytes(100) + SECRET + bytes(300)),
+    "nested": b"\xff\0" + base64.b64encode(SECRET),
+}
+
+
+@pytest.mark.parametrize("raw", PARTS.values(), ids=PARTS.keys())
+def test_whole_content_of_layers_is_read(raw):
+    found = secrets.find(f"before {base64.b64encode(raw).decode()} after")
+    assert [k.split(">")[-1] for k, _, _ in found] == ["assign"]
+
+
+def test_unpack_reads_to_the_end():
+    assert secrets.unpack(gzip.compress(b"a") + gzip.compress(b"b")) == b"ab" == secrets.unpack(zstandard.compress(b"a") + zstandard.compress(b"b"))
+    assert secrets.unpack(b"xylophone") is None
+
+
 def test_cycles_end_and_bombs_are_reported(monkeypatch):
     assert secrets.find("%2525252525252525") == []
     monkeypatch.setattr(secrets, "LAYER_BYTES", 1000)

@@ -178,6 +178,23 @@ def test_unpack_reads_to_the_end():
     assert secrets.unpack(b"xylophone") is None
 
 
+def test_distinct_secrets_of_one_run_stay_distinct():
+    lines = [f"password{i}: x\npassword={i}hunter2hunter\nclean {i}\n" for i in range(5)]
+    raw = "".join(lines)
+    for coded in (base64.b64encode(raw.encode()).decode(), "".join(f"%{c:02x}" for c in raw.encode()), "".join(f"\\x{c:02x}" for c in raw.encode())):
+        text = f"before {coded} after"
+        found = secrets.find(text)
+        assert len({x[1:] for x in found}) == 5 and {x[0].split(">")[-1] for x in found} == {"assign"}
+        masked = secrets.redact(text, found)
+        assert masked.count(secrets.MASK) == 5 and len(masked) > len(text) / 3
+    packed = base64.b64encode(gzip.compress(raw.encode())).decode()
+    found = secrets.find(f"before {packed} %41 after")
+    assert len(set(found)) == 5 and {x[1:] for x in found} == {(7, 7 + len(packed))}
+    assert secrets.redact(f"before {packed} after", found) == "before [REDACTED] after"
+    url = "é=%C3%A9 x=%ff" + "%70assword=hunter2hunter2"
+    assert secrets.find(url) == [("url>assign", 14, len(url))]
+
+
 def test_cycles_end_and_bombs_are_reported(monkeypatch):
     assert secrets.find("%2525252525252525") == []
     monkeypatch.setattr(secrets, "LAYER_BYTES", 1000)

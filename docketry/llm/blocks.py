@@ -18,7 +18,16 @@ CLOSES_P = BLOCK - set("html head body td th tr tbody thead tfoot caption legend
 #: A start tag that ends an open element of the same group, up to the group's container.
 SIBLINGS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table")}
 
-UNSEEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(HIDDEN.split())})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE)
+#: What may stand in a head; any other start tag ends it, and so does text.
+IN_HEAD = set("html head title base link meta style script noscript template basefont bgsound".split())
+
+# Attribute values in quotes may hold '>'. A self-closed svg is empty; on other elements '/>' means nothing in HTML.
+ATTRIBUTES = r"""(?:[^>"']++|"[^"]*"|'[^']*'|["'])*+"""
+UNSEEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/>]){ATTRIBUTES}(?<=/)>|"
+    rf"<({'|'.join(HIDDEN.split())})(?=[\s/>]){ATTRIBUTES}>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)",
+    re.DOTALL | re.IGNORECASE,
+)
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>|<[!?/][^>]*>""")
 NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 TOKEN = re.compile(r"[a-z]+")
@@ -41,14 +50,22 @@ class _Reader:
         self.text: list[str] = []
         self.link_chars = 0
         self.links = 0
+        self.in_head = False
 
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.text)).split()) if self.text else ""
-        if text and "head" not in self.tags:
+        if text:
             self.blocks.append(Block(text, list(self.tags), list(self.names), min(self.link_chars, len(text))))
         self.text, self.link_chars = [], 0
 
+    def end_head(self) -> None:
+        if self.in_head:
+            self.close({"head"}, set())
+            self.in_head = False
+
     def words(self, text: str) -> None:
+        if self.in_head and not text.isspace():
+            self.end_head()
         self.text.append(text)
         if self.links:
             self.link_chars += len(text)
@@ -63,6 +80,8 @@ class _Reader:
                 return
 
     def start(self, tag: str, attributes: str) -> None:
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag == "a":
             self.links += 1
         if tag == "br":
@@ -76,8 +95,7 @@ class _Reader:
             wanted, until = SIBLINGS[tag]
             for _ in wanted.split():
                 self.close(set(wanted.split()), set(until.split()))
-        if tag == "body":
-            self.close({"head"}, set())
+        self.in_head |= tag == "head"
         if tag not in VOID:
             self.tags.append(tag)
             self.names.append([t for _, v in NAMED.findall(attributes) for t in TOKEN.findall(v.lower())])
@@ -88,6 +106,7 @@ class _Reader:
         if tag in BLOCK:
             self.flush()
             self.close({tag}, set())
+            self.in_head &= tag not in ("head", "html")
 
 
 def blocks_of(page: str) -> list[Block]:

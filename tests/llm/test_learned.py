@@ -102,6 +102,25 @@ def test_reading_of_markup():
     assert blocks_of("<script>never closed <p>x") == [] and blocks_of("a < b")[0].text == "a < b"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><body><svg-icon></svg-icon>{}",
+        "<body><title-bar></title-bar>{}<template-x></template-x><select-menu></select-menu></body>",
+        "<body><svg width='1'/>{}</body>",
+        "<body><svg title='>'><text>no</text></svg >{}",
+        "<!DOCTYPE html><html><head><meta charset=utf-8><title>no</title><link rel=a>{}",
+        "<html><head>\n<script>var no;</script>\n<noscript><p>no</p></noscript>{}",
+        "<title>no</title>{}",
+    ],
+)
+def test_no_article_is_lost_with_its_head_or_custom_tags(page):
+    article = "<article><h1>River stone</h1><p>Garden window meadow copper lantern.</p>Market winter, letter.</article>"
+    assert [b.text for b in blocks_of(page.format(article))] == ["River stone", "Garden window meadow copper lantern.", "Market winter, letter."]
+    assert extract.main_text(page.format(article)).startswith("River stone\nGarden window")
+    assert [b.text for b in blocks_of(page.format("own text<p>more"))] == ["own text", "more"]
+
+
 @pytest.mark.parametrize("many", ["<p>" * 50_000, "<div class='a' " * 20_000, "<" * 100_000, "a" * 500_000, "<li>x" * 20_000])
 def test_odd_pages_end_soon(many):
     extract.main_text(many)

@@ -2,7 +2,7 @@
 
 Kinds email, ip, card and phone are found as the base patterns say (leftmost, not
 overlapping, dropped without another try where their test fails). Beside them:
-``iban`` (mod-97) and ``phone_local``, a number without ``+`` that only its context makes
+``iban`` (mod-97, at its country's length) and ``phone_local``, a number without ``+`` that only its context makes
 a phone number. A span's score starts at the kind's own, and words nearby raise it;
 a span beyond the base is kept at ``MIN_SCORE`` or more.
 
@@ -44,7 +44,19 @@ IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 # Runs of fewer than 16 digits fail as a whole, and so does every run inside them.
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9]){15,}")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# A candidate begins at a word; its end is found by iban_end.
+IBAN = re.compile(r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}((?:\x20?[A-Z0-9]){11,30}))")
+# The length of an IBAN by country.
+IBAN_LENGTHS = {
+    country: int(length)
+    for length, countries in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+        "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+        "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+    ).split())
+    for country in countries.split(",")
+}
+IBAN_WORD = re.compile(r"[A-Z0-9]+(?![A-Za-z0-9])")
 PHONE_LOCAL = re.compile(r"(?<![0-9A-Za-z+().-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![0-9A-Za-z])")
 NOT_DIGITS = re.compile(r"[^0-9]")
 
@@ -63,6 +75,14 @@ def mod97(iban: str) -> bool:
     return int(number) % 97 == 1
 
 
+def iban_end(text: str, start: int, end: int) -> int | None:
+    """The end of a word, up to ``end``, to which the candidate is a valid IBAN of its country's length; else the last, if that is unknown."""
+    length = IBAN_LENGTHS.get(text[start : start + 2])
+    ends = [m.end() for m in IBAN_WORD.finditer(text, start, min(len(text), end + 1)) if m.end() <= end]
+    sizes = ((e, len(text[start:e].replace(" ", ""))) for e in reversed(ends))
+    return next((e for e, n in sizes if (n == length if length else n >= 15) and mod97(text[start:e])), None)
+
+
 def small_part(digits: str) -> bool:
     tail = digits.lstrip("0")
     return len(tail) <= 3 and int(tail or "0") <= 255
@@ -106,7 +126,12 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
             if 8 <= len(NOT_DIGITS.sub("", m[0])) <= 15:
                 spans.append(("phone", *m.span()))
     scored = [(*x, _score(x[0], text, x[1], x[2])) for x in spans]
-    ibans = [("iban", *m.span()) for m in IBAN.finditer(text) if mod97(m[0])]
+    ibans, done = [], 0
+    for m in IBAN.finditer(text):
+        end = iban_end(text, m.start(), m.end(1)) if m.start() >= done else None
+        if end:
+            ibans.append(("iban", m.start(), end))
+            done = end
     local = [("phone_local", *m.span()) for m in PHONE_LOCAL.finditer(text)]
     for more in (ibans, local):
         taken = sorted(x[1:3] for x in scored)

@@ -81,6 +81,13 @@ def test_validators_and_context():
     assert pii.find("server 10.0.0.1")[0][3] > pii.find("v 10.0.0.1")[0][3]
 
 
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"])
+@pytest.mark.parametrize("after", [" BIC COBADEFFXXX", " 2024-05-17", " 20240517", " 17.05.2024", " EUR 100", " OK", "", ", then", " Bank", " X1 DE89 3704 0044 0532 0130 00"])
+def test_iban_with_words_after_it(iban, after):
+    found = [x[1:3] for x in pii.find(f"IBAN {iban}{after}") if x[0] == "iban"]
+    assert found[0] == (5, 5 + len(iban)) and len(found) == 1 + after.startswith(" X1")
+
+
 @pytest.mark.parametrize("many", ["1" * 300_000, "a" * 300_000, "1." * 150_000, "a@" * 100_000, "+1" * 100_000])
 def test_long_runs_are_scanned_in_linear_time(many):
     pii.find(many)

@@ -49,7 +49,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
             "ends" if b.text[-1] in END_SIGNS else "open",
             *{"in=" + t for t in b.tags},
             *{"name=" + t for names in b.names for t in names},
-            *{"says=" + m.lower() for m in PHRASES.findall(b.text[:400])},
+            *{"says=" + m.lower() for m in PHRASES.findall(b.text)},
         ]
         found += ["first"] * (place == 0) + ["last"] * (place == len(blocks) - 1)
         out.append(found)

@@ -84,6 +84,11 @@ def test_viterbi_finds_the_best_labels():
         assert extract.decode(rows, extract.field()) == brute_labels(rows, extract.field())
 
 
+def test_phrases_late_in_a_long_block_are_seen():
+    blocks = blocks_of("<p>" + "river stone winter " * 40 + "All rights reserved.</p>")
+    assert "says=all rights reserved" in extract.features(blocks)[0]
+
+
 def test_held_out_pages():
     rng, right, total = random.Random(123), 0, 0
     for _ in range(300):

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import filled, small_batches, staged
+from docketry.llm.common import append_column, filled, free_name, small_batches, staged
 from docketry.operators.skew import keyed_join
 
 SHINGLE = 5
@@ -261,16 +261,21 @@ def components(pairs: DataFrame) -> DataFrame:
         last = state
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_id (least id of equal texts), class_id."""
-    sigs = staged(signed(docs), "signatures")
+def _texts(sigs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text_id, root, class_id`` of each different text; the last two are null where no link ends."""
     first_ids = sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     roots = components(links(sigs, docs, first_ids))
     linked = roots.union(roots.select(F.col("root").alias("node"), "root")).distinct().join(first_ids, "node")
     linked = staged(linked, "linked")
     names = linked.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    named = keyed_join(linked, names, ["root"], "inner", ["node"]).select("node", "class_id")
-    texts = first_ids.withColumnRenamed("doc_id", "text_id").join(named, "node", "left")
+    named = keyed_join(linked, names, ["root"], "inner", ["node"]).select("node", "root", "class_id")
+    return first_ids.withColumnRenamed("doc_id", "text_id").join(named, "node", "left")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_id (least id of equal texts), class_id."""
+    sigs = staged(signed(docs), "signatures")
+    texts = _texts(sigs, docs).drop("root")
     placed = keyed_join(sigs.select("doc_id", "node"), texts, ["node"], "inner", ["doc_id"])
     out = placed.select("doc_id", "text_id", F.coalesce("class_id", "text_id").alias("class_id"))
     nameless = docs.filter("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("text_id"), F.col("doc_id").alias("class_id"))
@@ -278,10 +283,19 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class, the one with the least id; rows without an id stay."""
-    kept = classes(docs).filter("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = staged(kept, "kept")
-    first = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if not kept.filter("copies > 1").isEmpty():
-        first = first.dropDuplicates(["doc_id"])
+    """``docs`` with one document of each class, the one with the least id; rows without an id stay.
+
+    An id may name several texts: the row kept is the one with the class's text, of several
+    such texts under the least id the one with the least node.
+    """
+    sigs = staged(signed(docs), "signatures")
+    least = _texts(sigs, docs).groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct("text_id", "node")).alias("first"))
+    kept = staged(least.select(F.col("first.text_id").alias("doc_id"), "first.node"), "kept")
+    ids = kept.select("doc_id").distinct()
+    first = docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    if not sigs.groupBy("doc_id").count().filter("count > 1").join(ids, "doc_id", "left_semi").isEmpty():
+        node = free_name(docs, "node")
+        named = append_column(first, node, "long", lambda texts: [_node((t or "").lower().split()) for t in texts])
+        named = named.join(kept.select("doc_id", F.col("node").alias(node)), ["doc_id", node], "left_semi")
+        first = named.dropDuplicates(["doc_id", node]).drop(node)
     return first.select(*docs.columns).union(docs.filter("doc_id IS NULL"))

@@ -70,6 +70,16 @@ def test_classes_equal_all_pairs(docs):
     assert dedup.classes(docs([])).count() == 0
 
 
+def test_one_of_each_class_where_ids_name_several_texts(docs):
+    a, b = " ".join(prose(random.Random(1), 50)), " ".join(prose(random.Random(2), 50))
+    rows = [(1, a), (1, b), (1, a.upper()), (2, a), (3, b + " end"), (None, a), (4, "c"), (5, "d"), (5, a), (0, "d")]
+    df = docs(rows).selectExpr("*", "doc_id AS node")
+    kept = dedup.one_per_class(df)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text.lower()) for r in kept.collect()), key=str)
+    assert found == sorted([(1, a), (1, b), (4, "c"), (0, "d"), (None, a)], key=str)
+
+
 def test_large_group_of_near_copies(docs):
     rng = random.Random(8)
     base = prose(rng, 120)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import decontaminate, dedup, extract, merkle, pieces, pii, quality, secrets, tokenfile, urls
+from docketry.llm import align, decontaminate, dedup, extract, lexical, merkle, pieces, pii, quality, secrets, shards, tokenfile, urls
 from docketry.llm.common import table
 
 
@@ -54,6 +54,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("piece_bpe_32k.model")
+    return align.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.dealt(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +80,9 @@ QUERIES = {
         op8_secrets,
         op9_sentencepiece,
         op10_token_files,
+        op11_alignment,
+        op12_lexical_search,
+        op13_shards,
     )
 }
-ORACLE_SQL = {"op7_url_filter": urls.ORACLE}
+ORACLE_SQL = {"op7_url_filter": urls.ORACLE, "op12_lexical_search": lexical.ORACLE, "op13_shards": shards.ORACLE}

@@ -7,7 +7,8 @@ Places where tokens of both end cut them into groups and link those two tokens.
 
 Texts are cut before spaces, where both tokenizers always cut: A's pattern starts a piece there,
 and no piece of B goes on over a space (tried when the model is read; else a text is one
-part). Each distinct part is aligned once and kept for the life of a worker.
+part). Each distinct part is aligned once and kept for the life of a worker; new parts are read
+together, as one text, where they may follow each other.
 
 An id pair's count is the number of its links in the whole table. The most frequent pairs,
 ``FREQUENT`` at most, go to every task with their counts. Links of other pairs are joined with
@@ -25,6 +26,8 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ from docketry.operators.skew import keyed_join
 
 KEPT_PARTS = 200_000
 KEPT_CHARS = 100
+#: Characters of new parts that are read at once.
+TOGETHER = 20_000
 FREQUENT = 131_072
 #: Links that a counting task holds before it sums them, and pairs before it gives them out.
 HELD = 4_000_000
@@ -84,22 +89,15 @@ def refined(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return np.where(last, high, counted)
 
 
-class Part:
+class Part(NamedTuple):
     """The tokens of one part of a text: their numbers, groups as text, and linked pairs."""
 
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "links", "sound")
-
-    def __init__(self, a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, sound: bool):
-        self.n_a, self.n_b, self.sound = len(a), len(b), sound
-        _, at_a, at_b = np.intersect1d(a_ends, b_ends, return_indices=True)
-        self.n_groups = len(at_a)
-        self.links = (a[at_a].astype(np.int64) << 32 | b[at_b].astype(np.int64)).tobytes()
-        low_a = low_b = 0
-        groups, left, right = [], [*map(str, a.tolist())], [*map(str, b.tolist())]
-        for high_a, high_b in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            groups.append(",".join(left[low_a:high_a]) + "|" + ",".join(right[low_b:high_b]))
-            low_a, low_b = high_a, high_b
-        self.groups = ";".join(groups)
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    links: bytes
+    sound: bool
 
 
 class Aligner:
@@ -127,41 +125,79 @@ class Aligner:
             return [" " + w for w in text.split(" ")]
         return AFTER_WORD.split(" " + text)
 
-    def _aligned(self, part: str) -> Part:
-        content = part.encode("utf-8")
-        found = self.a.encode(part, add_special_tokens=False)
+    def _spans(self, text: str, content: bytes) -> tuple[np.ndarray, ...]:
+        """Ids and byte ends of both tokenizers' tokens."""
+        found = self.a.encode(text, add_special_tokens=False)
         a = np.array(found.ids, np.int64)
-        spans = np.array(found.offsets, np.int64).reshape(-1, 2)
-        if len(content) > len(part):
-            places = np.concatenate([[0], np.cumsum([len(c.encode("utf-8")) for c in part])])
-            spans = places[spans]
-        a_ends = refined(spans[:, 0], spans[:, 1], self.a_sizes[a])
-        pieces = self.b.encode(part[1:], return_type="offset_mapping", return_bytes=True, num_threads=1)
+        flat = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(a))
+        if len(content) > len(text):
+            # A character starts at every byte that is not a continuation byte.
+            starts = np.flatnonzero((np.frombuffer(content, np.uint8) & 0xC0) != 0x80)
+            flat = np.append(starts, len(content))[flat]
+        a_ends = refined(flat[::2], flat[1::2], self.a_sizes[a])
+        pieces = self.b.encode(text[1:], return_type="offset_mapping", return_bytes=True, num_threads=1)
         b = np.array(pieces["ids"], np.int64)
-        spans = np.array(pieces["offsets"], np.int64).reshape(-1, 2) + 1
-        spans[:1, 0] = 0  # the first piece starts with the space that the model puts first
-        b_ends = refined(spans[:, 0], spans[:, 1], self.b_sizes[b])
-        sound = b"".join([self.a_bytes[i] for i in a]) == content == b"".join([self.b_bytes[i] for i in b])
-        return Part(a, a_ends, b, b_ends, sound)
-
-    def _part(self, part: str) -> Part:
-        own = self.parts.get(part)
-        if own is None:
-            if len(self.parts) > KEPT_PARTS:
-                self.parts.clear()
-            own = self._aligned(part)
-            if len(part) <= KEPT_CHARS:
-                self.parts[part] = own
-        return own
-
-    def align(self, text: str) -> list[Part]:
-        """The parts of a text, or none if it has no tokens by contract."""
-        if not text:
-            return []
-        parts = [*map(self._part, self._parts(text))]
-        if not all(p.sound for p in parts):
-            parts = [self._aligned(" " + text)]
-        return parts if all(p.sound for p in parts) else []
+        flat = np.fromiter(chain.from_iterable(pieces["offsets"]), np.int64, 2 * len(b)) + 1
+        flat[:1] = 0  # the first piece starts with the space that the model puts first
+        return a, a_ends, b, refined(flat[::2], flat[1::2], self.b_sizes[b])
+
+    def _aligned(self, parts: list[str]) -> list[Part]:
+        """Parts that may stand one after the other, read as one text; their ends are ends of tokens."""
+        text = "".join(parts)
+        content = text.encode("utf-8")
+        a, a_ends, b, b_ends = self._spans(text, content)
+        sound = b"".join([self.a_bytes[i] for i in a.tolist()]) == content == b"".join([self.b_bytes[i] for i in b.tolist()])
+        common, at_a, at_b = np.intersect1d(a_ends, b_ends, return_indices=True)
+        links = (a[at_a] << 32 | b[at_b]).tobytes()
+        groups, low_a, low_b, left, right = [], 0, 0, [*map(str, a.tolist())], [*map(str, b.tolist())]
+        for high_a, high_b in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
+            groups.append(",".join(left[low_a:high_a]) + "|" + ",".join(right[low_b:high_b]))
+            low_a, low_b = high_a, high_b
+        if len(parts) == 1:
+            return [Part(len(a), len(b), len(groups), ";".join(groups), links, sound)]
+        part_ends = np.cumsum([len(p) if p.isascii() else len(p.encode("utf-8")) for p in parts])
+        if not (sound and np.isin(part_ends, common).all()):
+            return [self._aligned([p])[0] for p in parts]
+        cuts = [np.diff(np.searchsorted(ends, part_ends, "right"), prepend=0).tolist() for ends in (a_ends, b_ends)]
+        last = np.searchsorted(common, part_ends, "right").tolist()
+        return [
+            Part(n_a, n_b, high - low, ";".join(groups[low:high]), links[8 * low : 8 * high], True)
+            for n_a, n_b, low, high in zip(*cuts, [0, *last], last)
+        ]
+
+    def _learn(self, new: list[str]) -> None:
+        """Align new parts; those that start with one space and end with none are read together."""
+        together: list[str] = []
+        size = 0
+        for part in new:
+            if len(part) > 1 and not part[1].isspace() and not part[-1].isspace() and "▁" not in part:
+                together.append(part)
+                size += len(part)
+                if size > TOGETHER:
+                    self.parts.update(zip(together, self._aligned(together)))
+                    together, size = [], 0
+            else:
+                self.parts[part] = self._aligned([part])[0]
+        if together:
+            self.parts.update(zip(together, self._aligned(together)))
+
+    def align(self, texts: list[str]) -> list[list[Part]]:
+        """The parts of each text, or none if it has no tokens by contract."""
+        cut = [self._parts(t) if t else [] for t in texts]
+        wanted = set().union(*cut)
+        if len(self.parts) > KEPT_PARTS:
+            self.parts = {p: self.parts[p] for p in wanted if p in self.parts}
+        self._learn([p for p in wanted if p not in self.parts])
+        out = []
+        for text, names in zip(texts, cut):
+            parts = [*map(self.parts.__getitem__, names)]
+            if not all([p.sound for p in parts]):
+                parts = self._aligned([" " + text])
+            out.append(parts if all([p.sound for p in parts]) else [])
+        for part in wanted:
+            if len(part) > KEPT_CHARS:
+                del self.parts[part]
+        return out
 
 
 @cache
@@ -177,11 +213,10 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         own = aligner(a_path, b_path)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                parts = own.align(text)
+            for doc_id, parts in zip(batch.column(0).to_pylist(), own.align(batch.column(1).to_pylist())):
                 groups = ";".join([p.groups for p in parts])
                 links = b"".join([p.links for p in parts])
-                numbers = [sum([getattr(p, x) for p in parts]) for x in ("n_a", "n_b", "n_groups")]
+                numbers = [sum([p[i] for p in parts]) for i in range(3)]
                 rows.append((doc_id, *numbers, len(links) // 8, sha256(groups.encode()).hexdigest() if parts else "", links))
             types = [*[pa.int64()] * 5, pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)

@@ -34,6 +34,26 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables staged in the shared folder, and removed as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[DataFrame, str] = {}
+
+    def keep(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = work_dir(self.spark, purpose)
+        df.write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[table] = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(table))
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def map_rows(df: DataFrame, columns_of: Callable[[dict], dict], schema: str) -> DataFrame:
     """One Arrow batch at a time through ``columns_of``, from lists by column name to lists by column name."""
     small_batches(df.sparkSession)

@@ -9,9 +9,15 @@ Jaccard similarity. Only darts up to a rank of about ``ln(coordinates)`` per coo
 thrown, whatever the length of the text; if a coordinate gets none, the bound is doubled.
 
 Signatures are cut into bands; texts that share a band are candidates. Candidates are not
-paired with each other: each bucket's texts are compared with a few pivots of the bucket;
-the rest goes on to the next round with more pivots, until each bucket's rest is one class. Similarity is then computed exactly, and links of ``SIMILARITY`` or more make
-classes (connected components, by alternating large-star and small-star steps).
+paired with each other. First the elements of all texts that share any band are counted: an
+element that only one text has is in no overlap, so a text's other elements bound its
+similarity to any text of a given size, and a text that can't reach ``SIMILARITY`` with the
+smallest of its bucket leaves the bucket. Then each bucket's texts are compared with one pivot,
+the text with the greatest share of elements that others have too: in a group of edited copies
+that is the original, or the copy nearest to it. Texts and pivots of one class, pairs beyond
+the bound and pairs tested before are left out. Pivots leave their buckets; what is left goes on to further
+rounds with more pivots each, until each bucket's rest is one class. Similarity is computed exactly, and links of
+``SIMILARITY`` or more make classes (connected components, by alternating large-star and small-star steps).
 
 Words are the lower-cased text cut at white space. Texts with equal words are one node from
 the start, named by a 64-bit hash of the words. A class is named by its least doc_id.
@@ -34,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from docketry.llm.common import append_column, filled, free_name, small_batches, staged
+from docketry.llm.common import Scratch, append_column, filled, free_name, small_batches, staged
 from docketry.operators.skew import keyed_join
 
 SHINGLE = 5
@@ -44,6 +50,7 @@ COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 4)
 KEPT_WORDS = 500_000
 MOST_PIVOTS = 1024
+ELEMENT_ROWS = 65_536
 
 U = np.uint64
 GOLD, MIX_A, MIX_B, STEP = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0xD6E8FEB86659FD93)
@@ -182,60 +189,103 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per element; elements and node of one text at a time."""
+    for batch in batches:
+        for node, own in zip(*(c.to_pylist() for c in batch.columns)):
+            found = np.frombuffer(own, np.int64)
+            for start in range(0, len(found), ELEMENT_ROWS):
+                part = found[start : start + ELEMENT_ROWS]
+                columns = [pa.array(part, pa.int64()), pa.array(np.full(len(part), node), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["element", "node"])
+
+
 def sets_of(nodes: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
-    """The weighted sets of some nodes, staged; only their texts move."""
+    """The weighted sets of some nodes; only their texts move."""
     wanted = first_ids.join(nodes.select("node").distinct(), "node", "left_semi").select("doc_id").distinct()
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    return staged(weighted_sets(texts).groupBy("node").agg(F.first("own").alias("own")), "weighted-sets")
+    return weighted_sets(texts).groupBy("node").agg(F.first("own").alias("own"))
+
+
+def lone_elements(sets: DataFrame) -> DataFrame:
+    """``node, lone``: how many elements of a text no other text has; texts without any are left out."""
+    rows = sets.select("node", "own").mapInArrow(_elements, "element long, node long")
+    alone = rows.groupBy("element").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    return alone.groupBy("node").agg(F.count("*").alias("lone"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(pivot, node)`` that are similar enough.
+    """The pairs ``(pivot, node)`` that are similar enough; one set moves per pair.
 
-    A pivot may have many pairs: they stay two numbers each until its set joins them, and
-    Spark splits such a partition, as it does for every skewed join.
+    A pivot may have many pairs: they are salted. A node has at most one pivot per bucket and slot.
     """
     of_pivot = sets.select(F.col("node").alias("pivot"), F.col("own").alias("pivot_own"))
-    both = pairs.join(of_pivot, "pivot").join(sets, "node").select("pivot", "node", "pivot_own", "own")
-    return staged(both.mapInArrow(_close_pairs, "pivot long, node long"), "links")
+    both = keyed_join(pairs, of_pivot, ["pivot"], "inner", ["node"]).join(sets, "node").select("pivot", "node", "pivot_own", "own")
+    return both.mapInArrow(_close_pairs, "pivot long, node long")
+
+
+def _reaches(shared: str, size: str, other_size: str) -> str:
+    """SQL: an overlap of at most ``shared`` can make two texts of these sizes similar enough."""
+    return f"{shared} * {1 + SIMILARITY}D >= {SIMILARITY}D * ({size} + {other_size}) - 1e-6"
+
+
+def open_rows(rows: DataFrame) -> DataFrame:
+    """``rows(bucket, node, size, shared, class)`` of a staged table that may still find a link in their bucket."""
+    ends = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("size").alias("least"))
+    kept = keyed_join(rows, ends.filter("low < high").select("bucket", "least"), ["bucket"], "inner", ["node"])
+    return kept.filter(_reaches("shared", "size", "least")).select("bucket", "node", "size", "shared", "class")
 
 
-def shared_buckets(rows: DataFrame) -> DataFrame:
-    """``rows(bucket, node, size, class)`` of a staged table, without the buckets that hold one class alone."""
-    ends = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    kept = keyed_join(rows, ends.select("bucket"), ["bucket"], "left_semi", ["node"])
-    return staged(kept.select("bucket", "node", "size", "class"), "members")
+def candidates(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    """``pivot, node`` of each text and pivot of a bucket that may be similar and are not of one class; each pair once."""
+    of_bucket = pivots.select("bucket", *(F.col(f"top.{x}").alias(f"p_{x}") for x in ("node", "size", "shared", "class")))
+    met = keyed_join(rows, of_bucket, ["bucket"], "inner", ["node"])
+    may = met.filter(F.expr("p_class <> class AND " + _reaches("least(p_shared, shared)", "p_size", "size")))
+    pairs = may.select(F.least("p_node", "node").alias("low"), F.greatest("p_node", "node").alias("high"), "p_node")
+    once = pairs.groupBy("low", "high").agg(F.min("p_node").alias("pivot"))
+    return once.select("low", "high", "pivot", (F.col("low").bitwiseXOR(F.col("high")).bitwiseXOR(F.col("pivot"))).alias("node"))
 
 
-def links(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
-    """Links between different texts, as ``(pivot, node)``; ``sigs`` as staged by ``classes``.
+def linked_classes(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
+    """``(node, root)`` of every text linked to another one, roots included; ``sigs`` as staged by ``classes``.
 
-    In each round up to ``4**turn`` texts of each bucket are its pivots (``MOST_PIVOTS`` at most, then
-    more rounds). They are compared with the texts of the bucket that are not in their class yet,
-    and leave it. A bucket whose rest is one class is done, so each pair of a bucket
-    is compared, or one component anyway.
+    Round ``n`` has up to ``4**(n - 1)`` pivots per bucket (``MOST_PIVOTS`` at most, then more rounds).
+    They are compared with the texts of the bucket that are not in their class yet, and leave it. A bucket
+    whose rest is one class is done, so each pair of a bucket is compared, or beyond the bound, or of one component anyway.
     """
-    rows = sigs.select(F.explode("bands").alias("bucket"), "node", "size", F.col("node").alias("class"))
-    members = shared_buckets(rows)
-    sets = sets_of(members, docs, first_ids)
-    found = sigs.sparkSession.createDataFrame([], "pivot long, node long")
-    for turn in count(1):
+    spark = sigs.sparkSession
+    scratch = Scratch(spark)
+    rows = sigs.select(F.explode("bands").alias("bucket"), "node", "size")
+    ends = rows.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    met = scratch.keep(keyed_join(rows, ends.select("bucket"), ["bucket"], "left_semi", ["node"]).select("bucket", "node", "size"), "met")
+    sets = scratch.keep(sets_of(met, docs, first_ids), "weighted-sets")
+    with_lone = met.join(lone_elements(sets), "node", "left")
+    shared = (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared")
+    rest = scratch.keep(with_lone.select("bucket", "node", "size", shared, F.col("node").alias("class")), "rest")
+    scratch.drop(met)
+    tested = spark.createDataFrame([], "low long, high long")
+    found = spark.createDataFrame([], "pivot long, node long")
+    roots = spark.createDataFrame([], "node long, root long")
+    for turn in count(0):
+        members = scratch.keep(open_rows(rest), "members")
+        scratch.drop(rest)
         if members.isEmpty():
-            return found
+            break
         slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(4**turn, MOST_PIVOTS)))
-        least = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "size", "class")).alias("pivot"))
-        pivots = least.groupBy("bucket").agg(F.collect_list("pivot").alias("pivots"))  # as many as there are slots
-        seen = staged(keyed_join(members, pivots, ["bucket"], "inner", ["node"]), "with-pivots")
-        # Sets whose sizes differ more than SIMILARITY allows can't be linked.
-        possible = f"p -> p.class <> class AND least(p.size, size) >= {SIMILARITY} * greatest(p.size, size)"
-        asked = seen.select("node", F.explode(F.expr(f"filter(pivots, {possible})")).alias("pivot"))
-        pairs = staged(asked.select(F.col("pivot.node").alias("pivot"), "node").distinct(), "pairs")
-        found = staged(found.union(verified(pairs, sets)), "found")
-        own = F.transform("pivots", lambda p: p["node"])
-        rest = seen.filter(~F.array_contains(own, F.col("node"))).select("bucket", "node", "size")
-        roots = components(found)
-        current = rest.join(roots, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("class"))
-        members = shared_buckets(staged(current, "rest"))
+        central = F.struct(F.col("shared") / F.col("size"), "size", "node")
+        top = F.max_by(F.struct("node", "size", "shared", "class"), central)
+        pivots = scratch.keep(members.groupBy("bucket", slot.alias("slot")).agg(top.alias("top")), "pivots")
+        pairs = scratch.keep(candidates(members, pivots).join(tested, ["low", "high"], "left_anti"), "pairs")
+        links = scratch.keep(verified(pairs.select("pivot", "node"), sets), "links")
+        tested, found = tested.union(pairs.select("low", "high")), found.union(links)
+        if not links.isEmpty():
+            roots = components(found)
+        done = pivots.select("bucket", F.col("top.node").alias("node"))
+        left = members.drop("class").join(done, ["bucket", "node"], "left_anti").join(roots, "node", "left")
+        rest = scratch.keep(left.select("bucket", "node", "size", "shared", F.coalesce("root", "node").alias("class")), "rest")
+        scratch.drop(members, pivots)
+    scratch.drop(sets, members)
+    return roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
 
 
 def _least(edges: DataFrame, node: str, other: str) -> DataFrame:
@@ -246,15 +296,18 @@ def _least(edges: DataFrame, node: str, other: str) -> DataFrame:
 
 def components(pairs: DataFrame) -> DataFrame:
     """``(node, root)`` of every node of a link but the roots; the root is the least node of its component."""
-    edges = staged(pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v")), "edges")
+    scratch = Scratch(pairs.sparkSession)
+    edges = scratch.keep(pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v")), "edges")
     last = None
     while True:
-        both = staged(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "both-ways")
+        both = scratch.keep(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "both-ways")
         large = _least(both, "u", "v").filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        down = staged(large.filter("u <> v").distinct(), "large-star")  # u > v
+        down = scratch.keep(large.filter("u <> v").distinct(), "large-star")  # u > v
+        scratch.drop(edges, both)
         small = _least(down, "u", "v")
         kept = small.select(F.col("v").alias("u"), F.col("least").alias("v")).union(small.select("u", F.col("least").alias("v")))
-        edges = staged(kept.filter("u <> v").distinct(), "small-star")
+        edges = scratch.keep(kept.filter("u <> v").distinct(), "small-star")
+        scratch.drop(down)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == last:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -264,9 +317,7 @@ def components(pairs: DataFrame) -> DataFrame:
 def _texts(sigs: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, text_id, root, class_id`` of each different text; the last two are null where no link ends."""
     first_ids = sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    roots = components(links(sigs, docs, first_ids))
-    linked = roots.union(roots.select(F.col("root").alias("node"), "root")).distinct().join(first_ids, "node")
-    linked = staged(linked, "linked")
+    linked = staged(linked_classes(sigs, docs, first_ids).join(first_ids, "node"), "linked")
     names = linked.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     named = keyed_join(linked, names, ["root"], "inner", ["node"]).select("node", "root", "class_id")
     return first_ids.withColumnRenamed("doc_id", "text_id").join(named, "node", "left")

@@ -188,3 +188,23 @@ def test_stages_keep_columns_and_survive_empty_input(spark, small, docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         for df in (frame, frame.limit(0)):
             assert stage(spark, df, small).columns == frame.columns, name
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for place in rng.sample(range(len(out)), edits):
+        out[place] = f"edit{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("edits, original, most", [(3, False, 0), (2, True, 900), (1, False, 900)])
+def test_groups_of_copies_make_no_pairs_of_all_with_all(docs, monkeypatch, edits, original, most):
+    rng = random.Random(edits)
+    base = prose(rng, 120)
+    texts = [edited(rng, base, edits) for _ in range(300)] + [" ".join(base)] * original
+    made = []
+    monkeypatch.setattr(dedup, "verified", lambda pairs, sets, real=dedup.verified: made.append(pairs.count()) or real(pairs, sets))
+    got = dedup.classes(docs(texts)).collect()
+    want = brute_classes(list(enumerate(texts)))
+    assert {r.doc_id: r.class_id for r in got} == want
+    assert sum(made) <= most

@@ -14,9 +14,10 @@ element that only one text has is in no overlap, so a text's other elements boun
 similarity to any text of a given size, and a text that can't reach ``SIMILARITY`` with the
 smallest of its bucket leaves the bucket. Then each bucket's texts are compared with one pivot,
 the text with the greatest share of elements that others have too: in a group of edited copies
-that is the original, or the copy nearest to it. Texts and pivots of one class, pairs beyond
-the bound and pairs tested before are left out. Pivots leave their buckets; what is left goes on to further
-rounds with more pivots each, until each bucket's rest is one class. Similarity is computed exactly, and links of
+that is the original, or the copy nearest to it. Links to pivots make classes. Texts of buckets
+that still hold more than one class are compared by their rarest elements: two texts that are
+similar enough share one among the first few of each, by rising frequency, and only such pairs of
+different classes are made. Pairs beyond the bound are left out throughout. Similarity is computed exactly, and links of
 ``SIMILARITY`` or more make classes (connected components, by alternating large-star and small-star steps).
 
 Words are the lower-cased text cut at white space. Texts with equal words are one node from
@@ -33,15 +34,14 @@ many rows are salted (``operators.skew.keyed_join``), and groups are reduced bef
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from docketry.llm.common import Scratch, append_column, filled, free_name, small_batches, staged
-from docketry.operators.skew import keyed_join
+from docketry.operators.skew import hot_keys, keyed_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -49,7 +49,6 @@ BANDS, ROWS = 28, 6
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 4)
 KEPT_WORDS = 500_000
-MOST_PIVOTS = 1024
 ELEMENT_ROWS = 65_536
 
 U = np.uint64
@@ -229,62 +228,74 @@ def _reaches(shared: str, size: str, other_size: str) -> str:
     return f"{shared} * {1 + SIMILARITY}D >= {SIMILARITY}D * ({size} + {other_size}) - 1e-6"
 
 
-def open_rows(rows: DataFrame) -> DataFrame:
+def open_rows(rows: DataFrame, hot: dict[int, int]) -> DataFrame:
     """``rows(bucket, node, size, shared, class)`` of a staged table that may still find a link in their bucket."""
     ends = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("size").alias("least"))
-    kept = keyed_join(rows, ends.filter("low < high").select("bucket", "least"), ["bucket"], "inner", ["node"])
+    kept = keyed_join(rows, ends.filter("low < high").select("bucket", "least"), ["bucket"], "inner", ["node"], hot)
     return kept.filter(_reaches("shared", "size", "least")).select("bucket", "node", "size", "shared", "class")
 
 
-def candidates(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+def candidates(rows: DataFrame, pivots: DataFrame, hot: dict[int, int]) -> DataFrame:
     """``pivot, node`` of each text and pivot of a bucket that may be similar and are not of one class; each pair once."""
     of_bucket = pivots.select("bucket", *(F.col(f"top.{x}").alias(f"p_{x}") for x in ("node", "size", "shared", "class")))
-    met = keyed_join(rows, of_bucket, ["bucket"], "inner", ["node"])
+    met = keyed_join(rows, of_bucket, ["bucket"], "inner", ["node"], hot)
     may = met.filter(F.expr("p_class <> class AND " + _reaches("least(p_shared, shared)", "p_size", "size")))
-    pairs = may.select(F.least("p_node", "node").alias("low"), F.greatest("p_node", "node").alias("high"), "p_node")
-    once = pairs.groupBy("low", "high").agg(F.min("p_node").alias("pivot"))
-    return once.select("low", "high", "pivot", (F.col("low").bitwiseXOR(F.col("high")).bitwiseXOR(F.col("pivot"))).alias("node"))
+    low, high = F.least("p_node", "node"), F.greatest("p_node", "node")
+    once = may.groupBy(low.alias("low"), high.alias("high")).agg(F.min("p_node").alias("pivot"))
+    return once.select("pivot", F.when(F.col("pivot") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("node"))
 
 
-def linked_classes(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
-    """``(node, root)`` of every text linked to another one, roots included; ``sigs`` as staged by ``classes``.
+def rare_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pivot, node``: the pairs of ``rows(node, size, class)`` of different classes that share a rare element early enough.
 
-    Round ``n`` has up to ``4**(n - 1)`` pivots per bucket (``MOST_PIVOTS`` at most, then more rounds).
-    They are compared with the texts of the bucket that are not in their class yet, and leave it. A bucket
-    whose rest is one class is done, so each pair of a bucket is compared, or beyond the bound, or of one component anyway.
+    Elements stand by rising frequency among these texts. Texts of sizes ``m`` and ``n`` that
+    overlap in ``k`` elements share one among the first ``m - k + 1`` and ``n - k + 1`` of them.
+    Of an element's texts, those of its largest class meet the others alone, not each other.
     """
-    spark = sigs.sparkSession
-    scratch = Scratch(spark)
+    elements = sets.join(rows, "node", "left_semi").select("node", "own").mapInArrow(_elements, "element long, node long")
+    held = staged(elements.join(rows, "node"), "held")
+    of_class = held.groupBy("element", "class").agg(F.count("*").alias("n"))
+    ends = of_class.groupBy("element").agg(F.sum("n").alias("n"), F.count("*").alias("classes"), F.max_by("class", F.struct("n", "class")).alias("major"))
+    in_order = Window.partitionBy("node").orderBy("n", "element")
+    placed = held.join(ends, "element").withColumn("place", F.row_number().over(in_order))
+    most = F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-6) + 1  # with the smallest possible partner
+    early = placed.filter((F.col("place") <= most) & (F.col("classes") > 1)).select("element", "node", "size", "class", "place", "major")
+    early = staged(early, "early")
+    minor = early.filter("class <> major").drop("major")
+    other = early.select("element", "major", *(F.col(x).alias(f"o_{x}") for x in ("node", "size", "class", "place")))
+    overlap = f"({SIMILARITY / (1 + SIMILARITY)!r}D * (size + o_size) - 1e-6)"
+    soon = f"class <> o_class AND place <= size - {overlap} + 1 AND o_place <= o_size - {overlap} + 1"
+    pairs = minor.join(other, "element").filter(soon + " AND (o_class = major OR node < o_node)")
+    return pairs.select(F.least("node", "o_node").alias("pivot"), F.greatest("node", "o_node").alias("node")).distinct()
+
+
+def linked_classes(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
+    """``(node, root)`` of every text linked to another one, roots included; ``sigs`` as staged by ``classes``."""
+    scratch = Scratch(sigs.sparkSession)
     rows = sigs.select(F.explode("bands").alias("bucket"), "node", "size")
     ends = rows.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     met = scratch.keep(keyed_join(rows, ends.select("bucket"), ["bucket"], "left_semi", ["node"]).select("bucket", "node", "size"), "met")
+    hot = hot_keys(met, ["bucket"]).first().hot  # fewer than there are partitions
     sets = scratch.keep(sets_of(met, docs, first_ids), "weighted-sets")
     with_lone = met.join(lone_elements(sets), "node", "left")
     shared = (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared")
-    rest = scratch.keep(with_lone.select("bucket", "node", "size", shared, F.col("node").alias("class")), "rest")
-    scratch.drop(met)
-    tested = spark.createDataFrame([], "low long, high long")
-    found = spark.createDataFrame([], "pivot long, node long")
-    roots = spark.createDataFrame([], "node long, root long")
-    for turn in count(0):
-        members = scratch.keep(open_rows(rest), "members")
-        scratch.drop(rest)
-        if members.isEmpty():
-            break
-        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(4**turn, MOST_PIVOTS)))
-        central = F.struct(F.col("shared") / F.col("size"), "size", "node")
-        top = F.max_by(F.struct("node", "size", "shared", "class"), central)
-        pivots = scratch.keep(members.groupBy("bucket", slot.alias("slot")).agg(top.alias("top")), "pivots")
-        pairs = scratch.keep(candidates(members, pivots).join(tested, ["low", "high"], "left_anti"), "pairs")
-        links = scratch.keep(verified(pairs.select("pivot", "node"), sets), "links")
-        tested, found = tested.union(pairs.select("low", "high")), found.union(links)
-        if not links.isEmpty():
-            roots = components(found)
-        done = pivots.select("bucket", F.col("top.node").alias("node"))
-        left = members.drop("class").join(done, ["bucket", "node"], "left_anti").join(roots, "node", "left")
-        rest = scratch.keep(left.select("bucket", "node", "size", "shared", F.coalesce("root", "node").alias("class")), "rest")
-        scratch.drop(members, pivots)
-    scratch.drop(sets, members)
+    bounded = scratch.keep(with_lone.select("bucket", "node", "size", shared, F.col("node").alias("class")), "bounded")
+    members = scratch.keep(open_rows(bounded, hot), "members")
+    scratch.drop(met, bounded)
+    central = F.struct(F.col("shared") / F.col("size"), "size", "node")
+    pivots = members.groupBy("bucket").agg(F.max_by(F.struct("node", "size", "shared", "class"), central).alias("top"))
+    tested = scratch.keep(candidates(members, pivots, hot), "tested")
+    links = scratch.keep(verified(tested, sets), "links")
+    roots = components(links)
+    current = members.drop("class").join(roots, "node", "left")
+    parted = scratch.keep(current.select("bucket", "node", "size", "shared", F.coalesce("root", "node").alias("class")), "parted")
+    still_open = scratch.keep(open_rows(parted, hot).select("node", "size", "class").distinct(), "open")
+    known = tested.select(F.least("pivot", "node").alias("pivot"), F.greatest("pivot", "node").alias("node"))
+    pairs = scratch.keep(rare_pairs(still_open, sets).join(known, ["pivot", "node"], "left_anti"), "pairs")
+    more = scratch.keep(verified(pairs, sets), "more-links")
+    if not more.isEmpty():
+        roots = components(links.union(more))
+    scratch.drop(members, tested, parted, still_open, pairs, sets)
     return roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
 
 

@@ -197,14 +197,15 @@ def edited(rng, words, edits):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("edits, original, most", [(3, False, 0), (2, True, 900), (1, False, 900)])
-def test_groups_of_copies_make_no_pairs_of_all_with_all(docs, monkeypatch, edits, original, most):
-    rng = random.Random(edits)
-    base = prose(rng, 120)
-    texts = [edited(rng, base, edits) for _ in range(300)] + [" ".join(base)] * original
+def test_groups_of_copies_make_no_pairs_of_all_with_all(docs, monkeypatch):
+    """Copies below 0.8 of each other, copies of one original, and copies that are alike without one."""
+    rng = random.Random(6)
+    texts = []
+    for edits, original in ((3, False), (2, True), (1, False)):
+        base = prose(rng, 120)
+        texts += [edited(rng, base, edits) for _ in range(200)] + [" ".join(base)] * original
     made = []
     monkeypatch.setattr(dedup, "verified", lambda pairs, sets, real=dedup.verified: made.append(pairs.count()) or real(pairs, sets))
     got = dedup.classes(docs(texts)).collect()
-    want = brute_classes(list(enumerate(texts)))
-    assert {r.doc_id: r.class_id for r in got} == want
-    assert sum(made) <= most
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(list(enumerate(texts)))
+    assert sum(made) <= 0.06 * 3 * 200 * 199 / 2

@@ -22,8 +22,9 @@ doc_id is like any other. Empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from hashlib import sha256
 from itertools import chain
@@ -116,14 +117,15 @@ class Aligner:
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.parts: dict[str, Part] = {}
+        self.unsound: set[str] = set()
 
     def _parts(self, text: str) -> list[str]:
-        """A space and the text, cut before spaces; every part starts with a space and none ends in a run of spaces alone."""
+        """A space and the text, cut before spaces, each part without the space that it starts with."""
         if not self.cuts:
-            return [" " + text]
+            return [text]
         if "  " not in text and text[0] != " " and text[-1] != " ":
-            return [" " + w for w in text.split(" ")]
-        return AFTER_WORD.split(" " + text)
+            return text.split(" ")
+        return [p[1:] for p in AFTER_WORD.split(" " + text)]
 
     def _spans(self, text: str, content: bytes) -> tuple[np.ndarray, ...]:
         """Ids and byte ends of both tokenizers' tokens."""
@@ -143,7 +145,7 @@ class Aligner:
 
     def _aligned(self, parts: list[str]) -> list[Part]:
         """Parts that may stand one after the other, read as one text; their ends are ends of tokens."""
-        text = "".join(parts)
+        text = " " + " ".join(parts)
         content = text.encode("utf-8")
         a, a_ends, b, b_ends = self._spans(text, content)
         sound = b"".join([self.a_bytes[i] for i in a.tolist()]) == content == b"".join([self.b_bytes[i] for i in b.tolist()])
@@ -151,11 +153,13 @@ class Aligner:
         links = (a[at_a] << 32 | b[at_b]).tobytes()
         groups, low_a, low_b, left, right = [], 0, 0, [*map(str, a.tolist())], [*map(str, b.tolist())]
         for high_a, high_b in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            groups.append(",".join(left[low_a:high_a]) + "|" + ",".join(right[low_b:high_b]))
+            ours = left[low_a] if high_a == low_a + 1 else ",".join(left[low_a:high_a])
+            theirs = right[low_b] if high_b == low_b + 1 else ",".join(right[low_b:high_b])
+            groups.append(f"{ours}|{theirs}")
             low_a, low_b = high_a, high_b
         if len(parts) == 1:
             return [Part(len(a), len(b), len(groups), ";".join(groups), links, sound)]
-        part_ends = np.cumsum([len(p) if p.isascii() else len(p.encode("utf-8")) for p in parts])
+        part_ends = np.cumsum([1 + (len(p) if p.isascii() else len(p.encode("utf-8"))) for p in parts])
         if not (sound and np.isin(part_ends, common).all()):
             return [self._aligned([p])[0] for p in parts]
         cuts = [np.diff(np.searchsorted(ends, part_ends, "right"), prepend=0).tolist() for ends in (a_ends, b_ends)]
@@ -165,19 +169,21 @@ class Aligner:
             for n_a, n_b, low, high in zip(*cuts, [0, *last], last)
         ]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: Iterable[str]) -> None:
         """Align new parts; those that start with one space and end with none are read together."""
         together: list[str] = []
         size = 0
         for part in new:
-            if len(part) > 1 and not part[1].isspace() and not part[-1].isspace() and "▁" not in part:
+            if part and not part[0].isspace() and not part[-1].isspace() and "▁" not in part:
                 together.append(part)
                 size += len(part)
                 if size > TOGETHER:
                     self.parts.update(zip(together, self._aligned(together)))
                     together, size = [], 0
             else:
-                self.parts[part] = self._aligned([part])[0]
+                self.parts[part] = own = self._aligned([part])[0]
+                if not own.sound:
+                    self.unsound.add(part)
         if together:
             self.parts.update(zip(together, self._aligned(together)))
 
@@ -187,16 +193,20 @@ class Aligner:
         wanted = set().union(*cut)
         if len(self.parts) > KEPT_PARTS:
             self.parts = {p: self.parts[p] for p in wanted if p in self.parts}
-        self._learn([p for p in wanted if p not in self.parts])
+            self.unsound &= self.parts.keys()
+        new = wanted.difference(self.parts)
+        self._learn(new)
         out = []
         for text, names in zip(texts, cut):
-            parts = [*map(self.parts.__getitem__, names)]
-            if not all([p.sound for p in parts]):
-                parts = self._aligned([" " + text])
-            out.append(parts if all([p.sound for p in parts]) else [])
-        for part in wanted:
+            if self.unsound and not self.unsound.isdisjoint(names):
+                parts = self._aligned([text])
+                out.append(parts if parts[0].sound else [])
+            else:
+                out.append([*map(self.parts.__getitem__, names)])
+        for part in new:
             if len(part) > KEPT_CHARS:
                 del self.parts[part]
+                self.unsound.discard(part)
         return out
 
 
@@ -211,13 +221,17 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(a_path, b_path)
+        gc.disable()  # many small objects, none of them in a cycle
         for batch in batches:
             rows = []
             for doc_id, parts in zip(batch.column(0).to_pylist(), own.align(batch.column(1).to_pylist())):
-                groups = ";".join([p.groups for p in parts])
-                links = b"".join([p.links for p in parts])
-                numbers = [sum([p[i] for p in parts]) for i in range(3)]
-                rows.append((doc_id, *numbers, len(links) // 8, sha256(groups.encode()).hexdigest() if parts else "", links))
+                if not parts:
+                    rows.append((doc_id, 0, 0, 0, 0, "", b""))
+                    continue
+                n_a, n_b, n_groups, groups, links, _ = zip(*parts)
+                packed = b"".join(links)
+                digest = sha256(";".join(groups).encode()).hexdigest()
+                rows.append((doc_id, sum(n_a), sum(n_b), sum(n_groups), len(packed) // 8, digest, packed))
             types = [*[pa.int64()] * 5, pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -248,8 +262,8 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merged(pairs: np.ndarray, times: np.ndarray, waiting: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    new = np.frombuffer(b"".join(waiting), np.int64)
-    return _summed(np.concatenate([pairs, new]), np.concatenate([times, np.ones(len(new), np.int64)]))
+    new, found = np.unique(np.frombuffer(b"".join(waiting), np.int64), return_counts=True)
+    return _summed(np.concatenate([pairs, new]), np.concatenate([times, found]))
 
 
 def _pair_rows(pairs: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
@@ -281,7 +295,7 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, frequent: int = FREQUEN
                 hit = known[at] == pairs
                 n_best.append(int(good[at[hit]].sum()))
                 sums.append(int(worth[at[hit]].sum()))
-                rest = _summed(pairs[~hit], np.ones(int((~hit).sum())))
+                rest = np.unique(pairs[~hit], return_counts=True) if not hit.all() else ()
                 rests.append([{"pair": p, "n": n} for p, n in zip(*(x.tolist() for x in rest))])
             new = [pa.array(n_best, pa.int64()), pa.array(sums, pa.int64())]
             rest = pa.array(rests, pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())])))

@@ -41,7 +41,7 @@ def segments_of(path: Column) -> Column:
 
 def clean_pattern(pattern: Column) -> Column:
     parts = segments_of(pattern)
-    return F.concat_ws("/", F.lower(F.get(parts, F.lit(0))), F.slice(parts, 2, 1_000_000))
+    return F.concat_ws("/", F.lower(F.get(parts, F.lit(0))), F.slice(parts, F.lit(2), F.size(parts)))
 
 
 def timelines(entries: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from docketry.functions.structure import inside, last_block, plain_tags
+from docketry.functions.structure import closed_rows, inside, last_block, plain_tags
 from docketry.functions.text import SPACE, SPACE_RUN, bound, decode_entities, first_filled, strip_space
 
 # Stand-in for comments, scripts and styles: an empty tag, so that text on both sides stays apart.
@@ -152,7 +152,13 @@ def link_text_by_title(block: Column, title: str) -> Column:
 
 def last_block_text(block: Column, row_tag: str, block_tag: str) -> Column:
     """Normalised text of the last outermost ``block_tag`` in the last ``row_tag``."""
-    row = F.substring_index(block, f"<{row_tag}", -1)
+    last = F.substring_index(block, f"<{row_tag}", -1)
+    # What the end of a table follows is a row of a table inside the block's own last row.
+    row = F.when(F.contains(last, F.lit("</table")), last_block(closed_rows(block), row_tag)).otherwise(last)
+    return bound(row, lambda own: _last_text(own, block_tag))
+
+
+def _last_text(row: Column, block_tag: str) -> Column:
     if block_tag == "div":
         found = last_block(row, block_tag)
     else:  # elements that end where the next one starts

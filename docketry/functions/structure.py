@@ -14,6 +14,9 @@ from docketry.functions.text import bound
 PLAIN_TAG = r'/?[a-z][a-z0-9]*+(?:\s++[a-z][a-z0-9_:-]*+(?:="[^"]*+")?+)*+\s*+/?>'
 ODD_TAG = rf"<(?=/?[a-zA-Z])(?!{PLAIN_TAG})"
 ATTRIBUTE = r"""([a-zA-Z_:][a-zA-Z0-9_:.-]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
+START_OF_ROW = r"(?=<tr[\s/>])"
+# Elements without content.
+VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 TAG_HEAD = r"""^/?[a-zA-Z][a-zA-Z0-9]*+((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 
 
@@ -47,7 +50,8 @@ def _respelt_tag(piece: Column, inside: Column) -> Column:
 
 
 def _cut(markup: Column, tag: Column) -> Column:
-    return F.split(markup, F.concat(F.lit("(?=</?"), tag, F.lit(r"\b)")))
+    """Pieces that each start with a tag of the name; the first one holds a space and what stands before them."""
+    return F.split(F.concat(F.lit(" "), markup), F.concat(F.lit("(?=</?"), tag, F.lit(r"[\s/>])")))
 
 
 def _step(piece: Column, tag: Column) -> Column:
@@ -70,18 +74,41 @@ def inside(rest: Column, tag: Column | str) -> Column:
 
         start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
         kept = F.aggregate(pieces, start, add, lambda state: state["n"])
-        return F.array_join(F.slice(pieces, F.lit(1), kept), "")
+        return F.substr(F.array_join(F.slice(pieces, F.lit(1), kept), ""), F.lit(2))
 
     return bound(_cut(rest, name), up_to_end)
 
 
 def element(body: Column, element_id: str) -> Column:
-    """Markup inside the element with an id, whatever its tag; blank if absent."""
+    """Markup inside the element with an id, whatever its tag; blank if absent or of a kind that holds nothing."""
     marker = rf'\sid="{_quoted(element_id)}"'
     tag = F.regexp_extract(body, rf"<([a-z][a-z0-9]*+)\b[^<>]*{marker}", 1)
     rest = F.regexp_extract(body, rf"(?s){marker}[^>]*+>(.*)", 1)
+
+    def found(own: Column) -> Column:
+        return F.when(own["tag"].isin(*VOID_TAGS), F.lit("")).otherwise(inside(own["rest"], own["tag"]))
+
     # Most pages lack most ids, and the plain search is far cheaper than the patterns.
-    return F.when(F.contains(body, F.lit(f'id="{element_id}"')), inside(rest, tag)).otherwise(F.lit(""))
+    present = F.contains(body, F.lit(f'id="{element_id}"'))
+    return F.when(present, bound(F.struct(tag.alias("tag"), rest.alias("rest")), found)).otherwise(F.lit(""))
+
+
+def closed_rows(markup: Column) -> Column:
+    """Table rows with the end tags that a page may leave out: a row ends where the next one of its table starts, or its table ends."""
+
+    def closed(piece: Column, place: Column) -> Column:
+        return bound(F.substring_index(piece, "</table", 1), lambda own: with_end(piece, own, place))
+
+    def with_end(piece: Column, own: Column, place: Column) -> Column:
+        is_open = (place > 0) & ~F.contains(own, F.lit("</tr")) & ~F.contains(own, F.lit("<table"))
+        return F.when(is_open, F.concat(own, F.lit("</tr>"), F.substr(piece, F.length(own) + 1))).otherwise(piece)
+
+    def rows(body: Column) -> Column:
+        pieces = F.split(F.concat(F.lit(" "), body), START_OF_ROW)
+        repaired = F.substr(F.array_join(F.transform(pieces, closed), ""), F.lit(2))
+        return F.when(F.size(pieces) > F.size(F.split(body, "</tr")), repaired).otherwise(body)
+
+    return bound(markup, rows)
 
 
 def _quoted(text: str) -> str:

@@ -111,8 +111,12 @@ def bound(x: Column, use) -> Column:
 
 def decode_entities(x: Column) -> Column:
     """Named and numeric character references to characters, in one pass over the text."""
-    decoded = F.array_join(F.call_function("transform", F.split(x, "&"), F.expr(DECODE_PIECE)), "")
-    return F.when(F.contains(x, F.lit("&")), decoded).otherwise(x)
+
+    def decoded(text: Column) -> Column:
+        pieces = F.call_function("transform", F.split(text, "&"), F.expr(DECODE_PIECE))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+    return bound(x, decoded)
 
 
 def _sql_text(x: str) -> str:

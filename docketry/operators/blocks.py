@@ -20,7 +20,7 @@ from docketry.functions.markup import (
     own_text,
     table_after_label,
 )
-from docketry.functions.structure import deep_elements, element, inside
+from docketry.functions.structure import closed_rows, deep_elements, element, inside
 from docketry.functions.text import (
     before_paren,
     decode_entities,
@@ -63,9 +63,14 @@ def result_blocks(captures: DataFrame, results_id: str) -> DataFrame:
     )
 
 
+def is_decision(block: Column, title: str) -> Column:
+    """Whether a block has the link of a decision or a summary's own element; a small table inside one has neither."""
+    return F.contains(block, F.lit(f'title="{title}"')) | F.contains(block, F.lit("<div"))
+
+
 def table_rows(body: Column, table_id: str) -> Column:
     """Rows of a table, those of tables inside its cells among them."""
-    return deep_elements(element(body, table_id), "tr", 1)
+    return deep_elements(closed_rows(element(body, table_id)), "tr", 1)
 
 
 def cell_of_class(row: Column, name: str) -> Column:
@@ -130,8 +135,10 @@ def party_at(party_array: Column, place: int, field: str) -> Column:
 def document_links(captures: DataFrame, case: Column, layout: dict) -> DataFrame:
     """One row per document link of a second-degree page, with its case code."""
     code_tag = F.regexp_extract(F.col("body"), rf'<input\b[^>]*?\sname="{layout["code_input"]}"[^>]*+>', 0)
-    cell_list = F.regexp_extract_all(
-        F.col("body"), F.lit(rf'(?s){class_pattern(layout["cell_class"])}[^>]*+>(.*?)</td>'), F.lit(1)
+    at_cell = rf'(?=<[a-z][a-z0-9]*+\b[^>]*?\s{class_pattern(layout["cell_class"])})'
+    cell_list = F.transform(
+        F.slice(F.split(F.concat(F.lit(" "), F.col("body")), at_cell), 2, 2**30),
+        lambda c: inside(F.regexp_replace(c, "^<[^>]*+>", ""), "td"),
     )
     link = rf'(?s)<a\b[^>]*?\s{class_pattern(layout["link_class"])}[^>]*+>.*?</a>'
 

@@ -59,8 +59,7 @@ def _anchored_fields(anchors: dict[str, str]) -> dict[str, Column]:
 
 def _decision_blocks(captures: DataFrame, kind: str) -> DataFrame:
     pages = of_kind(captures, kind).select("seq", prepare(F.col("body")).alias("body"))
-    # A table without a summary's div is no decision, but a small table inside one.
-    found = blocks.result_blocks(pages, at.RESULTS_ID).filter(F.contains("block", F.lit("<div")))
+    found = blocks.result_blocks(pages, at.RESULTS_ID).filter(blocks.is_decision(F.col("block"), at.FULL_TEXT_TITLE))
     return found.withColumn("cells", labelled_cells(F.col("block")))
 
 

@@ -172,8 +172,10 @@ def fallback_text(spark, sf):
 def result_blocks(spark, sf):
     body = render.result_page(render.first_decision_blocks(), anchored=True)
     captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, markup.prepare(body), "o_orderkey")
-    # Every nested table has a place, the small one inside a decision too; it holds no div.
-    found = blocks.result_blocks(captures.select("seq", "body"), at.RESULTS_ID).filter(F.contains("block", F.lit("<div")))
+    # Every nested table has a place, the small one inside a decision too.
+    found = blocks.result_blocks(captures.select("seq", "body"), at.RESULTS_ID).filter(
+        blocks.is_decision(F.col("block"), at.FULL_TEXT_TITLE)
+    )
     return found.select("seq", markup.link_text_by_title(F.col("block"), at.FULL_TEXT_TITLE).alias("numero_processo"))
 
 
@@ -181,7 +183,7 @@ def movements_explode(spark, sf):
     rows = render.movement_table(
         "<tr><th>Data</th></tr>",
         render.movement_row(F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"), linked=True),
-        render.movement_row(F.col("l_suppkey"), F.col("l_partkey"), "&eacute; " , linked=False),
+        F.replace(render.movement_row(F.col("l_suppkey"), F.col("l_partkey"), "&eacute; " , linked=False), F.lit("</tr>"), F.lit("")),
     )
     captures = pages_from(table(spark, sf, "lineitem"), at.FIRST_CASE, rows, "l_orderkey", F.col("l_orderkey"))
     found = blocks.movements(captures, F.try_element_at("meta", F.lit("numero_processo")), at.MOVEMENTS)

@@ -127,7 +127,7 @@ def document_link(document: Column | str, origin: Column | str, title: Column |
     at_link = at.DOCUMENT_LINKS
     return text_of(
         f'<tr><td class="{at_link["cell_class"]}"><a class="{at_link["link_class"]}" href="#" {at_link["document_attr"]}="', document,
-        f'" {at_link["origin_attr"]}="', origin, '">\n', title, "</a><br/>\n<span>", description, "</span></td></tr>",
+        f'" {at_link["origin_attr"]}="', origin, '">\n', title, "</a><br/>\n<table><tr><td> </td></tr></table><span>", description, "</span></td></tr>",
     )
 
 

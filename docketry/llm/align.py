@@ -222,18 +222,25 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(a_path, b_path)
         gc.disable()  # many small objects, none of them in a cycle
-        for batch in batches:
-            rows = []
-            for doc_id, parts in zip(batch.column(0).to_pylist(), own.align(batch.column(1).to_pylist())):
-                if not parts:
-                    rows.append((doc_id, 0, 0, 0, 0, "", b""))
-                    continue
-                n_a, n_b, n_groups, groups, links, _ = zip(*parts)
-                packed = b"".join(links)
-                digest = sha256(";".join(groups).encode()).hexdigest()
-                rows.append((doc_id, sum(n_a), sum(n_b), sum(n_groups), len(packed) // 8, digest, packed))
-            types = [*[pa.int64()] * 5, pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        try:
+            for batch in batches:
+                yield aligned_batch(own, batch)
+        finally:
+            gc.enable()
+
+    def aligned_batch(own: Aligner, batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for doc_id, parts in zip(batch.column(0).to_pylist(), own.align(batch.column(1).to_pylist())):
+            if not parts:
+                rows.append((doc_id, 0, 0, 0, 0, "", b""))
+                continue
+            n_a, n_b, n_groups, groups, links, _ = zip(*parts)
+            packed = b"".join(links)
+            digest = sha256(";".join(groups).encode()).hexdigest()
+            rows.append((doc_id, sum(n_a), sum(n_b), sum(n_groups), len(packed) // 8, digest, packed))
+        types = [*[pa.int64()] * 5, pa.string(), pa.binary()]
+        columns = zip(*rows) if rows else [()] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     names = [x.split()[0] for x in ALIGNED.split(", ")]
     return docs.select(F.col("doc_id").cast("long"), filled().alias("text")).mapInArrow(run, ALIGNED)

@@ -7,7 +7,7 @@ Places where tokens of both end cut them into groups and link those two tokens.
 
 Texts are cut before spaces, where both tokenizers always cut: A's pattern starts a piece there,
 and no piece of B goes on over a space (tried when the model is read; else a text is one
-part). Each distinct part is aligned once and kept for the life of a worker; new parts are read
+part). Each distinct part is aligned once and kept while a worker goes on meeting it; new parts are read
 together, as one text, where they may follow each other.
 
 An id pair's count is the number of its links in the whole table. The most frequent pairs,
@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from docketry.llm.common import filled, small_batches, staged
 from docketry.operators.skew import keyed_join
 
+#: Parts that a worker keeps in each of two generations: when the younger is full it becomes the elder,
+#: and parts of the elder that are met again move to the younger, so that frequent words stay.
 KEPT_PARTS = 200_000
 KEPT_CHARS = 100
 #: Characters of new parts that are read at once.
@@ -117,6 +119,7 @@ class Aligner:
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.parts: dict[str, Part] = {}
+        self.elder: dict[str, Part] = {}
         self.unsound: set[str] = set()
 
     def _parts(self, text: str) -> list[str]:
@@ -192,9 +195,12 @@ class Aligner:
         cut = [self._parts(t) if t else [] for t in texts]
         wanted = set().union(*cut)
         if len(self.parts) > KEPT_PARTS:
-            self.parts = {p: self.parts[p] for p in wanted if p in self.parts}
-            self.unsound &= self.parts.keys()
+            self.elder, self.parts = self.parts, {}
+            self.unsound &= self.elder.keys()
         new = wanted.difference(self.parts)
+        again = [p for p in new if p in self.elder]
+        self.parts.update((p, self.elder[p]) for p in again)
+        new.difference_update(again)
         self._learn(new)
         out = []
         for text, names in zip(texts, cut):

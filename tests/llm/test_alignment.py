@@ -126,3 +126,16 @@ def test_tally_gives_out_what_it_cannot_hold(monkeypatch):
         for row in out.to_pylist():
             total[row["pair"]] += row["n"]
     assert total == Counter(x for k in range(9) for x in range(k, k + 4))
+
+
+def test_parts_are_forgotten_by_generations(monkeypatch):
+    monkeypatch.setattr(align, "KEPT_PARTS", 5)
+    texts = odd_texts(60, seed=8)
+    paths = queries.public_tokenizer(A_PATH), queries.public_tokenizer(B_PATH)
+    few, fresh = align.Aligner(*paths), align.Aligner(*paths)
+    for i in range(0, len(texts), 4):
+        some = [t for t in texts[i : i + 4] if t]
+        fresh.parts.clear()
+        fresh.unsound.clear()
+        assert few.align(some) == fresh.align(some)
+        assert few.unsound <= {*few.parts, *few.elder}

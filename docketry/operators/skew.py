@@ -23,11 +23,14 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: the hashes of the hot keys of ``df``, fewer than there are partitions, with their number of salts."""
+def hot_keys(df: DataFrame, keys: list[str], name: Column | None = None) -> DataFrame:
+    """One row: the hot keys of ``df``, fewer than there are partitions, with their number of salts.
+
+    They are known by their hash, or by ``name``: every name that is given out is that of a row of ``df``.
+    """
     parts = partitions_of(df)
     tracked = min(MOST_TRACKED, max(LEAST_TRACKED, SPARE * parts))
-    tally = df.select(F.xxhash64(*keys).alias("h")).agg(
+    tally = df.select((F.xxhash64(*keys) if name is None else name).alias("h")).agg(
         F.expr(f"approx_top_k(h, {min(parts, tracked // 2)}, {tracked})").alias("top"), F.count("*").alias("n")
     )
     salts = f"cast(ceil(t.count * {SPREAD * parts}D / n) AS int)"

@@ -8,12 +8,10 @@ page extraction.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docketry.operators.aggregates import filled_key, first_per_key
-from docketry.operators.skew import keyed_join
+from docketry.operators.skew import SALT, hot_keys
 
 CASE_KEY = ["numero_processo"]
 DOCUMENT_KEY = ["numero_processo", "documento"]
@@ -44,22 +42,27 @@ def upsert(
 
     A blank overwrites, columns the new rows lack stay as they are, and columns only
     they have widen the table. Unknown keys are added once, at their first position.
-    ``order`` names the columns of ``new`` that say which row is later.
+    ``order`` names the columns of ``new`` that say which row is later. The target is moved once, and its
+    key columns are read once more, for the hot ones.
     """
     usable = filled_key(keys)
     values = [c for c in new.columns if c not in (*keys, *order, "seq")]
-    columns_of_new = [c for c in new.columns if c in (*keys, *values, "seq")]
     latest = _latest_at_first_place(new.filter(usable), keys, values, F.struct(*order) if len(order) > 1 else F.col(order[0]))
 
-    known_keys = target.filter(usable).select(*keys).distinct()
-    added = latest.join(known_keys, keys, "left_anti")
-
-    # Carrying seq along keeps both uses of ``latest`` the same plan, which Spark then runs once.
-    fresh = latest.select(*keys, F.struct("seq", *values).alias("_new"))
-    joined = keyed_join(target, fresh, keys, "left", ["seq"])
+    # One join: target rows meet the new row of their key, or one of its copies if many rows hold the key. Only keys
+    # of the target have copies, so those that meet no row there are dropped; a new row without copies is added.
+    name = F.to_json(F.struct(*keys))
+    salts = F.coalesce(F.try_element_at(hot_keys(target, keys, name).scalar(), name), F.lit(1))
+    held = target.withColumn(SALT, F.pmod(F.xxhash64("seq"), salts).cast("int")).withColumn("_held", F.lit(True))
+    fresh = latest.select(*keys, F.struct("seq", *values).alias("_new"), salts.alias("_copies"))
+    fresh = fresh.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    joined = held.join(fresh, [*keys, SALT], "full").filter(F.col("_held") | (F.col("_copies") == 1))
     columns = [*target.columns, *[c for c in values if c not in target.columns]]
-    updated = joined.select(*[_overwritten(c, c in target.columns) if c in values else F.col(c) for c in columns])
-    return reduce(append, [updated, added.select(*columns_of_new), new.filter(~usable).select(*columns_of_new)])
+    place = F.when(F.col("_held"), F.col("seq")).otherwise(F.col("_new.seq")).alias("seq")
+    merged = joined.select(
+        *[place if c == "seq" else _overwritten(c, c in target.columns) if c in values else F.col(c) for c in columns]
+    )
+    return append(merged, new.filter(~usable).select(*[c for c in new.columns if c in (*keys, *values, "seq")]))
 
 
 def _overwritten(name: str, had: bool) -> Column:

@@ -1,16 +1,21 @@
-"""Table updates: captures and the stored table in, the next version of the table out."""
+"""Table updates: captures and the stored table in, the next version of the table out.
+
+A version is a list of folders (``sources.tables``), so an update writes its new rows alone. Of a
+table with upserts the first folder is the base and the others are changes, which readers apply;
+``compact`` makes one base of them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from docketry.operators import joins, writes
 from docketry.plans import layouts as at
 from docketry.plans import records, requests
-from docketry.sources.tables import read_table, stage, string_schema, work_list, write_version
+from docketry.sources.tables import publish, read_folders, stage, string_schema, table_folders, work_list, write_folder
 
 Mode = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -20,8 +25,9 @@ class RecordTable:
     """A published table: its columns, how captures become rows, and how rows enter it."""
 
     columns: list[str]
-    extract: Callable[[DataFrame, str], DataFrame]
+    extract: Callable[[DataFrame, str], DataFrame] | None
     mode: Mode
+    keys: tuple[str, ...] = tuple(writes.CASE_KEY)
 
 
 TABLES = {
@@ -41,26 +47,57 @@ TABLES = {
     "first_instance_links": RecordTable(
         at.FIRST_INSTANCE_COLUMNS, lambda captures, _: records.first_instance_links(captures), writes.upsert
     ),
+    "case_documents": RecordTable(at.DOCUMENT_COLUMNS, None, writes.upsert, tuple(writes.DOCUMENT_KEY)),
 }
 
 
+def schema_of(name: str) -> T.StructType:
+    return string_schema(TABLES[name].columns)
+
+
 def stored(spark: SparkSession, name: str, path: str) -> DataFrame:
     """The stored table, empty when nothing is stored yet."""
-    return read_table(spark, path, string_schema(TABLES[name].columns))
+    table, folders = TABLES[name], table_folders(spark, path)
+    if table.mode is not writes.upsert:
+        return read_folders(spark, folders, schema_of(name)).drop("batch_id")
+    base = read_folders(spark, {p: f for p, f in folders.items() if p == 0}, schema_of(name)).drop("batch_id")
+    changes = {p: f for p, f in folders.items() if p > 0}
+    if not changes:
+        return base
+    return writes.upsert(base, read_folders(spark, changes, schema_of(name)), [*table.keys], ("batch_id", "seq"))
 
 
 def update(captures: DataFrame, name: str, stored_path: str, next_path: str, base_url: str = "") -> DataFrame:
     """Write the table's next version and give it back. The stored version is left alone."""
-    table = TABLES[name]
-    new = stage(table.extract(captures, base_url))
-    return write_version(table.mode(stored(captures.sparkSession, name, stored_path), new), next_path)
+    extract = TABLES[name].extract
+    if extract is None:
+        raise ValueError(f"{name} has no extraction from captures: use update_documents")
+    return _add(extract(captures, base_url), name, stored_path, next_path)
 
 
 def update_documents(documents: DataFrame, stored_path: str, next_path: str) -> DataFrame:
     """The same for document records, which are kept apart by case and document."""
-    schema = string_schema(at.DOCUMENT_COLUMNS)
-    current = read_table(documents.sparkSession, stored_path, schema)
-    return write_version(writes.upsert(current, stage(documents), writes.DOCUMENT_KEY), next_path)
+    return _add(documents, "case_documents", stored_path, next_path)
+
+
+def _add(new: DataFrame, name: str, stored_path: str, next_path: str) -> DataFrame:
+    spark, table = new.sparkSession, TABLES[name]
+    folders = table_folders(spark, stored_path)
+    if table.mode is writes.insert_if_absent:
+        known = read_folders(spark, folders, schema_of(name))
+        new = writes.fresh_rows(known, stage(new), [*table.keys])
+    place = max(folders, default=0) + 1
+    publish(spark, folders | write_folder(new.select("seq", *table.columns), place, next_path), next_path)
+    return stored(spark, name, next_path)
+
+
+def compact(spark: SparkSession, name: str, stored_path: str, next_path: str) -> DataFrame:
+    """The same table as one folder: for tables whose changes have come to cost more to apply than to write.
+
+    The folders of earlier versions are left alone, for those who still read them.
+    """
+    publish(spark, write_folder(stored(spark, name, stored_path), 0, next_path), next_path)
+    return stored(spark, name, next_path)
 
 
 def next_case_requests(decisions: DataFrame, cases: DataFrame, base_url: str) -> DataFrame:

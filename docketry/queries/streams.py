@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docketry.operators import writes
 from docketry.queries.common import table
 from docketry.session import work_dir
-from docketry.sources.tables import read_table, string_schema
+from docketry.sources.tables import string_schema
 from docketry.streaming import ingest
 
 RECORD = ["numero_processo", "situacao", "classe"]
@@ -23,14 +22,15 @@ def records_of(events):
     )
 
 
-def _deliver(spark, sf, each):
-    """Write each delivery to the landing folder and run the stream over what is new."""
+def _deliver(spark, sf, each, between=lambda n: None):
+    """Write each delivery to the landing folder, run the stream over what is new, and then ``between``."""
     events = table(spark, sf, "events")
     landing, checkpoint = work_dir(spark, "landing"), work_dir(spark, "progress")
     named = F.col("event_type").isin(DELIVERIES)
-    for part in [*[F.col("event_type") == d for d in DELIVERIES], ~named]:
+    for n, part in enumerate([*[F.col("event_type") == d for d in DELIVERIES], ~named], 1):
         events.filter(part).write.mode("append").parquet(landing)
         ingest.run_available(ingest.new_captures(spark, landing, events.schema), each, checkpoint)
+        between(n)
 
 
 def stream_ingest(spark, sf):
@@ -46,11 +46,14 @@ def stream_insert_if_absent(spark, sf):
 
 
 def stream_upsert(spark, sf):
-    changes = work_dir(spark, "changes")
-    _deliver(spark, sf, ingest.append_batch(records_of, changes))
-    empty = read_table(spark, work_dir(spark, "base"), SCHEMA)
-    stored = ingest.stored_batches(spark, changes, SCHEMA)
-    return ingest.upserted_view(empty, stored, writes.CASE_KEY).drop("seq")
+    changes, none, base = (work_dir(spark, name) for name in ("changes", "none", "base"))
+
+    def halfway(n):
+        if n == len(DELIVERIES):
+            ingest.compact(spark, none, changes, base, SCHEMA)
+
+    _deliver(spark, sf, ingest.append_batch(records_of, changes), halfway)
+    return ingest.current(spark, base, changes, SCHEMA).drop("seq")
 
 
 BATCHES_SQL = """batches AS (SELECT event_id AS seq, CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS numero_processo,

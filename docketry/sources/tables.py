@@ -1,7 +1,15 @@
-"""Record tables: Parquet at rest, CSV for import and export."""
+"""Record tables: Parquet at rest, CSV for import and export.
+
+A table that is kept over many updates is a list of folders, itself a small Parquet table of
+``place, folder`` in one file. An update writes its own rows to a folder of its own and then the
+list of the next version: no stored row is read or written again, and since the list is one file,
+readers see a whole version or none. Rows carry ``batch_id``, the place of their folder.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -63,6 +71,43 @@ def write_version(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FOLDERS = "place long, folder string"
+
+
+def table_folders(spark: SparkSession, path: str) -> dict[int, str]:
+    """The folders of a version by place; a plain Parquet table is its own first folder, a missing one has none.
+
+    One short row per update since the last compaction reaches the driver.
+    """
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    if found.columns != ["place", "folder"]:
+        return {0: path}
+    return {r["place"]: r["folder"] for r in found.orderBy("place").collect()}
+
+
+def read_folders(spark: SparkSession, folders: dict[int, str], schema: T.StructType) -> DataFrame:
+    """The rows of some folders with ``batch_id``, which is null in a plain table."""
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(full).parquet(*folders.values()) if folders else spark.createDataFrame([], full)
+
+
+def write_folder(df: DataFrame, place: int, path: str) -> dict[int, str]:
+    """Rows in a new folder beside ``path``; a run that is broken off leaves a folder that no list names."""
+    folder = f"{path}.rows-{uuid.uuid4().hex}"
+    df.withColumn("batch_id", F.lit(place).cast("long")).write.mode("errorifexists").parquet(folder)
+    return {place: folder}
+
+
+def publish(spark: SparkSession, folders: dict[int, str], path: str) -> None:
+    """The list of a version's folders, in one file and never over another list."""
+    spark.createDataFrame([*folders.items()], FOLDERS).coalesce(1).write.mode("errorifexists").parquet(path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Rows written once to the shared work folder and read back.
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from docketry.operators import writes
 from docketry.operators.writes import DOCUMENT_KEY
 from docketry.plans import jobs, records
 from docketry.plans import layouts as at
+from docketry.sources import tables
 from docketry.sources.tables import string_schema
 from tests import portal
 
@@ -49,3 +52,61 @@ def test_documents_are_asked_for_until_their_text_is_stored(spark, tmp_path):
     assert documents.select(*DOCUMENT_KEY).distinct().count() == 2
     left = jobs.next_document_requests(links, documents, BASE).collect()
     assert [r["meta"]["documento"] for r in left] == ["7"]
+
+
+def contents(root):
+    return {p: p.read_bytes() for p in root.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("name", ["first_degree_cases", "second_degree_decisions", "second_degree_cases"])
+def test_updates_write_new_rows_alone(spark, tmp_path, name):
+    table = jobs.TABLES[name]
+    key_at = table.columns.index("numero_processo")
+
+    def captured(*rows):
+        values = [(seq, *[key if i == key_at else word for i in range(len(table.columns))]) for seq, key, word in rows]
+        return spark.createDataFrame(values, string_schema(table.columns))
+
+    parts = [
+        captured(*[(n, f"k{n}", "a") for n in range(50)], (90, None, "n")),
+        captured((101, "k1", "b"), (102, "new", "c"), (103, "new", "d"), (104, "", "m")),
+        captured((201, "k1", "e"), (202, "new", "f")),
+    ]
+    wanted = spark.createDataFrame([], parts[0].schema)
+    for n, part in enumerate(parts):
+        before = contents(tmp_path)
+        got = jobs._add(part, name, str(tmp_path / f"v{n}"), str(tmp_path / f"v{n + 1}"))
+        wanted = tables.stage(table.mode(wanted, part))
+        assert sorted(got.collect(), key=str) == sorted(wanted.collect(), key=str)
+        assert {p: c for p, c in contents(tmp_path).items() if p in before} == before
+        rows = next(p for p in tmp_path.iterdir() if p.name.startswith(f"v{n + 1}.rows"))
+        assert spark.read.parquet(str(rows)).count() <= part.count()
+    whole = jobs.compact(spark, name, str(tmp_path / "v3"), str(tmp_path / "v4"))
+    assert sorted(whole.collect(), key=str) == sorted(wanted.collect(), key=str)
+    assert len(tables.table_folders(spark, str(tmp_path / "v4"))) == 1
+    after = jobs._add(parts[1], name, str(tmp_path / "v4"), str(tmp_path / "v5"))
+    assert sorted(after.collect(), key=str) == sorted(table.mode(wanted, parts[1]).collect(), key=str)
+
+
+def test_a_version_without_its_list_is_not_seen(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "k", "a")], "seq long, numero_processo string, a string")
+    schema = string_schema(["numero_processo", "a"])
+    v1 = str(tmp_path / "v1")
+    folders = tables.write_folder(rows, 1, v1)
+    assert tables.table_folders(spark, v1) == {}
+    tables.publish(spark, folders, v1)
+    assert tables.read_folders(spark, tables.table_folders(spark, v1), schema).collect() == [(1, "k", "a", 1)]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.publish(spark, folders, v1)
+
+
+def test_a_plain_table_is_a_first_version(spark, tmp_path):
+    name, plain = "first_instance_links", str(tmp_path / "plain")
+    columns = jobs.TABLES[name].columns
+    old = spark.createDataFrame([(1, *["k"] * len(columns)), (2, *["j"] * len(columns))], string_schema(columns))
+    old.write.parquet(plain)
+    new = spark.createDataFrame([(3, "k", *["z"] * (len(columns) - 1))], string_schema(columns))
+    if columns[0] != "numero_processo":
+        new = new.withColumn("numero_processo", F.lit("k"))
+    got = jobs._add(new, name, plain, str(tmp_path / "v1"))
+    assert sorted(got.collect(), key=str) == sorted(writes.upsert(old, new).collect(), key=str)

@@ -116,3 +116,32 @@ def test_incremental_upsert_equals_batches_and_retries_are_safe(spark, tmp_path,
         wanted = writes.upsert(wanted, part)
     write(parts[0], 0)
     assert as_set(ingest.upserted_view(base, ingest.stored_batches(spark, changes, SCHEMA))) == as_set(wanted)
+
+
+@pytest.mark.parametrize("when", [0, 1, 2])
+def test_compaction_between_runs_changes_nothing(spark, tmp_path, deliveries, when):
+    changes, base = str(tmp_path / "changes"), str(tmp_path / "base0")
+    rows = spark.createDataFrame([(0, "k2", "old"), (0, "k2", "twin"), (0, "", "blank")], FIELDS)
+    rows.write.parquet(base)
+    write, seen = ingest.append_batch(lambda df: df, changes), []
+
+    def each(df, batch_id):
+        write(df, batch_id)
+        seen.append(batch_id)
+
+    bases = [base]
+
+    def run_and_compact(df, batch_id):
+        each(df, batch_id)
+        if batch_id == when:  # the batch just written is whole
+            bases.append(str(tmp_path / "base1"))
+            ingest.compact(spark, base, changes, bases[-1], SCHEMA)
+            ingest.compact(spark, bases[-1], changes, str(tmp_path / "base2"), SCHEMA)
+            bases.append(str(tmp_path / "base2"))
+
+    wanted = rows
+    for part in deliveries(run_and_compact):
+        wanted = writes.upsert(wanted, part)
+    assert seen == [0, 1, 2]
+    for path in bases:
+        assert as_set(ingest.current(spark, path, changes, SCHEMA)) == as_set(wanted)

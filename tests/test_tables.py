@@ -147,3 +147,24 @@ def test_aggregates_of_empty_tables(spark):
     assert aggregates.any_match(empty, F.col("seq") > 0).collect()[0]["found"] is False
     assert aggregates.last_key(empty).collect()[0]["numero_processo"] is None
     assert aggregates.distinct_keys(empty).count() == 0
+
+
+@pytest.mark.parametrize("hot", ["k1", "", None, "gone"])
+def test_upsert_with_a_hot_key_equals_a_loop(spark, hot):
+    rng = random.Random(4)
+    target_rows = [(n, hot if n % 3 else f"o{n % 40}", rng.choice("pqr"), None) for n in range(900)]
+    new_rows = [(2000 + n, rng.choice([*KEYS, "o1", "o2", "new", "gone"]), rng.choice("xyz"), "c") for n in range(60)]
+    target, new = spark.createDataFrame(target_rows, TARGET), spark.createDataFrame(new_rows, NEW)
+    got = writes.upsert(target, new)
+    assert counted(got) == loop_upsert(target_rows, new_rows)
+
+
+def test_upsert_reads_the_target_once_beside_the_sketch(spark, tmp_path):
+    spark.createDataFrame(random_tables(0)[0] or [(1, "k", "a", "b")], TARGET).write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(9, "k", "z", "c")], NEW).write.parquet(str(tmp_path / "n"))
+    merged = writes.upsert(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "n")))
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    physical = merged._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in physical.splitlines() if "FileScan" in line and str(tmp_path / "t") in line]
+    wide = [line for line in scans if "b:string" in line.split("ReadSchema")[-1]]
+    assert len(wide) == 1

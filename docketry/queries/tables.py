@@ -12,6 +12,7 @@ from docketry.queries.text import sql_clean
 from docketry.functions.markup import inner_text
 from docketry.session import work_dir
 from docketry.sources.captures import as_captures, decode_body
+from docketry.sources.files import store_files
 from docketry.sources.tables import read_csv, read_table, string_schema, work_list, write_csv
 
 
@@ -122,6 +123,17 @@ def upsert_composite(spark, sf):
     return writes.upsert(stored, new, writes.DOCUMENT_KEY)
 
 
+def stored_files(spark, sf):
+    """Texts as files, those in English first and then all of them."""
+    files = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("url"), F.encode("text", "UTF-8").alias("content"), "lang"
+    )
+    path = work_dir(spark, "files")
+    store_files(files.filter("lang = 'en'").drop("lang"), path)
+    store_files(files.drop("lang"), path)
+    return spark.read.parquet(path).select("pdf_name", "url", F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
 def pending_cases(spark, sf):
     stored = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     keys = stored.select(F.col("c_custkey").cast("string").alias("numero_processo"))
@@ -257,6 +269,12 @@ QUERIES = {
             WHERE situacao = 'F' UNION ALL
             SELECT seq, numero_processo, situacao, NULL, dia FROM cases WHERE situacao <> 'F'""",
     ),
+    "stored_files": (
+        stored_files,
+        """SELECT sha256(text) AS pdf_name, coalesce(min(CAST(doc_id AS VARCHAR)) FILTER (WHERE lang = 'en'),
+           min(CAST(doc_id AS VARCHAR))) AS url, max(CAST(octet_length(encode(text)) AS BIGINT)) AS n_bytes
+           FROM documents WHERE text IS NOT NULL GROUP BY 1""",
+    ),
     "insert_if_absent": (
         insert_if_absent,
         f"""WITH {CASES_SQL}, target AS (SELECT * FROM cases WHERE situacao = 'F'),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docketry.sources.tables import read_table
 
@@ -13,8 +13,20 @@ def read_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFr
     return files.select(F.col("path").alias("url"), "content")
 
 
+def new_files(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """Files whose bytes are not stored yet, each content once, under the lowest url that has it.
+
+    ``files`` has one row per url. A first pass hashes the bytes where they are read, and only names and
+    urls are shuffled; a second pass takes the bytes of the chosen urls. Files without bytes are left out.
+    """
+    names = files.filter("content IS NOT NULL").select("url", F.sha2(F.col("content"), 256).alias("pdf_name"))
+    first = names.groupBy("pdf_name").agg(F.min("url").alias("url"))
+    fresh = first.join(stored.select("pdf_name").distinct(), "pdf_name", "left_anti")
+    return files.join(fresh, "url").select(*files.columns, "pdf_name")
+
+
 def store_files(files: DataFrame, path: str) -> None:
     """Bytes under a name derived from them; what is stored already, or comes twice, is stored once."""
-    named = files.withColumn("pdf_name", F.sha2(F.col("content"), 256)).dropDuplicates(["pdf_name"])
-    stored = read_table(files.sparkSession, path, named.schema).select("pdf_name").distinct()
-    named.join(stored, "pdf_name", "left_anti").select(*named.columns).write.mode("append").parquet(path)
+    schema = T.StructType([*files.schema.fields, T.StructField("pdf_name", T.StringType())])
+    stored = read_table(files.sparkSession, path, schema)
+    new_files(files, stored).write.mode("append").parquet(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import pytest
 from pyspark.sql import functions as F
 
 from docketry.operators import writes
 from docketry.sources.captures import decode_body, read_captures
-from docketry.sources.files import read_files, store_files
+from docketry.sources.files import new_files, read_files, store_files
 from docketry.sources.tables import import_csv, read_csv, read_table, string_schema, write_csv, write_version
 from docketry.streaming import ingest
 from tests import portal
@@ -145,3 +147,14 @@ def test_compaction_between_runs_changes_nothing(spark, tmp_path, deliveries, wh
     assert seen == [0, 1, 2]
     for path in bases:
         assert as_set(ingest.current(spark, path, changes, SCHEMA)) == as_set(wanted)
+
+
+def test_file_bytes_stay_out_of_the_first_exchange(spark, tmp_path):
+    rows = [("b", b"one"), ("a", b"one"), ("c", b"two"), ("d", None), ("e", b""), ("f", b"three")]
+    spark.createDataFrame(rows, "url string, content binary").write.parquet(str(tmp_path / "in"))
+    stored = spark.createDataFrame([(sha256(b"three").hexdigest(),), (None,)], "pdf_name string")
+    fresh = new_files(spark.read.parquet(str(tmp_path / "in")), stored)
+    assert sorted((r["url"], bytes(r["content"])) for r in fresh.collect()) == [("a", b"one"), ("c", b"two"), ("e", b"")]
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(line for line in plan.splitlines() if "Aggregate" in line and "min(url" in line)
+    assert "content" not in grouped

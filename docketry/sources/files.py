@@ -17,7 +17,8 @@ def new_files(files: DataFrame, stored: DataFrame) -> DataFrame:
     """Files whose bytes are not stored yet, each content once, under the lowest url that has it.
 
     ``files`` has one row per url. A first pass hashes the bytes where they are read, and only names and
-    urls are shuffled; a second pass takes the bytes of the chosen urls. Files without bytes are left out.
+    urls are shuffled; a second pass joins the bytes to the chosen urls. Where the chosen urls are too many for
+    Spark to broadcast, that join shuffles the bytes of all files once. Files without bytes are left out.
     """
     names = files.filter("content IS NOT NULL").select("url", F.sha2(F.col("content"), 256).alias("pdf_name"))
     first = names.groupBy("pdf_name").agg(F.min("url").alias("url"))

@@ -6,6 +6,9 @@ the span of the original text that it came from. New layers go on the worklist;
 seen before, by its digest, does not, so cycles end. Every layer is scanned with the base
 patterns, and a hit in a decoded layer is reported at the original span under a kind that
 names the codecs, such as ``base64>assign``. Escapes and base64 map character by character.
+An escaped escape sign (``%2525...41``) is unwrapped down to its character in one step, as one
+layer, so that deep nesting takes time and spans in proportion to the text; a codec met more than twice
+in a row is written with its count, ``base64*3>assign``.
 
 A base64 run may go over several lines. If it isn't one readable text, all stretches of text
 and all compressed parts in it count, from any place on, in the standard and the URL-safe
@@ -14,7 +17,8 @@ alphabet, as ASCII (so UTF-8 and Latin-1 too) or UTF-16, where a pattern or a co
 One compressed run is unpacked up to ``LAYER_BYTES``. Beyond that (an archive bomb) the run
 is itself reported, as kind ``unread``, and so treated as a secret.
 
-Null text counts as empty; an empty text has no spans.
+Null text counts as empty; an empty text has no spans, an empty table no rows. Repeated rows, and rows with
+one id or none, are each scanned on their own; columns beside ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -46,8 +50,12 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
-URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+# The escape signs %, \\ and & may themselves be escaped, any number of times.
+URL_CHAR = re.compile(r"%(?:25)*[0-9A-Fa-f]{2}")
+URL_ESCAPE = re.compile(rf"(?:{URL_CHAR.pattern})+")
+UNICODE_ESCAPE = re.compile(
+    r"\\(?:u005[Cc]|x5[Cc])*(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2}))|&(?:#38;|#x26;)*#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));"
+)
 # A run with the lines that follow it; a line break may also be written as an escape.
 BASE64 = re.compile(
     r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}(?:[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+[A-Za-z0-9+/_-]++={0,2})*+"
@@ -198,10 +206,13 @@ class Piece(NamedTuple):
 
 
 def _from_url(m: re.Match) -> list[Piece]:
-    text = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape")
-    sizes = np.array([1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8")) for c in text]) * 3
-    ends = m.start() + np.cumsum(sizes)
-    return [Piece(*m.span(), re.sub("[\udc80-\udcff]", "\ufffd", text), ends - sizes, ends, True)]
+    escapes = URL_CHAR.findall(m[0])
+    text = bytes.fromhex("".join([x[-2:] for x in escapes])).decode("utf-8", "surrogateescape")
+    borders = m.start() + np.cumsum([0, *map(len, escapes)])
+    last = np.cumsum([1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8")) for c in text])
+    ends = borders[last]
+    starts = np.concatenate([borders[:1], ends[:-1]])
+    return [Piece(*m.span(), re.sub("[\udc80-\udcff]", "\ufffd", text), starts, ends, True)]
 
 
 def _from_unicode(m: re.Match) -> list[Piece]:
@@ -250,6 +261,18 @@ CODECS = (("url", URL_ESCAPE, _from_url), ("unicode", UNICODE_ESCAPE, _from_unic
 POSSIBLE = re.compile(rf"{URL_ESCAPE.pattern}|{UNICODE_ESCAPE.pattern}|{BASE64.pattern}")
 
 
+def longer_path(path: str, name: str) -> str:
+    """A path with one more codec; from three in a row on, the codec is written once, with their number."""
+    head, last = re.fullmatch(r"(.*>)?(.*)>", path).groups(default="") if path else ("", "")
+    codec, _, times = last.partition("*")
+    if codec == name and times:
+        return f"{head}{name}*{int(times) + 1}>"
+    twice = f"{name}>{name}>"
+    if path == twice or path.endswith(">" + twice):
+        return f"{path[: -len(twice)]}{name}*3>"
+    return f"{path}{name}>"
+
+
 class Layer:
     """A text with the original span of each of its characters; none for the original itself.
 
@@ -285,7 +308,7 @@ class Layer:
         if not parts:
             return None, unread
         places.append(self._own(done, len(self.text)))
-        return Layer("".join(parts) + self.text[done:], f"{self.path}{name}>", np.concatenate(places, axis=1)), unread
+        return Layer("".join(parts) + self.text[done:], longer_path(self.path, name), np.concatenate(places, axis=1)), unread
 
     def _own(self, start: int, end: int) -> np.ndarray:
         if self.places is not None:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import gzip
+import random
 import re
+import time
 import zlib
 from hashlib import sha256
 from urllib.parse import quote
@@ -209,6 +211,48 @@ def test_cycles_end_and_bombs_are_reported(monkeypatch):
     assert secrets.find("x " + bomb) == [("unread", 2, 2 + len(bomb))]
 
 
+@pytest.mark.parametrize("kb", [1, 10, 100, 1000])
+@pytest.mark.parametrize("start, again, end", [("%", "25", "41"), ("\\", "u005c", "u0041"), ("\\", "x5c", "x41"), ("&", "#38;", "#65;")])
+def test_nested_escapes_take_one_step_and_few_spans(kb, start, again, end):
+    nested = start + again * (kb * 1000 // len(again)) + end
+    text = f"token=hunter2hunter{nested}. " + nested
+    began = time.perf_counter()
+    found = secrets.find(text)
+    assert time.perf_counter() - began < 2 + kb / 100
+    span = next(x for x in found if x[0].endswith(">assign"))
+    assert span[1] == 0 and span[2] >= len("token=hunter2hunter" + nested) and len(found) < 8
+
+
+def test_escaped_escape_signs_end_in_the_same_text():
+    """Against unwrapping one level at a time with plain replacements."""
+    signs = random.Random(3)
+    for _ in range(3000):
+        text = "".join(signs.choices(["%", "25", "41", "3D", "z", "%25", "%C3%A9", "\\u005c", "u0041", "&#38;", "#65;"], k=12))
+        layer, seen = secrets.Layer(text), set()
+        while layer is not None and layer.text not in seen:
+            seen.add(layer.text)
+            last, layer = layer, next((x for c in secrets.CODECS[:2] if (x := layer.decoded(*c, {"next": 1})[0])), None)
+        assert last.text == plainly(text) and (last.places is None or (last.places[0] < last.places[1]).all())
+
+
+def plainly(text):
+    def unwrapped(s):
+        url = re.sub("(?:%[0-9A-Fa-f]{2})+", lambda m: bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace"), s)
+        if url != s:
+            return url
+        return re.sub(r"\\u([0-9A-Fa-f]{4})|&#([0-9]+);", lambda m: chr(int(m[1], 16) if m[1] else int(m[2])), s)
+
+    while (after := unwrapped(text)) != text:
+        text = after
+    return text
+
+
+def test_paths_of_repeated_codecs():
+    path = ""
+    for name, want in [("url", "url>"), ("base64", "url>base64>"), ("base64", "url>base64>base64>"), ("base64", "url>base64*3>"), ("base64", "url>base64*4>"), ("url", "url>base64*4>url>")]:
+        assert (path := secrets.longer_path(path, name)) == want
+
+
 def test_scans_of_whole_tables(spark, docs):
     texts = CORNER + ["mail me: a@b.cd", "token=abcdefghi1"]
     got = {r.doc_id: r for r in pii.scan(docs(texts).selectExpr("*", "text AS spans", "1 AS scores")).collect()}

@@ -22,8 +22,8 @@ def document_id(content: Column) -> Column:
 def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None]]) -> DataFrame:
     """Page texts of ``files(seq, content)`` through the user's decoder of one file's bytes.
 
-    The one Python stage of the package; files stream through in Arrow batches. A file
-    the decoder fails on gives one row with the reason, and the rest go on.
+    The one Python stage of the package; files stream through in Arrow batches, and the pages of one
+    file at a time are held. A file the decoder fails on gives one row with the reason, and the rest go on.
     """
 
     def pages_of(seq: int, content: bytes) -> list[tuple]:
@@ -34,9 +34,9 @@ def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [row for seq, content in zip(batch["seq"], batch["content"]) for row in pages_of(seq, content)]
-            df = pd.DataFrame(rows, columns=["seq", "page_no", "text", "reason"])
-            yield df.astype({"seq": "int64", "page_no": "Int64"})
+            for seq, content in zip(batch["seq"], batch["content"]):
+                df = pd.DataFrame(pages_of(seq, content), columns=["seq", "page_no", "text", "reason"])
+                yield df.astype({"seq": "int64", "page_no": "Int64"})
 
     return files.select("seq", "content").mapInPandas(decode, PAGE_SCHEMA)
 

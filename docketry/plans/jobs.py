@@ -10,14 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docketry.operators import joins, writes
+from docketry.operators.documents import case_documents, decode_pages, document_id
 from docketry.plans import layouts as at
 from docketry.plans import records, requests
 from docketry.sources.tables import publish, read_folders, stage, string_schema, table_folders, work_list, write_folder
 
 Mode = Callable[[DataFrame, DataFrame], DataFrame]
+#: A file is asked for by a viewer page, and that by the answer to an access check.
+DOCUMENT_HOPS = 3
+DOCUMENT_CONTEXT = ["numero_processo", "documento", "titulo", "descricao", "processo"]
 
 
 @dataclass(frozen=True)
@@ -71,10 +75,35 @@ def update(captures: DataFrame, name: str, stored_path: str, next_path: str, bas
     """Write the table's next version and give it back. The stored version is left alone."""
     extract = TABLES[name].extract
     if extract is None:
-        raise ValueError(f"{name} has no extraction from captures: use update_documents")
+        raise ValueError(f"{name} has no extraction from captures: use document_records and update_documents")
     return _add(extract(captures, base_url), name, stored_path, next_path)
 
 
+def document_records(
+    files: DataFrame, requests_made: DataFrame, read_pages: Callable[[bytes], list[str | None]]
+) -> tuple[DataFrame, DataFrame]:
+    """Document records from captured files, and ``seq, reason`` of the files that have no text to read.
+
+    ``files(seq, request_id, content)`` and ``requests_made(request_id, parent_id, meta)`` are the tables of
+    ``sources.captures``. Case, document, title and description come from the request that asked for access
+    to the document: the file's own request, the one for its viewer or the one before. Every file has its record: one without
+    bytes has no name, one that the decoder fails on no text, one of an unknown request no key.
+    The bytes are read by two narrow passes, one for names and one for pages, and never moved.
+    """
+    pages = stage(decode_pages(files.filter("content IS NOT NULL"), read_pages))
+    context = joins.context_over(files.select("seq", "request_id"), requests_made, DOCUMENT_HOPS)
+    asked = [F.try_element_at("meta", F.lit(c)).alias(c) for c in DOCUMENT_CONTEXT]
+    names = files.select("seq", document_id(F.col("content")).alias("pdf_name"))
+    links = stage(names.join(context, "seq").select("seq", "pdf_name", *asked, F.col("meta").isNull().alias("_unknown")))
+    reasons = [
+        pages.filter("reason IS NOT NULL").select("seq", "reason"),
+        links.filter("pdf_name IS NULL").select("seq", F.lit("no bytes").alias("reason")),
+        links.filter("_unknown").select("seq", F.lit("no request").alias("reason")),
+    ]
+    records_of = case_documents(pages.filter("reason IS NULL"), links.drop("_unknown"))
+    return records_of, reasons[0].unionByName(reasons[1]).unionByName(reasons[2])
+
+
 def update_documents(documents: DataFrame, stored_path: str, next_path: str) -> DataFrame:
     """The same for document records, which are kept apart by case and document."""
     return _add(documents, "case_documents", stored_path, next_path)

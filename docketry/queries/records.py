@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docketry.operators.documents import utf8_pages
 from docketry.operators.quarantine import split_bad
+from docketry.plans import jobs, records
 from docketry.plans import layouts as at
-from docketry.plans import records
 from docketry.functions.markup import script_param
 from docketry.queries import render
 from docketry.queries.common import BASE, customer, day, key, pages_from, priority, spelt, status, table, text_of
-
+from docketry.queries.text import sql_clean
 
 
 def decisions_first(spark, sf):
@@ -120,7 +121,46 @@ def quarantine_counts(spark, sf):
 
 DAY = "strftime(o_orderdate, '%d/%m/%Y')"
 
+def document_job(spark, sf):
+    """Documents as captured files: some that the decoder fails on, some empty, without bytes or of an unknown request.
+
+    The context stands in the access request, two requests before the file's, or for some in the file's own.
+    """
+    docs, doc = table(spark, sf, "documents"), F.col("doc_id")
+    kind, text = F.pmod(doc, F.lit(7)), F.col("text").cast("binary")
+    content = F.when(kind == 1, F.concat(F.unhex(F.lit("FF")), text)).when(kind == 2, F.unhex(F.lit(""))).when(kind != 3, text)
+    files = docs.select(doc.alias("seq"), text_of("file-", doc).alias("request_id"), content.alias("content"))
+
+    def request(name, parent, rows, title=None):
+        fields = [text_of("case-", doc), doc, title, F.col("source"), F.col("n_chars")] if title is not None else []
+        pairs = [x for c, v in zip(jobs.DOCUMENT_CONTEXT, fields) for x in (F.lit(c), v.cast("string"))]
+        meta = F.create_map(*pairs).cast("map<string,string>")
+        before = text_of(f"{parent}-", doc) if parent else F.lit(None).cast("string")
+        return rows.select(text_of(f"{name}-", doc).alias("request_id"), before.alias("parent_id"), meta.alias("meta"))
+
+    own = F.pmod(doc, F.lit(5)) == 0
+    made = request("access", None, docs, F.col("lang")).unionByName(request("viewer", "access", docs))
+    made = made.unionByName(request("file", "viewer", docs.filter(own), F.lit("own")))
+    made = made.unionByName(request("file", "viewer", docs.filter(F.pmod(doc, F.lit(5)).between(1, 3))))
+    found, failed = jobs.document_records(files, made, utf8_pages)
+    return found.withColumn("reason", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
+
+
+BAD_BYTES = "UnicodeDecodeError: ''utf-8'' codec can''t decode byte 0xff in position 0: invalid start byte"
+DOCUMENT_JOB_SQL = f"""WITH files AS (SELECT *, doc_id % 5 = 4 AS unknown, CASE doc_id % 7 WHEN 1 THEN unhex('FF') || encode(text)
+        WHEN 2 THEN encode('') WHEN 3 THEN NULL ELSE encode(text) END AS content FROM documents)
+    SELECT doc_id AS seq, sha256(content) AS pdf_name, CASE WHEN NOT unknown THEN 'case-' || doc_id END AS numero_processo,
+        CASE WHEN NOT unknown THEN CAST(doc_id AS VARCHAR) END AS documento,
+        CASE WHEN doc_id % 5 = 0 THEN 'own' WHEN NOT unknown THEN lang END AS titulo, CASE WHEN NOT unknown THEN source END AS descricao,
+        CASE WHEN NOT unknown THEN CAST(n_chars AS VARCHAR) END AS processo,
+        CASE WHEN doc_id % 7 NOT IN (1, 2, 3) THEN nullif({sql_clean("replace(text, chr(12), '')")}, '') END AS conteudo,
+        NULL AS reason FROM files
+    UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{BAD_BYTES}' FROM files WHERE doc_id % 7 = 1 AND content IS NOT NULL
+    UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no bytes' FROM files WHERE content IS NULL
+    UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no request' FROM files WHERE unknown"""
+
 QUERIES = {
+    "document_job": (document_job, DOCUMENT_JOB_SQL),
     "decisions_first": (
         decisions_first,
         f"""SELECT CAST(o_orderkey AS VARCHAR) AS numero_processo, o_orderstatus AS classe, o_orderpriority AS assunto,

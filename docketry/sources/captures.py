@@ -20,6 +20,33 @@ CAPTURE_SCHEMA = T.StructType(
 )
 
 
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("request_id", T.StringType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+#: Every request that was made; ``parent_id`` is the request whose answer led to it.
+REQUEST_SCHEMA = T.StructType(
+    [
+        T.StructField("request_id", T.StringType()),
+        T.StructField("parent_id", T.StringType()),
+        T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
+
+
+def read_files(spark: SparkSession, path: str, source_format: str = "parquet") -> DataFrame:
+    """Captured files with their bytes, one row per capture."""
+    return spark.read.schema(FILE_SCHEMA).format(source_format).load(path)
+
+
+def read_requests(spark: SparkSession, path: str, source_format: str = "parquet") -> DataFrame:
+    """The requests made, one row per id."""
+    return spark.read.schema(REQUEST_SCHEMA).format(source_format).load(path)
+
+
 def read_captures(spark: SparkSession, path: str, source_format: str = "parquet") -> DataFrame:
     """Captures in Parquet, ORC or JSON. Keep them partitioned by ``request_kind``: jobs filter on it."""
     return spark.read.schema(CAPTURE_SCHEMA).format(source_format).load(path)

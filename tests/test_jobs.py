@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import pytest
 from pyspark.sql import functions as F
 
 from docketry.operators import writes
+from docketry.operators.documents import utf8_pages
 from docketry.operators.writes import DOCUMENT_KEY
 from docketry.plans import jobs, records
 from docketry.plans import layouts as at
-from docketry.sources import tables
+from docketry.sources import captures, tables
 from docketry.sources.tables import string_schema
 from tests import portal
 
@@ -110,3 +113,21 @@ def test_a_plain_table_is_a_first_version(spark, tmp_path):
         new = new.withColumn("numero_processo", F.lit("k"))
     got = jobs._add(new, name, plain, str(tmp_path / "v1"))
     assert sorted(got.collect(), key=str) == sorted(writes.upsert(old, new).collect(), key=str)
+
+
+def test_document_records_from_captured_files(spark, tmp_path):
+    """The context comes over three requests; failing, empty and unknown files keep their record."""
+    meta = {"numero_processo": "c", "documento": "1", "titulo": "t", "descricao": "d", "processo": "p"}
+    made = [("a", None, meta), ("v", "a", None), ("f", "v", {}), ("g", "f", {"titulo": "own"}), ("h", "g", None), ("i", "unseen", None)]
+    files = [(1, "f", b"one\fpage"), (2, "g", b"x"), (3, "h", b"\xff"), (4, "i", b""), (5, None, None), (6, "f", b"one\fpage"), (7, "unseen", b"y")]
+    files = spark.createDataFrame([(n, r, c if c is None else bytearray(c)) for n, r, c in files], captures.FILE_SCHEMA)
+    rows, failed = jobs.document_records(files, spark.createDataFrame(made, captures.REQUEST_SCHEMA), utf8_pages)
+    got = {r.seq: r for r in rows.collect()}
+    assert [got[n].titulo for n in range(1, 8)] == ["t", "own", "own", None, None, "t", None]
+    assert [got[n].conteudo for n in range(1, 8)] == ["onepage", "x", None, None, None, "onepage", "y"]
+    assert got[1].numero_processo == "c" and got[1].pdf_name == got[6].pdf_name == sha256(b"one\fpage").hexdigest() and got[5].pdf_name is None
+    reasons = {(r.seq, r.reason.split(":")[0]) for r in failed.collect()}
+    assert reasons == {(3, "UnicodeDecodeError"), (4, "no request"), (5, "no request"), (5, "no bytes"), (7, "no request")}
+    assert jobs.update_documents(rows, str(tmp_path / "v0"), str(tmp_path / "v1")).filter("documento = '1'").count() == 1
+    nothing = spark.createDataFrame([], captures.FILE_SCHEMA)
+    assert [x.count() for x in jobs.document_records(nothing, spark.createDataFrame([], captures.REQUEST_SCHEMA), utf8_pages)] == [0, 0]

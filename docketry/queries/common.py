@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -30,7 +32,8 @@ def dealt(df: DataFrame) -> DataFrame:
 
 def text_of(*parts: Column | str) -> Column:
     """Literals and columns joined to one text."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    spelling = _spelling.get() or str
+    return F.concat(*[F.lit(spelling(p)) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
 def key() -> Column:
@@ -58,21 +61,58 @@ def case_meta(key: Column) -> Column:
 
 
 def pages_from(df: DataFrame, kind: Column | str, body: Column, seq: str, key: Column | None = None) -> DataFrame:
-    """Captures written from a table's rows."""
-    return as_captures(dealt(df), kind=kind, body=body, seq=F.col(seq), meta=None if key is None else case_meta(key))
-
-
-def spelt(body: Column, key: Column) -> Column:
-    """The same page in one of four spellings, by the row's key."""
-    upper = body
-    for name in ("table", "tr", "td", "div", "span"):
-        upper = F.regexp_replace(upper, f"(</?){name}\\b", f"$1{name.upper()}")
-    other_id = F.regexp_replace(body, '\\sid="', ' data-id="tdResultados" id="')
-    single = F.regexp_replace(body, "=\"([^\"'<>]*)\"", "='$1'")
-    return (
-        F.when(F.pmod(key, F.lit(4)) == 1, F.regexp_replace(upper, ' (id|class|title)="', ' DATA-X="1" $1 = "'))
-        .when(F.pmod(key, F.lit(4)) == 2, other_id).when(F.pmod(key, F.lit(4)) == 3, single).otherwise(body)
-    )
+    """Captures written from a table's rows.
+
+    The generator keeps a job's filters on the page from being moved below ``dealt``, where each would
+    write every page once more in the few tasks that scan the table.
+    """
+    pages = dealt(df).select("*", F.explode(F.array(body)).alias("_page"))
+    return as_captures(pages, kind=kind, body=F.col("_page"), seq=F.col(seq), meta=None if key is None else case_meta(key))
+
+
+def spelt(page: Callable[[], Column], key: Column, values: list[Column]) -> Column:
+    """The same page in one of four spellings, by the row's key. ``values`` are the texts that ``page`` puts in.
+
+    The literals of a page, which hold whole tags, are spelt while the query is built; a page with markup in
+    its values is spelt as a whole.
+    """
+
+    def written(spelling: Callable[[str], str]) -> Column:
+        token = _spelling.set(spelling)
+        try:
+            return page()
+        finally:
+            _spelling.reset(token)
+
+    def choice(*spellings: Column) -> Column:
+        place = F.pmod(key, F.lit(4))
+        return F.when(place == 1, spellings[1]).when(place == 2, spellings[2]).when(place == 3, spellings[3]).otherwise(spellings[0])
+
+    plain = text_of(*values)
+    has_markup = F.contains(plain, F.lit("<")) | F.contains(plain, F.lit('"'))
+    whole = choice(*[_spelt_by(F.regexp_replace, page(), rules) for rules in SPELLINGS])
+    literals = choice(*[written(lambda text, rules=rules: _spelt_by(_replaced, text, rules)) for rules in SPELLINGS])
+    return F.when(~has_markup, literals).otherwise(whole)
+
+
+SPELLINGS = [
+    [],
+    [(f"(</?){name}\\b", f"$1{name.upper()}") for name in ("table", "tr", "td", "div", "span")]
+    + [(' (id|class|title)="', ' DATA-X="1" $1 = "')],
+    [('\\sid="', ' data-id="tdResultados" id="')],
+    [("=\"([^\"'<>]*)\"", "='$1'")],
+]
+_spelling: ContextVar[Callable[[str], str] | None] = ContextVar("spelling", default=None)
+
+
+def _spelt_by(replace: Callable, text, rules: list[tuple[str, str]]):
+    for pattern, replacement in rules:
+        text = replace(text, pattern, replacement)
+    return text
+
+
+def _replaced(text: str, pattern: str, replacement: str) -> str:
+    return re.sub(pattern, replacement.replace("$1", r"\g<1>"), text, flags=re.ASCII)
 
 
 def sql_spaces(x: str) -> str:

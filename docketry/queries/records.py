@@ -15,16 +15,19 @@ from docketry.queries.text import sql_clean
 
 
 def decisions_first(spark, sf):
-    page = render.result_page(
-        render.first_decision_blocks(), anchored=True, paging=render.pager(at.FIRST_SEARCH, key(), F.lit(True))
-    )
-    captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, spelt(page, key()), "o_orderkey")
+    def page():
+        paging = render.pager(at.FIRST_SEARCH, key(), F.lit(True))
+        return render.result_page(render.first_decision_blocks(), anchored=True, paging=paging)
+
+    captures = pages_from(table(spark, sf, "orders"), at.FIRST_SEARCH, spelt(page, key(), [priority(), status()]), "o_orderkey")
     return records.first_degree_decisions(captures).drop("seq")
 
 
 def decisions_second(spark, sf):
-    page = render.result_page(render.second_decision_blocks(), anchored=False)
-    captures = pages_from(table(spark, sf, "orders"), at.SECOND_SEARCH, spelt(page, key()), "o_orderkey")
+    def page():
+        return render.result_page(render.second_decision_blocks(), anchored=False)
+
+    captures = pages_from(table(spark, sf, "orders"), at.SECOND_SEARCH, spelt(page, key(), [priority(), status()]), "o_orderkey")
     return records.second_degree_decisions(captures).drop("seq")
 
 

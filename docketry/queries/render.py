@@ -26,7 +26,7 @@ def decision_block(number: Column | str, labelled: list[tuple[str, Column | str]
 
 def pager(kind: str, page: Column | str, has_next: Column) -> Column:
     shown = f'<span {at.CURRENT_PAGE_STYLE}>' if kind == at.FIRST_SEARCH else f'<span class="{at.CURRENT_PAGE_CLASS}">'
-    link = F.when(has_next, F.lit(f'<a href="#" {at.NEXT_PAGE_MARKER}>&gt;</a>')).otherwise(F.lit(""))
+    link = F.when(has_next, text_of(f'<a href="#" {at.NEXT_PAGE_MARKER}>&gt;</a>')).otherwise(F.lit(""))
     return text_of(f'<div class="{at.PAGER_CLASS}">{shown} ', page, " </span>", link, "</div>")
 
 

@@ -14,44 +14,63 @@ from docketry.functions.text import bound
 PLAIN_TAG = r'/?[a-z][a-z0-9]*+(?:\s++[a-z][a-z0-9_:-]*+(?:="[^"]*+")?+)*+\s*+/?>'
 ODD_TAG = rf"<(?=/?[a-zA-Z])(?!{PLAIN_TAG})"
 ATTRIBUTE = r"""([a-zA-Z_:][a-zA-Z0-9_:.-]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
-START_OF_ROW = r"(?=<tr[\s/>])"
+START_OF_ROW = r"<tr(?=[\s/>])"
 # Elements without content.
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
-TAG_HEAD = r"""^/?[a-zA-Z][a-zA-Z0-9]*+((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+# The head of an odd tag, up to the next start of a tag at most.
+TAG_HEAD = r"""^/?[a-zA-Z][a-zA-Z0-9]*+(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>"""
+BARE_TAG = r"^/?[a-zA-Z][a-zA-Z0-9]*+/?>"
+SINGLE_QUOTED = r"""^[a-z][a-z0-9]*+(?: [a-z][a-z0-9_:-]*+(?:="[^"'<>]*+"|='[^"'<>]*+'))++/?>"""
 
 
 def plain_tags(markup: Column) -> Column:
-    """Tags and attribute names in lower case, values in double quotes; other text as it is."""
+    """Tags and attribute names in lower case, values in double quotes; other text as it is.
 
-    def respelt(piece: Column) -> Column:
-        return F.when(F.regexp_like(piece, F.lit(rf"^{PLAIN_TAG}")) | ~F.regexp_like(piece, F.lit(TAG_HEAD)), piece).otherwise(
-            bound(F.regexp_extract(piece, TAG_HEAD, 1), lambda inside: _respelt_tag(piece, inside))
-        )
+    The text is cut at odd tags alone; most of those are only in upper case, or only in single quotes.
+    """
+
+    def respelt(piece: Column, place: Column) -> Column:
+        head = F.when(place == 0, F.lit("")).otherwise(F.regexp_extract(piece, TAG_HEAD, 0))
+        return bound(head, lambda h: F.when(h == "", piece).otherwise(F.concat(_respelt_tag(h), F.substr(piece, F.length(h) + 1))))
+
+    return F.array_join(F.transform(F.split(markup, ODD_TAG), respelt), "<")
 
-    pieces = F.split(markup, "<")
-    rest = F.transform(F.slice(pieces, 2, 2**30), respelt)
-    return F.when(F.regexp_like(markup, F.lit(ODD_TAG)), F.array_join(F.concat(F.slice(pieces, 1, 1), rest), "<")).otherwise(markup)
+
+def _respelt_tag(head: Column) -> Column:
+    inside = F.regexp_extract(head, r"(?s)^/?[a-zA-Z][a-zA-Z0-9]*+(.*)>", 1)
+    return (
+        F.when(F.regexp_like(head, F.lit(BARE_TAG)), F.lower(head))
+        .when(F.regexp_like(head, F.lit(SINGLE_QUOTED)), F.translate(head, "'", '"'))
+        .otherwise(bound(inside, lambda own: _respelt_parts(head, own)))
+    )
 
 
-def _respelt_tag(piece: Column, inside: Column) -> Column:
+def _respelt_parts(head: Column, inside: Column) -> Column:
     names = F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(1))
     values = F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(2))
 
     def pair(name: Column, value: Column) -> Column:
-        bare = F.replace(F.regexp_replace(value, "^[\"']|[\"']$", ""), F.lit('"'), F.lit("&quot;"))
         return F.when(value == "", F.concat(F.lit(" "), F.lower(name))).otherwise(
-            F.concat(F.lit(" "), F.lower(name), F.lit('="'), bare, F.lit('"'))
+            F.concat(F.lit(" "), F.lower(name), F.lit('="'), bare(value), F.lit('"'))
         )
 
-    tag = F.lower(F.regexp_extract(piece, "^/?[a-zA-Z][a-zA-Z0-9]*+", 0))
+    def bare(value: Column) -> Column:
+        # Most values hold no quotes but those around them.
+        plain = F.regexp_like(value, F.lit("""^["'][^"']*+["']$"""))
+        stripped = F.regexp_replace(value, "^[\"']|[\"']$", "")
+        return F.when(plain, F.translate(value, "\"'", "")).otherwise(F.replace(stripped, F.lit('"'), F.lit("&quot;")))
+
+    tag = F.lower(F.regexp_extract(head, "^/?[a-zA-Z][a-zA-Z0-9]*+", 0))
     closed = F.when(F.endswith(F.rtrim(inside), F.lit("/")), F.lit("/>")).otherwise(F.lit(">"))
-    after = F.substr(piece, F.length(F.regexp_extract(piece, TAG_HEAD, 0)) + 1)
-    return F.concat(tag, F.array_join(F.zip_with(names, values, pair), ""), closed, after)
+    return F.concat(tag, F.array_join(F.zip_with(names, values, pair), ""), closed)
 
 
 def _cut(markup: Column, tag: Column) -> Column:
     """Pieces that each start with a tag of the name; the first one holds a space and what stands before them."""
-    return F.split(F.concat(F.lit(" "), markup), F.concat(F.lit("(?=</?"), tag, F.lit(r"[\s/>])")))
+    # Matches that follow one another are found in one pass; a split before each tag would look ahead at every character.
+    start = F.concat(F.lit("/?"), tag, F.lit(r"[\s/>]"))
+    pattern = F.concat(F.lit("(?:^ |<"), start, F.lit(")(?:[^<]++|<(?!"), start, F.lit("))*+"))
+    return F.regexp_extract_all(F.concat(F.lit(" "), markup), pattern, F.lit(0))
 
 
 def _step(piece: Column, tag: Column) -> Column:
@@ -76,7 +95,20 @@ def inside(rest: Column, tag: Column | str) -> Column:
         kept = F.aggregate(pieces, start, add, lambda state: state["n"])
         return F.substr(F.array_join(F.slice(pieces, F.lit(1), kept), ""), F.lit(2))
 
-    return bound(_cut(rest, name), up_to_end)
+    # Most elements hold none of their own name; then the first end tag ends them, and a plain search finds it.
+    end = F.concat(F.lit("</"), name, F.lit(">"))
+
+    def up_to_first_end(own: Column) -> Column:
+        text, first = own["text"], own["first"]
+        begun = F.contains(first, F.concat(F.lit("<"), name)) | F.contains(first, F.concat(F.lit("</"), name))
+        flat = (F.length(first) < F.length(text)) & ~begun
+        return F.when(flat, first).otherwise(bound(_cut(text, name), up_to_end))
+
+    def cut(text: Column) -> Column:
+        first = F.call_function("substring_index", text, end, F.lit(1))
+        return bound(F.struct(text.alias("text"), first.alias("first")), up_to_first_end)
+
+    return bound(rest, cut)
 
 
 def element(body: Column, element_id: str) -> Column:
@@ -104,13 +136,17 @@ def closed_rows(markup: Column) -> Column:
         return F.when(is_open, F.concat(own, F.lit("</tr>"), F.substr(piece, F.length(own) + 1))).otherwise(piece)
 
     def rows(body: Column) -> Column:
-        pieces = F.split(F.concat(F.lit(" "), body), START_OF_ROW)
-        repaired = F.substr(F.array_join(F.transform(pieces, closed), ""), F.lit(2))
-        return F.when(F.size(pieces) > F.size(F.split(body, "</tr")), repaired).otherwise(body)
+        repaired = F.array_join(F.transform(F.split(body, START_OF_ROW), closed), "<tr")
+        return F.when(F.regexp_count(body, F.lit(START_OF_ROW)) > times(body, "</tr"), repaired).otherwise(body)
 
     return bound(markup, rows)
 
 
+def times(markup: Column, text: str) -> Column:
+    """How often a plain text stands in the markup."""
+    return (F.length(markup) - F.length(F.replace(markup, F.lit(text), F.lit("")))) / len(text)
+
+
 def _quoted(text: str) -> str:
     return "".join(c if c.isalnum() else "\\" + c for c in text)
 
@@ -127,24 +163,41 @@ def deep_elements(markup: Column, tag: str, depth: int) -> Column:
         )
         return bound(depths, lambda d: _from_depths(pieces, d, name, depth))
 
-    return bound(_cut(markup, name), found)
+    # Each piece starts with a tag of the name; what stands before the first of them lies in none.
+    pieces = rf"</?{tag}[\s/>](?:[^<]++|<(?!/?{tag}[\s/>]))*+"
+    return bound(markup, lambda text: _flat_elements(text, tag, bound(F.regexp_extract_all(text, F.lit(pieces), F.lit(0)), found), depth))
+
+
+def _flat_elements(markup: Column, tag: str, otherwise: Column, depth: int) -> Column:
+    """The elements of a text where each start tag is followed by its end tag before the next one starts."""
+    if depth > 1:
+        return otherwise
+    flat = rf"<{tag}(?=[\s/>])[^>]*+>((?:[^<]++|<(?!/?{tag}[\s/>]))*+)</{tag}>"
+
+    def all_of(found: Column) -> Column:
+        flat_only = (F.size(found) == times(markup, f"<{tag}")) & (F.size(found) == times(markup, f"</{tag}"))
+        return F.when(flat_only, found).otherwise(otherwise)
+
+    return bound(F.regexp_extract_all(markup, F.lit(flat), F.lit(1)), all_of)
 
 
 def _from_depths(pieces: Column, depths: Column, name: Column, depth: int) -> Column:
     # depths[n] is the depth after the n-th piece, counted from one; depths[0] is before the first.
     starts = F.filter(
         F.sequence(F.lit(1), F.size(pieces)),
-        lambda n: (_step(F.get(pieces, n - 1), name) == 1) & (F.get(depths, n) >= depth),
+        lambda n: (F.get(depths, n) >= depth) & (F.get(depths, n) > F.get(depths, n - 1)),
     )
 
     def markup(n: Column) -> Column:
-        after = F.slice(depths, n + 2, F.size(depths))
         own = F.get(depths, n)
-        size = F.array_position(F.transform(after, lambda d: d < own), F.lit(True)).cast("int")
-        kept = F.slice(pieces, n, F.when(size == 0, F.size(pieces)).otherwise(size))
-        return F.regexp_replace(F.array_join(kept, ""), "^<[^>]*+>", "")
+        after = F.transform(F.slice(depths, n + 2, F.size(depths)), lambda d: d < own)
+        return bound(F.array_position(after, F.lit(True)).cast("int"), lambda size: kept(n, size))
+
+    def kept(n: Column, size: Column) -> Column:
+        own = F.array_join(F.slice(pieces, n, F.when(size == 0, F.size(pieces)).otherwise(size)), "")
+        return F.regexp_replace(own, "^<[^>]*+>", "")
 
-    return F.transform(starts, markup)
+    return F.when(F.size(pieces) > 0, F.transform(starts, markup)).otherwise(F.array().cast("array<string>"))
 
 
 def last_block(markup: Column, tag: str) -> Column:

@@ -104,9 +104,10 @@ def bound(x: Column, use) -> Column:
     """``use(x)`` with x worked out once, however often ``use`` names it.
 
     For arrays and maps made by higher-order functions, which Spark would otherwise
-    build again at each place that names them.
+    build again at each place that names them. The value is the start of a fold over nothing:
+    an element of a transformed array would have its type derived anew, from all of ``use``, in each row.
     """
-    return F.get(F.transform(F.array(x), use), F.lit(0))
+    return F.aggregate(F.array(), x, lambda value, _: value, use)
 
 
 def decode_entities(x: Column) -> Column:

@@ -11,6 +11,8 @@ from docketry.functions.text import blank_to_null, clean_document
 from docketry.operators.aggregates import document_text
 from docketry.plans.layouts import DOCUMENT_COLUMNS
 
+#: Characters of page text, and of each row's own cost, that a task holds before it hands them on.
+HELD, PAGE_COST = 2**21, 2**6
 PAGE_SCHEMA = "seq long, page_no long, text string, reason string"
 
 
@@ -23,7 +25,7 @@ def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None
     """Page texts of ``files(seq, content)`` through the user's decoder of one file's bytes.
 
     The one Python stage of the package; files stream through in Arrow batches, and the pages of one
-    file at a time are held. A file the decoder fails on gives one row with the reason, and the rest go on.
+    file, or of short files up to ``HELD`` characters, are held. A file the decoder fails on gives one row with the reason, and the rest go on.
     """
 
     def pages_of(seq: int, content: bytes) -> list[tuple]:
@@ -33,14 +35,26 @@ def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None
             return [(seq, None, None, f"{type(error).__name__}: {error}")]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A frame for each file would cost more than most files' decoding; a long file's pages leave at once.
+        held, size = [], 0
         for batch in batches:
             for seq, content in zip(batch["seq"], batch["content"]):
-                df = pd.DataFrame(pages_of(seq, content), columns=["seq", "page_no", "text", "reason"])
-                yield df.astype({"seq": "int64", "page_no": "Int64"})
+                pages = pages_of(seq, content)
+                held.extend(pages)
+                size += sum(PAGE_COST + len(page[2] or "") for page in pages)
+                if size >= HELD:
+                    yield _frame(held)
+                    held, size = [], 0
+        if held:
+            yield _frame(held)
 
     return files.select("seq", "content").mapInPandas(decode, PAGE_SCHEMA)
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["seq", "page_no", "text", "reason"]).astype({"seq": "int64", "page_no": "Int64"})
+
+
 def utf8_pages(content: bytes) -> list[str]:
     """Stand-in decoder: UTF-8 text with form feeds between pages."""
     return content.decode("utf-8").split("\f")

@@ -16,8 +16,10 @@ smallest of its bucket leaves the bucket. Then each bucket's texts are compared
 the text with the greatest share of elements that others have too: in a group of edited copies
 that is the original, or the copy nearest to it. Links to pivots make classes. Texts of buckets
 that still hold more than one class are compared by their rarest elements: two texts that are
-similar enough share one among the first few of each, by rising frequency, and only such pairs of
-different classes are made. Pairs beyond the bound are left out throughout. Similarity is computed exactly, and links of
+similar enough share one among the first few of each, by rising frequency. There too the texts of
+an element first meet two pivots, the least edited text of its largest class and the least edited
+other one, for a few turns with classes made anew; then all pairs of different classes that are left
+are made. Pairs beyond the bound are left out throughout. Similarity is computed exactly, and links of
 ``SIMILARITY`` or more make classes (connected components, by alternating large-star and small-star steps).
 
 Words are the lower-cased text cut at white space. Texts with equal words are one node from
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docketry.llm.common import Scratch, append_column, filled, free_name, small_batches, staged
 from docketry.operators.skew import hot_keys, keyed_join
@@ -50,6 +52,7 @@ COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 4)
 KEPT_WORDS = 500_000
 ELEMENT_ROWS = 65_536
+TURNS = 4
 
 U = np.uint64
 GOLD, MIX_A, MIX_B, STEP = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0xD6E8FEB86659FD93)
@@ -245,28 +248,72 @@ def candidates(rows: DataFrame, pivots: DataFrame, hot: dict[int, int]) -> DataF
     return once.select("pivot", F.when(F.col("pivot") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("node"))
 
 
-def rare_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pivot, node``: the pairs of ``rows(node, size, class)`` of different classes that share a rare element early enough.
+def early_elements(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``element, node, size, class, place``: the elements by which texts of ``rows(node, size, class)`` may find one of another class.
 
-    Elements stand by rising frequency among these texts. Texts of sizes ``m`` and ``n`` that
-    overlap in ``k`` elements share one among the first ``m - k + 1`` and ``n - k + 1`` of them.
-    Of an element's texts, those of its largest class meet the others alone, not each other.
+    Elements of one class alone stand first, they are counted only; the others by rising frequency among
+    these texts. Texts of sizes ``m`` and ``n`` that overlap in ``k`` elements share one among the first
+    ``m - k + 1`` and ``n - k + 1`` of them. An element's rows, a few numbers per text, meet once.
     """
     elements = sets.join(rows, "node", "left_semi").select("node", "own").mapInArrow(_elements, "element long, node long")
-    held = staged(elements.join(rows, "node"), "held")
-    of_class = held.groupBy("element", "class").agg(F.count("*").alias("n"))
-    ends = of_class.groupBy("element").agg(F.sum("n").alias("n"), F.count("*").alias("classes"), F.max_by("class", F.struct("n", "class")).alias("major"))
-    in_order = Window.partitionBy("node").orderBy("n", "element")
-    placed = held.join(ends, "element").withColumn("place", F.row_number().over(in_order))
+    of_element = Window.partitionBy("element")
+    ends = {"n": F.count("*").over(of_element), "low": F.min("class").over(of_element), "high": F.max("class").over(of_element)}
+    common = elements.join(rows, "node").withColumns(ends).filter("low < high")
+    of_node = Window.partitionBy("node")
+    alone = F.col("size") - F.count("*").over(of_node)
+    placed = common.withColumn("place", alone + F.row_number().over(of_node.orderBy("n", "element")))
     most = F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-6) + 1  # with the smallest possible partner
-    early = placed.filter((F.col("place") <= most) & (F.col("classes") > 1)).select("element", "node", "size", "class", "place", "major")
-    early = staged(early, "early")
-    minor = early.filter("class <> major").drop("major")
-    other = early.select("element", "major", *(F.col(x).alias(f"o_{x}") for x in ("node", "size", "class", "place")))
+    return placed.filter(F.col("place") <= most).select("element", "node", "size", "class", "place")
+
+
+def minor_rows(early: DataFrame, turn: int = 0) -> DataFrame:
+    """The rows of ``early`` but those of the largest class of their element, with that class as ``major`` and its ``top`` row.
+
+    The top row is that of the text with the fewest rarer elements for its size, the least edited one; in later turns any.
+    """
+    order = F.struct(F.xxhash64("node", "element", F.lit(turn)) if turn else F.col("place") / F.col("size"), "node")
+    of_class = early.groupBy("element", "class").agg(F.count("*").alias("n"), F.min_by(F.struct("node", "size", "class", "place"), order).alias("top"))
+    largest = F.max_by("top", F.struct("n", "class")).alias("top")
+    ends = of_class.groupBy("element").agg(F.count("*").alias("classes"), largest).filter("classes > 1")
+    return early.join(ends.select("element", "top", F.col("top.class").alias("major")), "element").filter("class <> major")
+
+
+def _other(row: str) -> list[Column]:
+    """The columns of a row of ``early`` as those of the other text of a pair."""
+    return [F.col(f"{row}{x}").alias(f"o_{x}") for x in ("node", "size", "class", "place")]
+
+
+def _soon_pairs(met: DataFrame) -> DataFrame:
+    """``pivot, node`` of the rows of two texts (the other's columns begin with o_) whose classes differ and that share their element early enough."""
     overlap = f"({SIMILARITY / (1 + SIMILARITY)!r}D * (size + o_size) - 1e-6)"
-    soon = f"class <> o_class AND place <= size - {overlap} + 1 AND o_place <= o_size - {overlap} + 1"
-    pairs = minor.join(other, "element").filter(soon + " AND (o_class = major OR node < o_node)")
-    return pairs.select(F.least("node", "o_node").alias("pivot"), F.greatest("node", "o_node").alias("node")).distinct()
+    soon = met.filter(f"class <> o_class AND place <= size - {overlap} + 1 AND o_place <= o_size - {overlap} + 1")
+    return soon.select(F.least("node", "o_node").alias("pivot"), F.greatest("node", "o_node").alias("node")).distinct()
+
+
+def pivot_pairs(early: DataFrame, turn: int) -> DataFrame:
+    """``pivot, node``: at most two pairs for each row of ``early``.
+
+    An element's texts meet one that is not of its largest class, and those that are not of that class one that is.
+    """
+    minor = minor_rows(early, turn)
+    order = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.col("place") / F.col("size"), "node")
+    pivots = minor.groupBy("element").agg(F.min_by(F.struct("node", "size", "class", "place"), order).alias("top"))
+    to_minor = _soon_pairs(keyed_join(early, pivots.select("element", *_other("top.")), ["element"], "inner", ["node"]))
+    return _soon_pairs(minor.select("*", *_other("top."))).union(to_minor).distinct()
+
+
+def rare_pairs(early: DataFrame) -> DataFrame:
+    """``pivot, node``: all pairs of texts of different classes that share an element early enough.
+
+    Of an element's texts, those of its largest class meet the others alone, not each other.
+    """
+    other = early.select("element", *_other(""))
+    return _soon_pairs(minor_rows(early).join(other, "element").filter("o_class = major OR node < o_node"))
+
+
+def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows(node, class, ..)`` with the classes that ``roots(node, root)`` gives; others are their own class."""
+    return rows.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node")).select(*rows.columns)
 
 
 def linked_classes(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> DataFrame:
@@ -287,15 +334,26 @@ def linked_classes(sigs: DataFrame, docs: DataFrame, first_ids: DataFrame) -> Da
     tested = scratch.keep(candidates(members, pivots, hot), "tested")
     links = scratch.keep(verified(tested, sets), "links")
     roots = components(links)
-    current = members.drop("class").join(roots, "node", "left")
-    parted = scratch.keep(current.select("bucket", "node", "size", "shared", F.coalesce("root", "node").alias("class")), "parted")
+    parted = scratch.keep(with_roots(members, roots), "parted")
     still_open = scratch.keep(open_rows(parted, hot).select("node", "size", "class").distinct(), "open")
+    scratch.drop(members, parted)
+    early = scratch.keep(early_elements(still_open, sets), "early")
     known = tested.select(F.least("pivot", "node").alias("pivot"), F.greatest("pivot", "node").alias("node"))
-    pairs = scratch.keep(rare_pairs(still_open, sets).join(known, ["pivot", "node"], "left_anti"), "pairs")
+    for turn in range(TURNS):  # what these leave is compared in full
+        pairs = scratch.keep(pivot_pairs(early, turn).join(known, ["pivot", "node"], "left_anti"), "pairs")
+        more = scratch.keep(verified(pairs, sets), "more-links")
+        known = known.union(pairs)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        roots = components(links)
+        last, early = early, scratch.keep(with_roots(early, roots), "early")
+        scratch.drop(last)
+    pairs = scratch.keep(rare_pairs(early).join(known, ["pivot", "node"], "left_anti"), "pairs")
     more = scratch.keep(verified(pairs, sets), "more-links")
     if not more.isEmpty():
         roots = components(links.union(more))
-    scratch.drop(members, tested, parted, still_open, pairs, sets)
+    scratch.drop(tested, still_open, early, pairs, sets)
     return roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
 
 

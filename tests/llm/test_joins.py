@@ -209,3 +209,18 @@ def test_groups_of_copies_make_no_pairs_of_all_with_all(docs, monkeypatch):
     got = dedup.classes(docs(texts)).collect()
     assert {r.doc_id: r.class_id for r in got} == brute_classes(list(enumerate(texts)))
     assert sum(made) <= 0.06 * 3 * 200 * 199 / 2
+
+
+def test_groups_that_pivots_of_buckets_leave_apart_make_few_pairs(docs, monkeypatch):
+    """Each text of a group is alike to all others; the buckets' pivots are taken to find none of it."""
+    rng = random.Random(12)
+    texts = []
+    for words in (120, 150):
+        base = prose(rng, words)
+        texts += [edited(rng, base, 1) for _ in range(100)]
+    made = []
+    monkeypatch.setattr(dedup, "candidates", lambda *args, real=dedup.candidates: real(*args).limit(0))
+    monkeypatch.setattr(dedup, "verified", lambda pairs, sets, real=dedup.verified: made.append(pairs.count()) or real(pairs, sets))
+    got = dedup.classes(docs(texts)).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(list(enumerate(texts)))
+    assert sum(made) <= 5 * len(texts)

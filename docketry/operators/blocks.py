@@ -1,14 +1,18 @@
-"""Generators: one prepared page in, many rows out. All are narrow: no shuffle, no Python stage.
+"""Generators: one page in, many rows out. All are narrow: no shuffle.
 
-Rows carry ``seq``: the capture's position times 2**28, plus the place in the page.
+Result blocks and rows of movements, which may lie within one another, are cut by ``functions.scan`` in Arrow
+batches; the others are column expressions over prepared pages. Rows carry ``seq``: the capture's position
+times 2**28, plus the place in the page.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docketry.functions import scan
 from docketry.functions.markup import (
     attr_value,
     class_pattern,
@@ -17,19 +21,18 @@ from docketry.functions.markup import (
     first_text,
     inner_text,
     nth_cell,
-    own_text,
     table_after_label,
 )
-from docketry.functions.structure import closed_rows, deep_elements, element, inside
+from docketry.functions.structure import inside
 from docketry.functions.text import (
     before_paren,
     decode_entities,
     delete_chars,
-    first_filled,
     paren_text,
     strip_lawyer_label,
     strip_space,
 )
+from docketry.operators.scans import scanned
 
 # The shortest row is nine characters and a string has fewer than 2**31, so a page
 # has fewer than 2**28 rows. Capture positions must stay below 2**35; a larger one stops
@@ -44,57 +47,61 @@ def place_in_page(seq: Column, place: Column) -> Column:
     return F.when(fits | seq.isNull(), F.try_add(F.try_multiply(seq, F.lit(PLACES)), place.cast("bigint"))).otherwise(stop)
 
 
-def nested_tables(markup: Column) -> Column:
+def nested_tables(scope: str) -> list[str]:
     """Tables that lie inside another table, however deep, in page order."""
-    return deep_elements(markup, "table", 2)
+    return scan.deep_elements(scope, "table", 2)
 
 
-def result_blocks(captures: DataFrame, results_id: str) -> DataFrame:
-    """One row per decision block of a result page.
+def result_blocks(
+    captures: DataFrame, results_id: str, names: list[str] | None = None, read: Callable[[str], list[str] | None] | None = None
+) -> DataFrame:
+    """One row per decision block of a result page, with the texts ``names`` that ``read`` takes from the block.
+
+    A block for which ``read`` gives none has no row.
 
     The first page holds the blocks below the element ``results_id``; later pages
-    come without it, and their whole body is searched.
+    come without it, and their whole body is searched. Bodies are as captured.
     """
-    anchored = element(F.col("body"), results_id)
-    scope = F.when(F.contains("body", F.lit(f'id="{results_id}"')), anchored).otherwise(F.col("body"))
+    names = names or []
+
+    def rows_of(body: str) -> Iterator[tuple]:
+        page = scan.prepare(body)
+        scope = scan.element(page, results_id) if f'id="{results_id}"' in page else page
+        for place, block in enumerate(nested_tables(scope)):
+            found = read(block) if read else []
+            if found is not None:
+                yield place, block, *found
+
     rest = [c for c in captures.columns if c not in ("body", "seq")]
-    return captures.select(*rest, "seq", F.posexplode(nested_tables(scope)).alias("place", "block")).select(
-        *rest, place_in_page(F.col("seq"), F.col("place")).alias("seq"), "block"
-    )
+    found = scanned(captures, "body", rows_of, ", ".join(["place int", "block string", *[f"{name} string" for name in names]]))
+    return found.select(*rest, place_in_page(F.col("seq"), F.col("place")).alias("seq"), "block", *names)
 
 
-def is_decision(block: Column, title: str) -> Column:
+def is_decision(block: Column | str, title: str) -> Column | bool:
     """Whether a block has the link of a decision or a summary's own element; a small table inside one has neither."""
+    if isinstance(block, str):
+        return f'title="{title}"' in block or "<div" in block
     return F.contains(block, F.lit(f'title="{title}"')) | F.contains(block, F.lit("<div"))
 
 
-def table_rows(body: Column, table_id: str) -> Column:
+def table_rows(body: str, table_id: str) -> list[str]:
     """Rows of a table, those of tables inside its cells among them."""
-    return deep_elements(closed_rows(element(body, table_id)), "tr", 1)
-
-
-def cell_of_class(row: Column, name: str) -> Column:
-    return inside(F.regexp_extract(row, rf"(?s){class_pattern(name)}[^>]*+>(.*)", 1), "td")
+    return scan.deep_elements(scan.closed_rows(scan.element(body, table_id)), "tr", 1)
 
 
 def movements(captures: DataFrame, case: Column, layout: dict) -> DataFrame:
     """One row per row of the movements table; the title falls back to the cell's own text."""
-    rows = captures.select(
-        "seq", case.alias("numero_processo"), F.posexplode(table_rows(F.col("body"), layout["table_id"])).alias("place", "row")
-    )
-    cells = rows.select(
-        place_in_page(F.col("seq"), F.col("place")).alias("seq"),
-        "numero_processo",
-        cell_of_class(F.col("row"), layout["date_class"]).alias("date_cell"),
-        cell_of_class(F.col("row"), layout["text_class"]).alias("text_cell"),
-    )
-    text_cell = F.col("text_cell")
-    return cells.select(
-        "seq",
-        "numero_processo",
-        own_text(F.col("date_cell")).alias("data"),
-        first_filled(first_text(text_cell, r"<a\b[^>]*+>"), own_text(text_cell)).alias("titulo"),
-        first_text(text_cell, r"<span\b[^>]*+>").alias("descricao"),
+
+    def rows_of(body: str) -> Iterator[tuple]:
+        for place, row in enumerate(table_rows(body, layout["table_id"])):
+            day, text = (scan.cell_of_class(row, layout[name]) for name in ("date_class", "text_class"))
+            title = scan.first_text(text, r"<a\b[^>]*+>") or scan.own_text(text)
+            yield place, scan.own_text(day), title, scan.first_text(text, r"<span\b[^>]*+>")
+
+    pages = captures.select("seq", case.alias("numero_processo"), "body")
+    found = scanned(pages, "body", rows_of, "place int, data string, titulo string, descricao string")
+    return found.select(
+        place_in_page(F.col("seq"), F.col("place")).alias("seq"), "numero_processo", "data", "titulo", "descricao"
     )
 
 

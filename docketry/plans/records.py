@@ -1,6 +1,6 @@
 """Record jobs: captures of one kind to the rows of one published table.
 
-Each is a chain of narrow projections: the page body is read once, and leaves the
+Each is a chain of narrow steps: the page body is read once, and leaves the
 plan as soon as the fields are out. Blank fields are stored as null.
 """
 
@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docketry.functions import scan
 from docketry.functions.links import absolute_link, rebuild_link
 from docketry.functions.markup import (
     anchor_text,
@@ -20,11 +21,7 @@ from docketry.functions.markup import (
     head_text,
     head_texts,
     inner_text,
-    label_detail,
     labelled_block,
-    labelled_cells,
-    last_block_text,
-    link_text_by_title,
     prepare,
     tag_with,
     tags_joined,
@@ -57,30 +54,31 @@ def _anchored_fields(anchors: dict[str, str]) -> dict[str, Column]:
     return {name: head_text(F.col("head_ids"), F.col("head_texts"), anchor) for name, anchor in anchors.items()}
 
 
-def _decision_blocks(captures: DataFrame, kind: str) -> DataFrame:
-    pages = of_kind(captures, kind).select("seq", prepare(F.col("body")).alias("body"))
-    found = blocks.result_blocks(pages, at.RESULTS_ID).filter(blocks.is_decision(F.col("block"), at.FULL_TEXT_TITLE))
-    return found.withColumn("cells", labelled_cells(F.col("block")))
+def _decisions(captures: DataFrame, kind: str, labels: dict[str, str]) -> DataFrame:
+    """Decisions of result pages: number, summary, and the text after each label."""
+
+    def read(block: str) -> list[str] | None:
+        if not blocks.is_decision(block, at.FULL_TEXT_TITLE):
+            return None
+        cells = scan.labelled_cells(block)
+        found = [scan.label_detail(cells, label) for label in labels.values()]
+        return [scan.link_text_by_title(block, at.FULL_TEXT_TITLE), scan.last_block_text(block, "tr", "div"), *found]
+
+    pages = of_kind(captures, kind).select("seq", "body")
+    return blocks.result_blocks(pages, at.RESULTS_ID, ["numero_processo", "ementa", *labels], read)
 
 
 def first_degree_decisions(captures: DataFrame) -> DataFrame:
-    df = _decision_blocks(captures, at.FIRST_SEARCH)
-    fields = {name: label_detail(F.col("cells"), label) for name, label in at.FIRST_SEARCH_LABELS.items()}
-    fields["numero_processo"] = link_text_by_title(F.col("block"), at.FULL_TEXT_TITLE)
-    fields["ementa"] = last_block_text(F.col("block"), "tr", "div")
-    return _record(df, fields, at.FIRST_DECISION_COLUMNS)
+    df = _decisions(captures, at.FIRST_SEARCH, at.FIRST_SEARCH_LABELS)
+    return _record(df, {c: F.col(c) for c in at.FIRST_DECISION_COLUMNS}, at.FIRST_DECISION_COLUMNS)
 
 
 def second_degree_decisions(captures: DataFrame) -> DataFrame:
-    df = _decision_blocks(captures, at.SECOND_SEARCH)
-    cells = F.col("cells")
-    fields = {name: label_detail(cells, label) for name, label in at.SECOND_SEARCH_LABELS.items()}
-    fields["classe"] = first_slash_part(
-        label_detail(cells, at.CLASS_SUBJECT_LABEL), label_detail(cells, at.CLASS_LABEL)
-    )
-    fields["assunto"] = later_slash_parts(label_detail(cells, at.SUBJECT_LABEL))
-    fields["numero_processo"] = link_text_by_title(F.col("block"), at.FULL_TEXT_TITLE)
-    fields["ementa"] = last_block_text(F.col("block"), "tr", "div")
+    combined = {"class_subject": at.CLASS_SUBJECT_LABEL, "class": at.CLASS_LABEL, "subject": at.SUBJECT_LABEL}
+    df = _decisions(captures, at.SECOND_SEARCH, {**at.SECOND_SEARCH_LABELS, **combined})
+    fields = {c: F.col(c) for c in ("numero_processo", "ementa", *at.SECOND_SEARCH_LABELS)}
+    fields["classe"] = first_slash_part(F.col("class_subject"), F.col("class"))
+    fields["assunto"] = later_slash_parts(F.col("subject"))
     return _record(df, fields, at.SECOND_DECISION_COLUMNS)
 
 

@@ -7,6 +7,7 @@ plan as soon as the fields are out. Blank fields are stored as null.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,11 +21,7 @@ from docketry.functions.markup import (
     head_ids,
     head_text,
     head_texts,
-    inner_text,
-    labelled_block,
     prepare,
-    tag_with,
-    tags_joined,
     value_text,
 )
 from docketry.functions.structure import element
@@ -38,6 +35,7 @@ from docketry.functions.text import (
     strip_space,
 )
 from docketry.operators import blocks
+from docketry.operators.scans import scanned
 from docketry.plans import layouts as at
 from docketry.plans.pages import case_key, of_kind, page_kind_flags
 
@@ -46,10 +44,6 @@ def _record(df: DataFrame, fields: dict[str, Column], columns: list[str]) -> Dat
     return df.select("seq", *[blank_to_null(fields[c]).alias(c) for c in columns])
 
 
-def _labelled(body: Column, container: str, label: str) -> Column:
-    return labelled_block(body, container, at.LABEL_CLASS, label)
-
-
 def _anchored_fields(anchors: dict[str, str]) -> dict[str, Column]:
     return {name: head_text(F.col("head_ids"), F.col("head_texts"), anchor) for name, anchor in anchors.items()}
 
@@ -84,31 +78,31 @@ def second_degree_decisions(captures: DataFrame) -> DataFrame:
 
 def first_degree_cases(captures: DataFrame, base_url: str) -> DataFrame:
     anchors = {**at.FIRST_CASE_SPAN_ANCHORS, **at.FIRST_CASE_OWN_ANCHORS}
-    body = F.col("body")
-    df = _case_pages(captures, at.FIRST_CASE).select(
-        "seq",
-        case_key().alias("numero_processo"),
-        tags_joined(body, at.STATUS_CLASS).alias("situacao"),
-        anchored_heads(body, list(anchors.values())).alias("heads"),
-        inner_text(element(body, at.AREA_ANCHOR)).alias("area"),
-        F.regexp_extract_all(body, F.lit(rf"{class_pattern(*at.ROLE_CLASSES)}[^>]*+>([^<]*+)"), F.lit(1)).alias("roles"),
-        blocks.parties(body, at.PARTY_CLASS).alias("parties"),
-        _labelled(body, at.OTHER_SUBJECTS["container"], at.OTHER_SUBJECTS["label"]).alias("subjects"),
-        _labelled(body, at.ENFORCEMENT["container"], at.ENFORCEMENT["label"]).alias("enforcement"),
-        _labelled(body, at.RELATED_CONTAINER, at.MAIN_CASE_LABEL).alias("main_case"),
-        _labelled(body, at.RELATED_CONTAINER, at.ATTACHED_CASE_LABEL).alias("attached_case"),
-        F.when(
-            F.contains(body, F.lit(at.SECOND_DEGREE_LINK_CLASS)),
-            tag_with(body, "a", class_pattern(at.SECOND_DEGREE_LINK_CLASS)),
-        ).otherwise("").alias("second_tag"),
-    ).select(
-        "*",
-        head_ids(F.col("heads")).alias("head_ids"),
-        head_texts(F.col("heads")).alias("head_texts"),
-    )
-    link = r"<a\b[^>]*+>"
-    fields = _anchored_fields(anchors)
-    fields |= {name: F.col(name) for name in ("numero_processo", "situacao", "area")}
+    labelled = {
+        "subjects": (at.OTHER_SUBJECTS["container"], at.OTHER_SUBJECTS["label"]),
+        "enforcement": (at.ENFORCEMENT["container"], at.ENFORCEMENT["label"]),
+        "main_case": (at.RELATED_CONTAINER, at.MAIN_CASE_LABEL),
+        "attached_case": (at.RELATED_CONTAINER, at.ATTACHED_CASE_LABEL),
+    }
+
+    def rows_of(captured: str) -> Iterator[tuple]:
+        body = scan.prepare(captured)
+        texts = scan.anchored_texts(body, tuple(anchors.values()))
+        yield (
+            scan.tags_joined(body, at.STATUS_CLASS),
+            scan.inner_text(scan.element(body, at.AREA_ANCHOR)),
+            scan.texts_of_class(body, tuple(at.ROLE_CLASSES)),
+            scan.parties(body, at.PARTY_CLASS),
+            scan.tag_with_class(body, "a", at.SECOND_DEGREE_LINK_CLASS),
+            *[texts.get(element_id, "") for element_id in anchors.values()],
+            *[scan.labelled_block(body, container, at.LABEL_CLASS, label) for container, label in labelled.values()],
+        )
+
+    party = "struct<nomes_parte: array<string>, advogados_parte: array<string>>"
+    made = ["situacao string", "area string", "roles array<string>", f"parties array<{party}>", "second_tag string"]
+    pages = _shown(captures, at.FIRST_CASE).select("seq", case_key().alias("numero_processo"), "body")
+    df = scanned(pages, "body", rows_of, ", ".join([*made, *[f"{name} string" for name in (*anchors, *labelled)]]))
+    fields = {name: F.col(name) for name in ("numero_processo", "situacao", "area", *anchors)}
     fields["valor_acao"] = normalise_space(fields["valor_acao"])
     for place in (0, 1):
         slot = f"partes_processo_{place + 1}"
@@ -116,6 +110,7 @@ def first_degree_cases(captures: DataFrame, base_url: str) -> DataFrame:
         fields[f"{slot}_tipo_participacao"] = F.when(F.size("parties") > place, role)
         fields[f"{slot}_nome_parte"] = blocks.party_at(F.col("parties"), place, "nomes_parte")
         fields[f"{slot}_advogados"] = blocks.party_at(F.col("parties"), place, "advogados_parte")
+    link = r"<a\b[^>]*+>"
     fields["outros_assuntos"] = value_text(
         F.col("subjects"), rf'<div\b[^>]*class="{re.escape(at.OTHER_SUBJECTS["value"])}"[^>]*+>\s*+<span\b[^>]*+>'
     )
@@ -161,7 +156,10 @@ def document_links(captures: DataFrame) -> DataFrame:
     return blocks.document_links(_case_pages(captures, at.SECOND_CASE), case_key(), at.DOCUMENT_LINKS)
 
 
+def _shown(captures: DataFrame, kind: str) -> DataFrame:
+    """Pages of a kind that show a case; pages with a list of cases give no record."""
+    return of_kind(captures, kind).filter(~page_kind_flags()["has_case_list"])
+
+
 def _case_pages(captures: DataFrame, kind: str) -> DataFrame:
-    """Prepared pages of a kind that show a case; pages with a list of cases give no record."""
-    shown = of_kind(captures, kind).filter(~page_kind_flags()["has_case_list"])
-    return shown.select("seq", "meta", prepare(F.col("body")).alias("body"))
+    return _shown(captures, kind).select("seq", "meta", prepare(F.col("body")).alias("body"))

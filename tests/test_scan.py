@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketry.functions import markup, scan, structure, text
+from docketry.functions.text import bound
+from docketry.operators import blocks
 from docketry.operators.scans import scanned
 
 PIECES = [
@@ -17,6 +19,7 @@ PIECES = [
     '<input id="a"/>', '<a title="T" href="#">', "<a title='T'>", "</a>", "<A HREF=x/y?a=b NOWRAP>", "<!-- c -->", "<script>x<td></script>", "<p.q>",
     "<", ">", "< b", '"', "'", "=", "x", "é y", " \n ", "  ", "&amp;", "&nbsp;", "&#233;", "&#x93;", "&nope;", "&", "Label: v ", "</", "<>",
     '<td class="a k b">', "<td title='\"'>", '<b c="<td>">', "</table", "<tr/>", " id=\"a\"",
+    "<br>", "<br />", "Advogado: z", '<i class="k">', "<span>", "<i>", "</i>", '<b id="b">',
 ]
 CASES = {
     "prepare": (scan.prepare, markup.prepare),
@@ -33,6 +36,24 @@ CASES = {
     "link_text": (lambda x: scan.link_text_by_title(x, "T"), lambda x: markup.link_text_by_title(x, "T")),
     "first_text": (lambda x: scan.first_text(x, r"<a\b[^>]*+>"), lambda x: markup.first_text(x, r"<a\b[^>]*+>")),
     "own_text": (scan.own_text, markup.own_text),
+    "tags_joined": (lambda x: scan.tags_joined(x, "k"), lambda x: markup.tags_joined(x, "k")),
+    "roles": (
+        lambda x: scan.texts_of_class(x, ("k", "b")),
+        lambda x: F.regexp_extract_all(x, F.lit(rf"{markup.class_pattern('k', 'b')}[^>]*+>([^<]*+)"), F.lit(1)),
+    ),
+    "tag_with": (lambda x: scan.tag_with_class(x, "td", "k"), lambda x: markup.tag_with(x, "td", markup.class_pattern("k"))),
+    "labelled_block": (lambda x: scan.labelled_block(x, "k b", "x", "y"), lambda x: markup.labelled_block(x, "k b", "x", "y")),
+    "anchors": (
+        lambda x: [scan.anchored_texts(x, ("a", "b")).get(i, "") for i in ("a", "b")],
+        lambda x: bound(
+            markup.anchored_heads(x, ["a", "b"]),
+            lambda h: F.array(*[markup.head_text(markup.head_ids(h), markup.head_texts(h), i) for i in ("a", "b")]),
+        ),
+    ),
+    "parties": (
+        lambda x: [(p["nomes_parte"], p["advogados_parte"]) for p in scan.parties(x, "k")],
+        lambda x: blocks.parties(x, "k"),
+    ),
     "decode_entities": (scan.decode_entities, text.decode_entities),
 }
 
@@ -47,7 +68,8 @@ def pages():
 def test_equals_the_column_functions(spark, pages):
     df = spark.createDataFrame(list(enumerate(pages)), "n int, x string").repartition(8)
     found = df.select("n", *[columns(F.col("x")).alias(name) for name, (_, columns) in CASES.items()]).collect()
-    wrong = {name: (pages[r.n], plain(pages[r.n]), r[name]) for r in found for name, (plain, _) in CASES.items() if plain(pages[r.n]) != r[name]}
+    pairs = [(name, pages[r.n], plain(pages[r.n]), r[name]) for r in found for name, (plain, _) in CASES.items()]
+    wrong = {name: (page, own, column) for name, page, own, column in pairs if own != column}
     assert not wrong
 
 

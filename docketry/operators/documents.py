@@ -24,7 +24,7 @@ def document_id(content: Column) -> Column:
 def decode_pages(files: DataFrame, read_pages: Callable[[bytes], list[str | None]]) -> DataFrame:
     """Page texts of ``files(seq, content)`` through the user's decoder of one file's bytes.
 
-    The one Python stage of the package; files stream through in Arrow batches, and the pages of one
+    Files stream through in Arrow batches, and the pages of one
     file, or of short files up to ``HELD`` characters, are held. A file the decoder fails on gives one row with the reason, and the rest go on.
     """
 
